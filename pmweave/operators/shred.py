@@ -27,7 +27,7 @@ COLLEC_SCHEMA = (
 SETUP_SCHEMA = (
     "PMSetup ARRAY<STRUCT<_startTime: STRING, _interval: STRING, PMMOResult: ARRAY<STRUCT<"
     "MO: ARRAY<STRUCT<DN: STRING, baseId: STRING, localMoid: STRING>>, "
-    "PMTarget: ARRAY<MAP<STRING, STRING>>>>>>, _corrupt_record STRING"
+    "PMTarget: MAP<STRING, STRING>>>>>, _corrupt_record STRING"
 )
 XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreNamespace": "true"}
 
@@ -203,7 +203,7 @@ def _setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> D
                     s["_startTime"].alias("start_time"),
                     s["_interval"].alias("interval"),
                     _or_empty(r["MO"]).alias("mo"),
-                    F.try_element_at(r["PMTarget"], F.lit(-1)).alias("target"),
+                    r["PMTarget"].alias("target"),
                 ),
             ),
         )
