@@ -178,8 +178,8 @@ def parse_nokia(files: DataFrame, target: str) -> DataFrame:
     """One row per document with its ``PMSetup`` array; ``corrupt`` holds an unreadable text."""
     kept = [c for c in files.columns if c != "content"]
     text = _rename_targets(F.col("content"), target)
-    return files.select(*kept, F.from_xml(text, SETUP_SCHEMA, XML_OPTIONS).alias("doc")).select(
-        *kept, F.col("doc.PMSetup").alias("setups"), F.col("doc._corrupt_record").alias("corrupt")
+    return files.select(*kept, F.from_xml(text, SETUP_SCHEMA, XML_OPTIONS).alias("_doc")).select(
+        *kept, F.col("_doc.PMSetup").alias("setups"), F.col("_doc._corrupt_record").alias("corrupt")
     )
 
 

@@ -20,6 +20,10 @@ from pmweave.functions.arrays import SINGLE, counter_dim, counter_kind
 MAX_ENTRIES = 20_000
 
 
+# Setting names, in lower case as keys are compared.
+SETTING_KEYS = ["region", "market", "hl_market", "technology", "debugnothinguseinelement"]
+
+
 @dataclass(frozen=True)
 class Counter:
     """One catalog entry."""
@@ -43,11 +47,14 @@ class Settings:
     list_unused: bool = False
 
 
-def _section(spark: SparkSession, path: str, name: str) -> DataFrame:
-    """Lines ``key=value`` of one section as (line, key, value), comments dropped."""
-    text = spark.read.text(path, wholetext=True)
-    body = F.regexp_extract("value", rf"(?s)(?:^|\n)\s*\[{name}\][^\n]*\n(.*?)(?:\n\s*\[[^\]\n]+\]\s*(?:\n|$)|$)", 1)
-    lines = text.select(F.posexplode(F.split(body, "\r?\n")).alias("line", "text"))
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """``key=value`` lines of one file or a folder of files as (line, key, value), comments dropped."""
+    lines = spark.read.text(path).select(
+        F.struct(
+            "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("row")
+        ).alias("line"),
+        F.col("value").alias("text"),
+    )
     return lines.filter(~F.col("text").rlike(r"^\s*([;#]|$)") & F.contains("text", F.lit("="))).select(
         "line",
         F.lower(F.trim(F.substring_index("text", "=", 1))).alias("key"),
@@ -55,6 +62,11 @@ def _section(spark: SparkSession, path: str, name: str) -> DataFrame:
     )
 
 
+def _table_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines that define a table: their value is a list of pairs."""
+    return _lines(spark, path).filter(F.col("value").rlike(r"^[^:,]+:[^:,]+(,|$)"))
+
+
 def _last_of_key(lines: DataFrame) -> DataFrame:
     """A key given twice counts with its last line."""
     return lines.groupBy("key").agg(F.max_by("value", "line").alias("value"))
@@ -88,7 +100,7 @@ def _pair(entry: Column) -> tuple[Column, Column]:
 
 def read_counter_catalog(spark: SparkSession, path: str, vendor: str) -> DataFrame:
     """``counter_catalog (vendor, table_name, ordinal, code, column_name, kind, dim)``; table names in lower case."""
-    lines = _last_of_key(_section(spark, path, "Table"))
+    lines = _last_of_key(_table_lines(spark, path))
     return catalog_rows(lines.select(F.col("key").alias("table_name"), F.col("value").alias("definition")), vendor)
 
 
@@ -111,8 +123,8 @@ def load_catalog(catalog: DataFrame) -> dict[str, list[Counter]]:
 
 
 def load_settings(spark: SparkSession, path: str) -> Settings:
-    """The ``[General]`` section, a handful of lines."""
-    got = {r.key: r.value for r in _last_of_key(_section(spark, path, "General")).collect()}
+    """The ``[General]`` lines, a handful."""
+    got = {r.key: r.value for r in _last_of_key(_lines(spark, path).filter(F.col("key").isin(SETTING_KEYS))).collect()}
     return Settings(
         region=got.get("region", ""),
         market=got.get("market", ""),
