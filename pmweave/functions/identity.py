@@ -23,9 +23,10 @@ CHANNEL_TYPE_MARK = "ChType-"
 
 def _tail(text: Column, key: str) -> Column:
     """Everything after the first ``key=`` that starts the name or follows a comma; null without one."""
-    whole = F.concat(F.lit(","), text)
-    at = F.instr(whole, f",{key}=")
-    return F.when(at > 0, F.substr(whole, at + F.lit(len(key) + 2)))
+    at = F.instr(text, f",{key}=")
+    return F.when(F.startswith(text, F.lit(f"{key}=")), F.substr(text, F.lit(len(key) + 2))).when(
+        at > 0, F.substr(text, at + F.lit(len(key) + 2))
+    )
 
 
 def _value(tail: Column) -> Column:
@@ -57,8 +58,9 @@ def eric_relation(moid: Column, technology: str = "UMTS") -> Column:
     def classify(below: Column) -> Column:
         decided = F
         for rel_type, (freq_key, cell_key) in RELATION_KEYS.items():
-            starts_here = F.contains(F.concat(F.lit(","), below), F.lit(f",{freq_key}="))
-            decided = decided.when(starts_here, _relation(below, rel_type, freq_key, cell_key))
+            # below the cell a relation always follows a comma
+            named = F.contains(below, F.lit(f",{freq_key}="))
+            decided = decided.when(named, _relation(below, rel_type, freq_key, cell_key))
         return decided
 
     return bind(below_cell, classify)

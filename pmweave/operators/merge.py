@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pmweave.functions.arrays import bind
+
 
 def merge_last(pm_long: DataFrame, keys: list[str]) -> DataFrame:
     """For tall tables: the value with the highest ``pos`` per key and counter.
@@ -38,19 +40,16 @@ def _starts_of_runs(ordered: str, key) -> Column:
     )
 
 
-def merge_documents(
-    parsed: DataFrame, identity, codes: list[str], keep_empty: bool = False
-) -> DataFrame:
+def merge_documents(parsed: DataFrame, identity, keep_empty: bool = False) -> DataFrame:
     """Cells of every parsed document, merged inside the document: no exchange at all.
 
-    ``parsed`` carries an ``objects`` array (see ``parse_eric``). ``identity(moid)`` gives the
-    struct an object belongs to, null to leave it out. The result has the identity's
-    fields and ``values ARRAY<STRING>``, one element per code in the order of
-    ``codes``, null where the cell lacks the counter.
+    ``parsed`` comes from ``parse_eric`` with codes. ``identity(moid)`` gives the struct an object
+    belongs to; a null ``cell_id`` in it leaves the object out. The result has the identity's
+    fields and ``values MAP<INT, STRING>``, the configured counters the cell has by their
+    place among the codes.
 
-    Blocks are sorted by identity and document order, cut into runs, and each run's
-    counters sorted by (code, order) with the last of each code kept. Sorting keeps the
-    work near-linear for controllers with thousands of cells in one document.
+    Objects are sorted by identity and document order and cut into runs, one per cell. That
+    keeps the work near-linear for controllers with thousands of cells in one document.
 
     With ``keep_empty`` a document without cells keeps one row with a null identity, next to
     ``corrupt`` and ``nameless`` (objects that carry no name), so that one staged table serves
@@ -63,19 +62,15 @@ def merge_documents(
         ).withColumn("corrupt", F.col("corrupt").isNotNull())
         kept += ["nameless", "corrupt"]
     explode = F.explode_outer if keep_empty else F.explode
-    wanted = F.array(*[F.lit(c) for c in codes])
-    entry = F.transform(
+    named = F.transform(
         "objects",
         lambda o: F.struct(
-            identity(o["moid"]).alias("who"),
-            o["md"].alias("md"),
-            o["mv"].alias("mv"),
-            F.transform(o["names"], lambda n: F.array_position(wanted, n).cast("int")).alias("at"),
-            o["raws"].alias("raws"),
+            identity(o["moid"]).alias("who"), o["md"].alias("md"), o["mv"].alias("mv"),
+            o["at"].alias("at"), o["raws"].alias("raws"),
         ),
     )
     ordered = parsed.select(
-        *kept, F.sort_array(F.filter(entry, lambda e: e["who"].isNotNull())).alias("ordered")
+        *kept, F.sort_array(F.filter(named, lambda o: o["who"]["cell_id"].isNotNull())).alias("ordered")
     )
     runs = ordered.select(*kept, "ordered", _starts_of_runs("ordered", lambda e: e["who"]).alias("starts"))
     cells = runs.select(
@@ -89,42 +84,25 @@ def merge_documents(
             )
         ).alias("run"),
     )
-    pairs = F.flatten(
-        F.transform(
-            "run", lambda e: F.zip_with(e["at"], e["raws"], lambda at, raw: F.struct(at.alias("at"), raw.alias("raw")))
-        )
-    )
-    found = F.filter(pairs, lambda p: (p["at"] > 0) & p["raw"].isNotNull())
     counters = cells.select(
-        *kept,
-        F.get("run", F.lit(0))["who"].alias("who"),
-        F.sort_array(
-            F.transform(
-                found, lambda p, i: F.struct(p["at"].alias("at"), i.alias("i"), p["raw"].alias("raw"))
-            )
-        ).alias("counters"),
+        *kept, F.get("run", F.lit(0))["who"].alias("who"),
+        F.flatten(F.col("run")["at"]).alias("at"), F.flatten(F.col("run")["raws"]).alias("raws"),
     )
-    latest = counters.select(
-        *kept,
-        "who",
-        F.filter(
-            "counters", lambda p, i: ~p["at"].eqNullSafe(F.get("counters", i + 1)["at"])
-        ).alias("latest"),
+    once = F.size(F.array_distinct("at")) == F.size("at")
+    values = F.when(once, F.map_from_arrays("at", "raws")).otherwise(F.map_from_entries(_latest("at", "raws")))
+    return counters.select(*kept, "who.*", values.alias("values"))
+
+
+def _latest(keys: str, values: str) -> Column:
+    """``(key, value)`` pairs of two aligned arrays, of a repeated key the last one."""
+    numbered = F.transform(
+        F.arrays_zip(keys, values),
+        lambda e, i: F.struct(e[keys].alias("key"), i.alias("i"), e[values].alias("value")),
     )
-    return latest.select(*kept, "who.*", _dense(F.col("latest"), len(codes)).alias("values"))
-
-
-def _dense(latest: Column, n: int) -> Column:
-    """Sorted unique ``(at, raw)`` as n elements, the gaps filled with null."""
-    before = F.concat(F.array(F.lit(0)), latest["at"])
-    none = F.lit(None).cast("string")
-    return F.flatten(
-        F.zip_with(
-            latest,
-            before,
-            lambda e, prev: F.concat(
-                F.array_repeat(none, F.coalesce(e["at"], F.lit(n + 1)) - prev - 1),
-                F.when(e.isNull(), F.array().cast("array<string>")).otherwise(F.array(e["raw"])),
-            ),
-        )
+    return bind(
+        F.sort_array(numbered),
+        lambda pairs: F.transform(
+            F.filter(pairs, lambda e, i: ~e["key"].eqNullSafe(F.get(pairs, i + 1)["key"])),
+            lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")),
+        ),
     )

@@ -33,15 +33,15 @@ def report_columns(entries: list[Counter]) -> list[str]:
 
 
 def codes_of(entries: list[Counter]) -> list[str]:
-    """Distinct codes in catalog order: the order of a merged cell's ``values``."""
+    """Distinct codes in catalog order: their places, from 1, key a merged cell's ``values``."""
     return list(dict.fromkeys(e.code for e in entries))
 
 
 def _reader(frame: DataFrame, entries: list[Counter]):
     """How to get the raw value of an entry from this frame's representation."""
     if "values" in frame.columns:
-        at = {code: i for i, code in enumerate(codes_of(entries))}
-        return lambda e: F.get("values", F.lit(at[e.code]))
+        at = {code: i for i, code in enumerate(codes_of(entries), start=1)}
+        return lambda e: F.try_element_at("values", F.lit(at[e.code]))
     if not isinstance(frame.schema["counters"].dataType, T.MapType):
         raise TypeError("counters must be a map")
 

@@ -39,14 +39,15 @@ def no_issues(frame: DataFrame) -> DataFrame:
 def missing_counters_eric(cells: DataFrame, entries: list[Counter]) -> DataFrame:
     """Configured counters some cell of a file lacks, once per file and counter.
 
-    ``cells`` has ``values`` in catalog order or a ``counters`` map. Lacking codes are picked on
+    ``cells`` has ``values`` by place in the catalog or a ``counters`` map. Lacking codes are picked on
     the row itself, so no catalog join is needed; repeats of a file mostly sit in one
     task and collapse there before the exchange.
     """
     codes = F.array(*[F.lit(c) for c in codes_of(entries)])
     if "values" in cells.columns:
-        lacking = F.filter(
-            F.zip_with(codes, F.col("values"), lambda c, v: F.when(v.isNull(), c)), lambda c: c.isNotNull()
+        places = F.sequence(F.lit(1), F.lit(len(codes_of(entries))))
+        lacking = F.transform(
+            F.array_except(places, F.map_keys("values")), lambda at: F.get(codes, at - 1)
         )
     else:
         lacking = F.array_except(codes, F.map_keys("counters"))
@@ -65,10 +66,10 @@ def array_length_issues(pm_long: DataFrame, entries: list[Counter]) -> DataFrame
 
 
 def array_length_issues_of_cells(cells: DataFrame, entries: list[Counter]) -> DataFrame:
-    """The same over merged cells with ``values`` in catalog order."""
-    at = {code: i for i, code in enumerate(codes_of(entries))}
+    """The same over merged cells with ``values`` by place in the catalog."""
+    at = {code: i for i, code in enumerate(codes_of(entries), start=1)}
     findings = [
-        _length_findings(e, F.get("values", F.lit(at[e.code])), F.lit(True)) for e in entries
+        _length_findings(e, F.try_element_at("values", F.lit(at[e.code])), F.lit(True)) for e in entries
     ]
     return _as_length_issues(cells.select("file_path", F.explode(F.array_compact(F.array(*findings))).alias("f")))
 

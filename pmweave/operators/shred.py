@@ -46,31 +46,44 @@ def detect_eric_dialect(files: DataFrame) -> DataFrame:
     return files.withColumn("dialect", F.when(is_3gpp, "3gpp").otherwise("mdc"))
 
 
-def _mdc_objects(doc: Column, names_scope: str) -> Column:
-    """All ``mv`` of a document as ``STRUCT<moid, md, mv, names, raws>``.
+def _or_empty(array: Column) -> Column:
+    return F.coalesce(array, F.array())
+
+
+def _concat_all(arrays: Column) -> Column:
+    """flatten() that leaves out null members instead of turning null itself."""
+    return F.flatten(F.filter(arrays, lambda a: a.isNotNull()))
 
-    Names pair with values by position within an ``md`` block. Empty values stay in
-    place, so positions hold. With ``names_scope='mi'`` every ``mi`` pairs on its own.
+
+def _zero_if_blank(raw: Column) -> Column:
+    # from_xml has trimmed already
+    return F.when(raw == "", F.lit(ZERO)).otherwise(raw)
+
+
+def _mdc_blocks(doc: Column, names_scope: str) -> Column:
+    """Blocks ``STRUCT<mt, mv>`` within which names pair with values by position.
+
+    A block is an ``md``; with ``names_scope='mi'`` every ``mi`` is one. Blocks without names hold nothing.
     """
     if names_scope == "mi":
-        blocks = F.transform(
-            F.flatten(doc["md"]["mi"]), lambda mi: F.struct(mi["mt"].alias("mt"), mi["mv"].alias("mv"))
-        )
+        blocks = _concat_all(doc["md"]["mi"])
     else:
         blocks = F.transform(
             doc["md"],
             lambda md: F.struct(_concat_all(md["mi"]["mt"]).alias("mt"), _concat_all(md["mi"]["mv"]).alias("mv")),
         )
+    return F.filter(blocks, lambda block: F.size(block["mt"]) > 0)
+
+
+def _mdc_objects(doc: Column, names_scope: str) -> Column:
+    """All ``mv`` of a document as ``STRUCT<moid, md, mv, names, raws>``; empty values stay in place as zero."""
     return F.flatten(
         F.transform(
-            F.filter(blocks, lambda block: F.size(block["mt"]) > 0),
+            _mdc_blocks(doc, names_scope),
             lambda block, md: F.transform(
                 _or_empty(block["mv"]),
                 lambda mv, at: F.struct(
-                    mv["moid"].alias("moid"),
-                    md.alias("md"),
-                    at.alias("mv"),
-                    block["mt"].alias("names"),
+                    mv["moid"].alias("moid"), md.alias("md"), at.alias("mv"), block["mt"].alias("names"),
                     F.transform(_or_empty(mv["r"]), _zero_if_blank).alias("raws"),
                 ),
             ),
@@ -78,67 +91,142 @@ def _mdc_objects(doc: Column, names_scope: str) -> Column:
     )
 
 
-def _or_empty(array: Column) -> Column:
-    return F.coalesce(array, F.array())
+def _mdc_configured(doc: Column, names_scope: str, wanted: Column) -> Column:
+    """As ``_mdc_objects``, with configured counters only: ``STRUCT<moid, md, mv, at, raws>``.
 
+    ``at`` is the counter's place in ``wanted``. Places are looked up once per block, not per
+    object, and unlisted values are never touched.
+    """
+    blocks = F.transform(
+        _mdc_blocks(doc, names_scope),
+        lambda block: F.struct(
+            F.filter(
+                F.transform(
+                    block["mt"],
+                    lambda name, i: F.struct(F.array_position(wanted, name).cast("int").alias("at"), i.alias("i")),
+                ),
+                lambda slot: slot["at"] > 0,
+            ).alias("slots"),
+            F.size(block["mt"]).alias("names"),
+            _or_empty(block["mv"]).alias("mv"),
+        ),
+    )
 
-def _concat_all(arrays: Column) -> Column:
-    """flatten() that leaves out null members instead of turning null itself."""
-    return F.flatten(F.filter(arrays, lambda a: a.isNotNull()))
+    def one(mv: Column, at: Column, md: Column, slots: Column) -> Column:
+        return F.struct(
+            mv["moid"].alias("moid"), md.alias("md"), at.alias("mv"), slots["at"].alias("at"),
+            F.transform(slots["i"], lambda i: _zero_if_blank(F.get(mv["r"], i))).alias("raws"),
+        )
 
+    def per_block(block: Column, md: Column) -> Column:
+        def per_mv(mv: Column, at: Column) -> Column:
+            held = F.coalesce(F.size(mv["r"]), F.lit(0))
+            full = one(mv, at, md, block["slots"])
+            short = bind(
+                F.filter(block["slots"], lambda slot: slot["i"] < held), lambda slots: one(mv, at, md, slots)
+            )
+            return F.when(held >= block["names"], full).otherwise(short)
 
-def _zero_if_blank(raw: Column) -> Column:
-    return F.when(F.trim(raw) == "", F.lit(ZERO)).otherwise(raw)
+        return F.transform(block["mv"], per_mv)
 
+    return F.flatten(F.transform(blocks, per_block))
 
-def _collec_objects(doc: Column) -> Column:
-    """All ``measValue`` of the first ``measData``, in the same shape as ``_mdc_objects``.
 
-    Values refer to names by ``p``; of a ``p`` declared twice the last name counts, and
-    a value with an undeclared ``p`` gets no name and is dropped later.
+def _collec_blocks(doc: Column, label) -> Column:
+    """``measInfo`` of the first ``measData`` as ``STRUCT<p, names, mv>``.
+
+    Values refer to names by ``p``. Declarations are kept in reverse, so that the first match of a
+    ``p`` declared twice is its last name. ``label`` turns a name into what values are given.
     """
+    infos = F.filter(F.get(doc["measData"], F.lit(0))["measInfo"], lambda info: F.size(info["measType"]) > 0)
+    return F.transform(
+        infos,
+        lambda info: F.struct(
+            F.reverse(info["measType"]["_p"]).alias("p"),
+            F.transform(F.reverse(info["measType"]["_VALUE"]), label).alias("names"),
+            _or_empty(info["measValue"]).alias("mv"),
+        ),
+    )
 
-    def pair(info: Column, md: Column) -> Column:
-        declared = F.reverse(info["measType"])
-        return F.transform(
-            _or_empty(info["measValue"]),
-            lambda value, at: F.struct(
-                value["_measObjLdn"].alias("moid"),
-                md.alias("md"),
-                at.alias("mv"),
-                F.transform(
-                    _or_empty(value["r"]),
-                    lambda r: F.get(declared["_VALUE"], F.array_position(declared["_p"], r["_p"]).cast("int") - 1),
-                ).alias("names"),
-                F.transform(
-                    _or_empty(value["r"]), lambda r: _zero_if_blank(F.coalesce(r["_VALUE"], F.lit("")))
-                ).alias("raws"),
+
+def _declared(block: Column, p: Column) -> Column:
+    return F.get(block["names"], F.array_position(block["p"], p).cast("int") - 1)
+
+
+def _text_of(r: Column) -> Column:
+    return _zero_if_blank(F.coalesce(r["_VALUE"], F.lit("")))
+
+
+def _collec_objects(doc: Column) -> Column:
+    """All ``measValue`` in the shape of ``_mdc_objects``; a value with an undeclared ``p`` has a null name."""
+    return F.flatten(
+        F.transform(
+            _collec_blocks(doc, lambda name: name),
+            lambda block, md: F.transform(
+                block["mv"],
+                lambda value, at: F.struct(
+                    value["_measObjLdn"].alias("moid"), md.alias("md"), at.alias("mv"),
+                    F.transform(_or_empty(value["r"]), lambda r: _declared(block, r["_p"])).alias("names"),
+                    F.transform(_or_empty(value["r"]), _text_of).alias("raws"),
+                ),
+            ),
+        )
+    )
+
+
+def _collec_configured(doc: Column, wanted: Column) -> Column:
+    """All ``measValue`` in the shape of ``_mdc_configured``."""
+
+    def one(value: Column, at: Column, md: Column, block: Column) -> Column:
+        pairs = F.filter(
+            F.transform(
+                _or_empty(value["r"]),
+                lambda r: F.struct(_declared(block, r["_p"]).alias("at"), _text_of(r).alias("raw")),
+            ),
+            lambda pair: pair["at"] > 0,
+        )
+        return bind(
+            pairs,
+            lambda kept: F.struct(
+                value["_measObjLdn"].alias("moid"), md.alias("md"), at.alias("mv"),
+                kept["at"].alias("at"), kept["raw"].alias("raws"),
             ),
         )
 
-    infos = F.get(doc["measData"], F.lit(0))["measInfo"]
-    return F.flatten(F.transform(F.filter(infos, lambda info: F.size(info["measType"]) > 0), pair))
+    return F.flatten(
+        F.transform(
+            _collec_blocks(doc, lambda name: F.array_position(wanted, name).cast("int")),
+            lambda block, md: F.transform(block["mv"], lambda value, at: one(value, at, md, block)),
+        )
+    )
 
 
-def parse_eric(files: DataFrame, names_scope: str = "md") -> DataFrame:
+def parse_eric(files: DataFrame, names_scope: str = "md", codes: list[str] | None = None) -> DataFrame:
     """One row per document with its ``objects`` array; ``corrupt`` holds an unreadable text.
 
-    Both dialects in one pass over the input; a row is parsed with its own schema only.
+    Both dialects in one pass over the input; a row is parsed with its own schema only. Objects
+    are ``STRUCT<moid, md, mv, names, raws>``; with ``codes`` they hold only these counters, as
+    ``STRUCT<moid, md, mv, at, raws>`` with ``at`` counted from 1.
     """
     kept = [c for c in files.columns if c not in ("content", "dialect")]
     typed = files if "dialect" in files.columns else detect_eric_dialect(files)
     is_mdc = F.col("dialect") == "mdc"
+    if codes is None:
+        mdc, collec = _mdc_objects(F.col("_mdc"), names_scope), _collec_objects(F.col("_collec"))
+    else:
+        wanted = F.array(*[F.lit(c) for c in codes])
+        mdc = _mdc_configured(F.col("_mdc"), names_scope, wanted)
+        collec = _collec_configured(F.col("_collec"), wanted)
     return (
         typed.select(
             *kept, "dialect",
-            F.when(is_mdc, F.from_xml("content", MDC_SCHEMA, XML_OPTIONS)).alias("mdc"),
-            F.when(~is_mdc, F.from_xml("content", COLLEC_SCHEMA, XML_OPTIONS)).alias("collec"),
+            F.when(is_mdc, F.from_xml("content", MDC_SCHEMA, XML_OPTIONS)).alias("_mdc"),
+            F.when(~is_mdc, F.from_xml("content", COLLEC_SCHEMA, XML_OPTIONS)).alias("_collec"),
         )
         .select(
             *kept, "dialect",
-            F.when(is_mdc, _mdc_objects(F.col("mdc"), names_scope))
-            .otherwise(_collec_objects(F.col("collec"))).alias("objects"),
-            F.coalesce("mdc._corrupt_record", "collec._corrupt_record").alias("corrupt"),
+            F.when(is_mdc, mdc).otherwise(collec).alias("objects"),
+            F.coalesce("_mdc._corrupt_record", "_collec._corrupt_record").alias("corrupt"),
         )
     )
 
@@ -170,7 +258,10 @@ def _rename_targets(content: Column, mark: str) -> Column:
     lose its measurement type, while an object without counters still is an object.
     """
     name = rf"[^\s<>/]*{mark}[^\s<>/]*"
-    opened = F.regexp_replace(content, rf"<{name}(\s[^<>]*)?/>", "<PMTarget$1><_none/></PMTarget>")
+    opened = F.when(
+        F.contains(content, F.lit("/>")),
+        F.regexp_replace(content, rf"<{name}(\s[^<>]*)?/>", "<PMTarget$1><_none/></PMTarget>"),
+    ).otherwise(content)
     return F.regexp_replace(opened, rf"<(/?){name}", "<$1PMTarget")
 
 

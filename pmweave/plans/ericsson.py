@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pmweave.functions import names
+from pmweave.functions.arrays import bind
 from pmweave.functions.identity import eric_cell_id_lte, eric_cell_id_umts, eric_relation
 from pmweave.operators import quality
 from pmweave.operators.merge import merge_documents
@@ -63,17 +64,15 @@ def common_columns_eric(settings: Settings) -> list[Column]:
     return [v.alias(n) for v, n in zip(values, COMMON_HEADER, strict=True)]
 
 
-def _lte_identity(moid: Column) -> Column:
-    cell = eric_cell_id_lte(moid)
-    return F.when(cell.isNotNull(), F.struct(cell.alias("cell_id")))
+def lte_identity(moid: Column) -> Column:
+    return F.struct(eric_cell_id_lte(moid).alias("cell_id"))
 
 
-def _umts_identity(moid: Column) -> Column:
-    cell, relation = eric_cell_id_umts(moid), eric_relation(moid)
-    return F.when(
-        cell.isNotNull(),
-        F.struct(
-            cell.alias("cell_id"), relation["rel_type"].alias("rel_type"),
+def umts_identity(moid: Column) -> Column:
+    return bind(
+        eric_relation(moid),
+        lambda relation: F.struct(
+            eric_cell_id_umts(moid).alias("cell_id"), relation["rel_type"].alias("rel_type"),
             relation["freq_rel"].alias("freq_rel"), relation["cell_rel"].alias("cell_rel"),
         ),
     )
@@ -89,14 +88,14 @@ def cells(
     files: DataFrame, entries: list[Counter], technology: str,
     names_scope: str = "md", keep_empty: bool = False,
 ) -> DataFrame:
-    """Merged cells: file fields, identity, ``values`` in catalog order.
+    """Merged cells: file fields, identity, ``values`` by place in the catalog.
 
     LTE folds the objects below a cell into the cell, UMTS keeps relations apart.
     """
-    identity = _umts_identity if technology == "UMTS" else _lte_identity
+    identity = umts_identity if technology == "UMTS" else lte_identity
     # the name is parsed once per document, before its cells multiply
-    parsed = parse_eric(eric_file_fields(files), names_scope)
-    return merge_documents(parsed, identity, codes_of(entries), keep_empty)
+    parsed = parse_eric(eric_file_fields(files), names_scope, codes_of(entries))
+    return merge_documents(parsed, identity, keep_empty)
 
 
 def report(

@@ -111,8 +111,8 @@ def test_merge_in_document_equals_tall_merge(spark):
     wide = widen(merge_last(tall, keys), keys, codes)
     expected = {(r.file_path, r.cell_id): r.counters for r in wide.collect()}
     got = {
-        (r.file_path, r.cell_id): {c: v for c, v in zip(codes, r["values"], strict=True) if v is not None}
-        for r in merge_documents(parse_eric(files), ericsson._lte_identity, codes).collect()
+        (r.file_path, r.cell_id): {codes[at - 1]: v for at, v in r["values"].items()}
+        for r in merge_documents(parse_eric(files, codes=codes), ericsson.lte_identity).collect()
     }
     assert got == expected
     assert got[("a", "C1")] == {"pmComp": "2,1,7,9,5", "pmA": "4", "pmB": "0", "pmHist": "1,2,3"}

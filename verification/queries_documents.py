@@ -380,7 +380,7 @@ def write_pm_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Missing counters of documents, written by kind and read back."""
     entries = [Counter("t", i, c, c) for i, c in enumerate(("pm_view", "pm_click", "pmHist"))]
     merged = merge_documents(
-        parse_eric(feeds.mdc_documents(spark, sf_dir)), ericsson._lte_identity, [e.code for e in entries]
+        parse_eric(feeds.mdc_documents(spark, sf_dir), codes=[e.code for e in entries]), ericsson.lte_identity
     )
     folder = shared_folder(spark, "issues")
     write_issues(quality.missing_counters_eric(merged, entries), folder)
