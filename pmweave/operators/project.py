@@ -37,10 +37,10 @@ def codes_of(entries: list[Counter]) -> list[str]:
     return list(dict.fromkeys(e.code for e in entries))
 
 
-def _reader(frame: DataFrame, entries: list[Counter]):
+def _reader(frame: DataFrame, codes: list[str]):
     """How to get the raw value of an entry from this frame's representation."""
     if "values" in frame.columns:
-        at = {code: i for i, code in enumerate(codes_of(entries), start=1)}
+        at = {code: i for i, code in enumerate(codes, start=1)}
         return lambda e: F.try_element_at("values", F.lit(at[e.code]))
     if not isinstance(frame.schema["counters"].dataType, T.MapType):
         raise TypeError("counters must be a map")
@@ -55,15 +55,17 @@ def _reader(frame: DataFrame, entries: list[Counter]):
 
 
 def project_configured(
-    frame: DataFrame, entries: list[Counter], kept: list[str], absent: str
+    frame: DataFrame, entries: list[Counter], kept: list[str], absent: str, codes: list[str] | None = None
 ) -> DataFrame:
     """``kept`` columns followed by one column per configured value.
 
+    ``codes`` is what the keys of a ``values`` map count, by default the codes of ``entries``.
+
     ``absent`` is what a scalar column holds when the cell lacks the counter: ``"0"`` in
     Ericsson reports, ``""`` in Nokia reports. Arrays are expanded once each and then
     spread, in two selects; a catalog of hundreds of counters is still a single stage.
     """
-    read = _reader(frame, entries)
+    read = _reader(frame, codes or codes_of(entries))
     arrays = [(i, e) for i, e in enumerate(entries) if e.kind != SINGLE]
     scalar = {
         i: (expand_single(read(e)) if absent == "0" else F.coalesce(read(e), F.lit(absent)))
@@ -110,8 +112,8 @@ def with_relation(objects: DataFrame, technology: str = "UMTS") -> DataFrame:
 
 
 def relation_report(
-    cells: DataFrame, rel_type: str, entries: list[Counter], kept: list[str]
+    cells: DataFrame, rel_type: str, entries: list[Counter], kept: list[str], codes: list[str] | None = None
 ) -> DataFrame:
     """Rows of one relation table: ``kept``, the cell, both relation parts, the table's counters."""
     rows = cells.filter(F.col("rel_type") == rel_type)
-    return project_configured(rows, entries, [*kept, "cell_id", "freq_rel", "cell_rel"], absent="0")
+    return project_configured(rows, entries, [*kept, "cell_id", "freq_rel", "cell_rel"], "0", codes)

@@ -18,8 +18,6 @@ NOT_IN_XML = "ElementsNotInXML="
 NOTHING_USED = "ElementsNothingUse="
 UNUSED_SCAN_OBJECTS = 11
 
-ISSUE_COLUMNS = ["file_path", "meas_type", "kind", "item", "message"]
-
 
 def _issue(kind: str, item: Column, message: Column, meas_type: Column | None = None) -> list[Column]:
     return [
@@ -31,11 +29,6 @@ def _issue(kind: str, item: Column, message: Column, meas_type: Column | None =
     ]
 
 
-def no_issues(frame: DataFrame) -> DataFrame:
-    none = F.lit(None).cast("string")
-    return frame.select(*[none.alias(c) for c in ISSUE_COLUMNS]).limit(0)
-
-
 def missing_counters_eric(cells: DataFrame, entries: list[Counter]) -> DataFrame:
     """Configured counters some cell of a file lacks, once per file and counter.
 
@@ -119,19 +112,17 @@ def _present(objects: DataFrame) -> Column:
 
 
 def missing_counters_nokia(objects: DataFrame, catalog: dict[str, list[Counter]]) -> DataFrame:
-    """Per file, the configured elements its last object lacks, in catalog order."""
-    last = (
-        objects.groupBy("file_path")
-        .agg(
-            F.max_by(
-                F.struct("meas_type", _present(objects).alias("present")), F.col("object_pos")
-            ).alias("last")
+    """Per file, the configured elements its last object lacks, in catalog order.
+
+    Objects are numbered within their document, so the last one is told by its own row.
+    """
+    lacking = (
+        objects.filter(F.col("object_pos") == F.col("object_count") - 1)
+        .select(
+            "file_path", "meas_type", F.array_except(_configured(catalog), _present(objects)).alias("lacking")
         )
-        .select("file_path", "last.*")
+        .filter(F.size("lacking") > 0)
     )
-    lacking = last.select(
-        "file_path", "meas_type", F.array_except(_configured(catalog), F.col("present")).alias("lacking")
-    ).filter(F.size("lacking") > 0)
     item = F.concat_ws(",", "lacking")
     return lacking.select(
         *_issue(

@@ -233,7 +233,7 @@ def parse_eric(files: DataFrame, names_scope: str = "md", codes: list[str] | Non
 
 def _objects_as_rows(parsed: DataFrame) -> DataFrame:
     kept = [c for c in parsed.columns if c not in ("objects", "corrupt", "dialect")]
-    return parsed.select(*kept, F.explode("objects").alias("o")).select(*kept, "o.*")
+    return parsed.select(*kept, F.explode("objects").alias("_o")).select(*kept, "_o.*")
 
 
 def shred_mdc(files: DataFrame, names_scope: str = "md") -> DataFrame:
@@ -275,7 +275,7 @@ def parse_nokia(files: DataFrame, target: str) -> DataFrame:
 
 
 def _setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> DataFrame:
-    """One row per ``PMMOResult``, numbered through its document in ``object_pos``.
+    """One row per ``PMMOResult``, numbered through its document in ``object_pos`` of ``object_count``.
 
     ``counters`` holds the element texts below the target; attributes are taken out. With
     ``keep_empty`` a document without objects keeps one row, and ``corrupt`` tells why.
@@ -299,15 +299,19 @@ def _setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> D
             ),
         )
     )
-    rows = parsed.select(*kept, explode(numbered).alias("object_pos", "o"))
-    counters = F.map_filter("o.target", lambda k, v: ~k.startswith("_"))
+    counted = parsed.select(*kept, numbered.alias("_objects"))
+    rows = counted.select(
+        *kept, F.size("_objects").alias("object_count"), explode("_objects").alias("object_pos", "_o")
+    )
+    counters = F.map_filter("_o.target", lambda k, v: ~k.startswith("_"))
     return rows.select(
         *kept,
         "object_pos",
-        "o.start_time",
-        "o.interval",
-        canonical_type(F.try_element_at("o.target", F.lit("_measurementType"))).alias("meas_type"),
-        "o.mo",
+        "object_count",
+        "_o.start_time",
+        "_o.interval",
+        canonical_type(F.try_element_at("_o.target", F.lit("_measurementType"))).alias("meas_type"),
+        "_o.mo",
         F.coalesce(
             lower_counter_codes(counters) if lower_codes else counters,
             F.create_map().cast("map<string,string>"),
@@ -367,11 +371,11 @@ def explode_counters(objects: DataFrame) -> DataFrame:
         kept = [c for c in objects.columns if c not in ("names", "raws", "md", "mv")]
         paired = F.zip_with("names", "raws", lambda n, v: F.struct(n.alias("counter"), v.alias("raw")))
         return (
-            objects.select(*kept, "md", "mv", F.posexplode(paired).alias("r", "c"))
-            .filter(F.col("c.counter").isNotNull() & F.col("c.raw").isNotNull())
-            .select(*kept, "c.counter", "c.raw", F.struct("md", "mv", "r").alias("pos"))
+            objects.select(*kept, "md", "mv", F.posexplode(paired).alias("r", "_c"))
+            .filter(F.col("_c.counter").isNotNull() & F.col("_c.raw").isNotNull())
+            .select(*kept, "_c.counter", "_c.raw", F.struct("md", "mv", "r").alias("pos"))
         )
-    kept = [c for c in objects.columns if c not in ("counters", "object_pos", "mo")]
+    kept = [c for c in objects.columns if c not in ("counters", "object_pos", "object_count", "mo")]
     return objects.select(
         *kept, "object_pos", F.explode("counters").alias("counter", "raw")
     ).select(*kept, "counter", "raw", F.struct("object_pos").alias("pos"))

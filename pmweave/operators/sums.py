@@ -28,9 +28,9 @@ def _number(code: str, type_name: str = "bigint") -> Column:
     return F.trim(F.try_element_at("counters", F.lit(code))).try_cast(type_name)
 
 
-def _sum_where(predicate: Column, value: Column, type_name: str = "bigint") -> Column:
-    zero = F.lit(0).cast(type_name)
-    return F.coalesce(F.sum(F.when(predicate, value)), zero).cast(type_name)
+def _sum_where(predicate: str, value: str) -> Column:
+    """Sum of one prepared column over the rows of one prepared predicate; nothing adds zero."""
+    return F.coalesce(F.sum(F.when(F.col(predicate), F.col(value))), F.lit(0))
 
 
 def neighbour_sum(objects: DataFrame, entries: list[Counter], keys: list[str]) -> DataFrame:
@@ -47,43 +47,49 @@ def only_neighbour_types(objects: DataFrame) -> DataFrame:
 def rlc_class_sum(objects: DataFrame, keys: list[str]) -> DataFrame:
     """Eight sums of volumes and times by channel type, in report order.
 
-    Columns are named after their predicates; a report may relabel them by position.
+    Columns are named after their predicates; a report may relabel them by position. Numbers and
+    predicates are worked out once per row before the sums share them.
     """
     packet = F.col("tr_subclass").isin(NRT_DATA, RT_DATA)
     dch, hsupa = F.col("ch_type") == DCH, F.col("ch_type") == HSUPA
-    return objects.groupBy(*keys).agg(
-        _sum_where(packet & dch, _number(DL_VOLUME)).alias("dl_vol_dch"),
-        _sum_where(packet & ~dch, _number(DL_VOLUME)).alias("dl_vol_non_dch"),
-        _sum_where(packet & dch, _number(DL_TIME)).alias("dl_time_dch"),
-        _sum_where(packet & ~dch, _number(DL_TIME)).alias("dl_time_non_dch"),
-        _sum_where(packet & ~hsupa, _number(UL_VOLUME)).alias("ul_vol_non_hsupa"),
-        _sum_where(hsupa, _number(UL_VOLUME)).alias("ul_vol_hsupa"),
-        _sum_where(packet & ~hsupa, _number(UL_TIME)).alias("ul_time_non_hsupa"),
-        _sum_where(hsupa, _number(UL_TIME)).alias("ul_time_hsupa"),
+    rows = objects.select(
+        *keys,
+        (packet & dch).alias("_dch"), (packet & ~dch).alias("_non_dch"),
+        (packet & ~hsupa).alias("_non_hsupa"), hsupa.alias("_hsupa"),
+        *[_number(c).alias(c) for c in (DL_VOLUME, DL_TIME, UL_VOLUME, UL_TIME)],
     )
+    layout = [
+        ("dl_vol_dch", "_dch", DL_VOLUME), ("dl_vol_non_dch", "_non_dch", DL_VOLUME),
+        ("dl_time_dch", "_dch", DL_TIME), ("dl_time_non_dch", "_non_dch", DL_TIME),
+        ("ul_vol_non_hsupa", "_non_hsupa", UL_VOLUME), ("ul_vol_hsupa", "_hsupa", UL_VOLUME),
+        ("ul_time_non_hsupa", "_non_hsupa", UL_TIME), ("ul_time_hsupa", "_hsupa", UL_TIME),
+    ]
+    return rows.groupBy(*keys).agg(*[_sum_where(p, v).alias(name) for name, p, v in layout])
 
 
 def olpc_class_sum(objects: DataFrame, keys: list[str]) -> DataFrame:
     """Twelve sums of checked blocks and radio-link power by traffic class, in report order."""
     sub, cls, ch = F.col("tr_subclass"), F.col("tr_class"), F.col("ch_type")
-    voice = sub == CS_VOICE
-    data = (sub == NRT_DATA) & cls.isin(BACKGROUND, INTERACTIVE)
-    uplink = sub.isin(NRT_DATA, RT_DATA) & (ch == HSUPA)
+    rows = objects.select(
+        *keys,
+        (sub == CS_VOICE).alias("_cs"),
+        ((sub == NRT_DATA) & cls.isin(BACKGROUND, INTERACTIVE)).alias("_ps"),
+        (sub.isin(NRT_DATA, RT_DATA) & (ch == HSUPA)).alias("_hsupa"),
+        *[_number(c).alias(c) for c in (CRC_OK, CRC_NOT_OK)],
+        _number(POWER_SUM, "double").alias(POWER_SUM),
+        # samples may be written as decimals; each counts with its whole part
+        _number(POWER_SAMPLES, "double").cast("bigint").alias(POWER_SAMPLES),
+    )
+    groups = ("cs", "ps", "hsupa")
     blocks = [
-        _sum_where(where, _number(code)).alias(f"{label}_{name}")
-        for where, name in ((voice, "cs"), (data, "ps"), (uplink, "hsupa"))
-        for code, label in ((CRC_NOT_OK, "crc_nok"), (CRC_OK, "crc_ok"))
+        _sum_where(f"_{g}", code).alias(f"{label}_{g}")
+        for g in groups for code, label in ((CRC_NOT_OK, "crc_nok"), (CRC_OK, "crc_ok"))
     ]
     power = [
-        column
-        for where, name in ((voice, "cs"), (data, "ps"), (uplink, "hsupa"))
-        for column in (
-            _sum_where(where, _number(POWER_SUM, "double"), "double").alias(f"pwr_sum_{name}"),
-            # samples may be written as decimals; each counts with its whole part
-            _sum_where(where, _number(POWER_SAMPLES, "double").cast("bigint")).alias(f"pwr_samples_{name}"),
-        )
+        _sum_where(f"_{g}", code).alias(f"{label}_{g}")
+        for g in groups for code, label in ((POWER_SUM, "pwr_sum"), (POWER_SAMPLES, "pwr_samples"))
     ]
-    return objects.groupBy(*keys).agg(*blocks, *power)
+    return rows.groupBy(*keys).agg(*blocks, *power)
 
 
 def relation_sum(relations: DataFrame, entries: list[Counter], keys: list[str]) -> DataFrame:

@@ -109,23 +109,33 @@ def report(
     return with_run_id(body, run_id, RUN_ID_UMTS_ERIC if technology == "UMTS" else RUN_ID)
 
 
+def stage_cells(
+    spark: SparkSession, files: DataFrame, entries: list[Counter], technology: str, names_scope: str = "md"
+) -> DataFrame:
+    """Merged cells and document findings, written once to the shared folder and read from there."""
+    folder = shared_folder(spark, "cells")
+    cells(files, entries, technology, names_scope, keep_empty=True).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def relation_reports(
-    files: DataFrame, catalog: dict[str, list[Counter]], settings: Settings
+    spark: SparkSession, files: DataFrame, catalog: dict[str, list[Counter]], settings: Settings
 ) -> dict[str, DataFrame]:
-    """One report per configured relation table, cell and both relation parts in front."""
-    reports = {}
-    for rel_type, header in RELATION_HEADER.items():
-        if rel_type not in catalog:
-            continue
-        entries = catalog[rel_type]
-        merged = cells(files, entries, "UMTS")
-        rows = merged.select(
-            *common_columns_eric(settings), "cell_id", "rel_type", "freq_rel", "cell_rel", "values"
-        )
-        reports[rel_type] = relation_report(rows, rel_type, entries, COMMON_HEADER).withColumnsRenamed(
-            {"freq_rel": header[0], "cell_rel": header[1]}
+    """One report per configured relation table, cell and both relation parts in front.
+
+    Documents are parsed once for the counters of all three tables.
+    """
+    tables = [t for t in RELATION_HEADER if t in catalog]
+    every = [e for t in tables for e in catalog[t]]
+    rows = stage_cells(spark, files, every, "UMTS").filter(F.col("rel_type").isNotNull()).select(
+        *common_columns_eric(settings), "cell_id", "rel_type", "freq_rel", "cell_rel", "values"
+    )
+    return {
+        t: relation_report(rows, t, catalog[t], COMMON_HEADER, codes_of(every)).withColumnsRenamed(
+            dict(zip(("freq_rel", "cell_rel"), RELATION_HEADER[t], strict=True))
         )
-    return reports
+        for t in tables
+    }
 
 
 def issues(merged: DataFrame, entries: list[Counter]) -> DataFrame:
@@ -149,16 +159,13 @@ def issues(merged: DataFrame, entries: list[Counter]) -> DataFrame:
 def run(
     spark: SparkSession, files: DataFrame, catalog: dict[str, list[Counter]], settings: Settings,
     technology: str, out: str, run_id: str, names_scope: str = "md",
-) -> str:
-    """Write ``out/report``, ``out/issues`` and ``out/issue_messages``; returns the staged table's folder."""
+) -> None:
+    """Write ``out/report``, ``out/issues`` and ``out/issue_messages``."""
     entries = report_entries(catalog, technology)
-    staged_at = shared_folder(spark, "cells")
-    cells(files, entries, technology, names_scope, keep_empty=True).write.parquet(staged_at)
-    staged = spark.read.parquet(staged_at)
+    staged = stage_cells(spark, files, entries, technology, names_scope)
     # a file whose name gives no time is an issue, not rows
     good = staged.filter(F.col("cell_id").isNotNull() & F.col("period_start").isNotNull())
     write_pm_report(report(good, entries, settings, technology, run_id), f"{out}/report", ERIC_SEP)
     found = issues(staged, entries)
     write_pm_issues(found, f"{out}/issues")
     quality.dedupe_issues(found).write.mode("overwrite").option("header", True).csv(f"{out}/issue_messages")
-    return staged_at

@@ -175,19 +175,24 @@ def issues(staged: DataFrame, catalog: dict[str, list[Counter]], settings: Setti
     return found.unionByName(quality.unused_elements(real, catalog)) if settings.list_unused else found
 
 
-def run(
-    spark: SparkSession, files: DataFrame, catalog: dict[str, list[Counter]], settings: Settings,
-    technology: str, out: str, run_id: str,
-) -> str:
-    """Write ``out/<table>``, ``out/<table>_sum`` and ``out/issues``; returns the staged table's folder.
+def stage_objects(spark: SparkSession, files: DataFrame, technology: str) -> DataFrame:
+    """Named objects and document findings, written once to the shared folder and read from there.
 
-    The stage is rebalanced by type: adaptive execution splits a type that holds most rows
-    and joins small ones, so the folder gets well-sized files however types are spread.
+    The table is partitioned and rebalanced by type: adaptive execution splits a type that holds
+    most rows and joins small ones, so folders get well-sized files however types are spread.
     """
-    staged_at = shared_folder(spark, "objects")
+    folder = shared_folder(spark, "objects")
     parsed = objects(files, technology, keep_empty=True)
-    parsed.hint("rebalance", "meas_type").write.partitionBy("meas_type").parquet(staged_at)
-    staged = spark.read.schema(parsed.schema).parquet(staged_at)
+    parsed.hint("rebalance", "meas_type").write.partitionBy("meas_type").parquet(folder)
+    return spark.read.schema(parsed.schema).parquet(folder)
+
+
+def run(
+    spark: SparkSession, files: DataFrame, catalog: dict[str, list[Counter]], settings: Settings,
+    technology: str, out: str, run_id: str,
+) -> None:
+    """Write ``out/<table>``, ``out/<table>_sum`` and ``out/issues``."""
+    staged = stage_objects(spark, files, technology)
     rows = staged.filter(has_cell(technology) & F.col("period_start").isNotNull())
     found = {
         r.meas_type
@@ -207,4 +212,3 @@ def run(
                     lte_neighbour_summary(rows, table, entries, settings, run_id), f"{out}/{table}"
                 )
     write_pm_issues(issues(staged, catalog, settings, technology), f"{out}/issues")
-    return staged_at

@@ -16,6 +16,9 @@ SESSION_DEFAULTS = {
     # A split is decoded one document at a time, but gzip input inflates ten- to
     # twentyfold, so splits are kept below the 128 MB default.
     "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+    # Documents are small files. The 4 MB default would put 16 of them into a split however
+    # small they are, and a large landing zone into millions of tasks.
+    "spark.sql.files.openCostInBytes": str(256 * 1024),
 }
 
 

@@ -42,11 +42,14 @@ def read_pm_files(spark: SparkSession, path: str, glob: str = XML_GLOB) -> DataF
 
 
 def read_pm_sequence(spark: SparkSession, path: str) -> DataFrame:
-    """SequenceFiles of (file name, XML bytes or text); one split per file block."""
+    """SequenceFiles of (file name, XML bytes or text); one split per file block.
+
+    The container for large backlogs: many documents per file, splittable, nothing to list.
+    """
     pairs = spark.sparkContext.sequenceFile(path).map(
         lambda kv: (kv[0], bytes(kv[1], "utf-8") if isinstance(kv[1], str) else bytes(kv[1]))
     )
-    frame = spark.createDataFrame(pairs, "file_path STRING, body BINARY")
+    frame = spark.createDataFrame(pairs, "file_path STRING, body BINARY", verifySchema=False)
     return frame.select(
         "file_path",
         base_name(F.col("file_path")).alias("file_name"),

@@ -160,7 +160,7 @@ def test_umts_ericsson_job_and_relations(spark, tmp_path):
     report = ericsson.report(ericsson.cells(files, entries, "UMTS"), entries, settings, "UMTS", "r")
     assert report.columns[0] == "MGR_RUNID" and report.columns[-2:] == ["UtranCell", "pmA"]
     assert {(r.UtranCell, r.pmA) for r in report.collect()} == {("C1", "3"), ("C2", "5")}
-    relations = ericsson.relation_reports(files, catalog, settings)
+    relations = ericsson.relation_reports(spark, files, catalog, settings)
     assert list(relations) == ["ltecell"]
     row = relations["ltecell"].first()
     assert tuple(row)[-6:] == ("C1", "5", "9", "4", "0", "0")

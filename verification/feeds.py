@@ -14,6 +14,22 @@ from pmweave.session import shared_folder
 
 EVENTS_PER_DOCUMENT = 64
 
+# Folders of documents already written, by session, table folder and kind.
+_landed: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame) -> DataFrame:
+    """Documents as a table in the shared folder, written once per session.
+
+    Operators start from landed documents, so writing them is kept out of their plans.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _landed:
+        folder = shared_folder(spark, f"documents-{kind}")
+        documents.write.parquet(folder)
+        _landed[key] = folder
+    return spark.read.parquet(_landed[key])
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -87,7 +103,7 @@ def _gather(rows: DataFrame, name: Column, head: Column, tail: Column, block_ope
     )
 
 
-def mdc_documents(spark: SparkSession, sf_dir: str, moid: Column | None = None) -> DataFrame:
+def mdc_documents(spark: SparkSession, sf_dir: str, technology: str = "LTE") -> DataFrame:
     """mdc documents, one ``md`` per event type.
 
     ``pm_<type>`` is the value; ``pmHist`` two numbers, empty when the value divides by 7
@@ -101,12 +117,12 @@ def mdc_documents(spark: SparkSession, sf_dir: str, moid: Column | None = None)
     )
     rows = event_rows(spark, sf_dir).select(
         "doc", "event_id", F.col("event_type").alias("block"),
-        text("<mv><moid>", lte_moid() if moid is None else moid, "</moid><r>", raw, "</r>", hist, "</mv>").alias("body"),
+        text("<mv><moid>", lte_moid() if technology == "LTE" else umts_moid(), "</moid><r>", raw, "</r>", hist, "</mv>").alias("body"),
     )
-    return _gather(
+    return landed(spark, sf_dir, f"mdc-{technology}", _gather(
         rows, eric_name(F.col("doc")), F.lit("<mdc><mfh/>\n"), F.lit("\n</mdc>"),
         text("<md><mi><mt>pm_", F.col("block"), "</mt><mt>pmHist</mt>"), "</mi></md>",
-    )
+    ))
 
 
 def collec_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,13 +140,13 @@ def collec_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
             '</m:r><m:r p="9">5</m:r></m:measValue>',
         ).alias("body"),
     )
-    return _gather(
+    return landed(spark, sf_dir, "3gpp", _gather(
         rows, eric_name(F.col("doc")),
         F.lit('<m:measCollecFile xmlns:m="urn:x"><m:fileHeader/><m:measData>\n'),
         F.lit("\n</m:measData></m:measCollecFile>"),
         text('<m:measInfo><m:measType p="1">pm_', F.col("block"), '</m:measType><m:measType p="2">pmHist</m:measType>'),
         "</m:measInfo>",
-    )
+    ))
 
 
 def nokia_name(doc: Column) -> Column:
@@ -187,9 +203,9 @@ def lte_nokia_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text(by_dn, plmn, target(
             "PMTarget", "lte_unlisted", text("<M9C1>", raw, "</M9C1><M9C", event % 3 + 2, ">", event % 3 + 2, "</M9C", event % 3 + 2, ">"))))
     )
-    return _setup(event_rows(spark, sf_dir).select(
+    return landed(spark, sf_dir, "nokia-LTE", _setup(event_rows(spark, sf_dir).select(
         "doc", "event_id", F.lit("").alias("block"), text("<PMMOResult>", body, "</PMMOResult>").alias("body")
-    ))
+    )))
 
 
 def umts_nokia_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -212,10 +228,10 @@ def umts_nokia_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         "</M1024C17></x:WCEL_Nokia2>",
     )
     is_rlc = kind.isin("view", "click", "error")
-    return _setup(event_rows(spark, sf_dir).select(
+    return landed(spark, sf_dir, "nokia-UMTS", _setup(event_rows(spark, sf_dir).select(
         "doc", "event_id", F.lit("").alias("block"),
         text("<PMMOResult>", cell, traffic, channel, F.when(is_rlc, rlc).otherwise(olpc), "</PMMOResult>").alias("body"),
-    ))
+    )))
 
 
 def pick(key: Column, *options: str) -> Column:

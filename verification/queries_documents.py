@@ -229,7 +229,7 @@ UMTS_CELLS_SQL = f"""WITH {EVENTS}, utall AS (
 SELECT 'run-1' AS "MGR_RUNID", {ERIC_FRONT}, cell_id AS "UtranCell", {ERIC_COUNTERS_SQL} FROM timed WHERE rel_type IS NULL""")
 def umts_ericsson_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole UMTS job of this vendor: relations kept apart, cells reported."""
-    files = feeds.mdc_documents(spark, sf_dir, feeds.umts_moid())
+    files = feeds.mdc_documents(spark, sf_dir, "UMTS")
     merged = ericsson.cells(files, ERIC_ENTRIES, "UMTS")
     return ericsson.report(merged, ERIC_ENTRIES, SETTINGS, "UMTS", "run-1")
 
@@ -241,13 +241,13 @@ FROM (SELECT doc, rel_type, cell_id, freq_rel, cell_rel, {ERIC_FRONT}, coalesce(
       FROM timed WHERE rel_type IS NOT NULL)""")
 def relation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports of the three relation tables, put under each other to be compared at once."""
-    files = feeds.mdc_documents(spark, sf_dir, feeds.umts_moid())
+    files = feeds.mdc_documents(spark, sf_dir, "UMTS")
     catalog = {
         t: [Counter(t, i, f"pm_{c}", f"pm_{c}") for i, c in enumerate(("view", "click"))]
         for t in ("ltecell", "umtscell", "gsmcell")
     }
     rows = None
-    for rel_type, report in ericsson.relation_reports(files, catalog, SETTINGS).items():
+    for rel_type, report in ericsson.relation_reports(spark, files, catalog, SETTINGS).items():
         freq, cell = ericsson.RELATION_HEADER[rel_type]
         one = report.select(
             F.substring("OSSName", 4, 9).cast("bigint").alias("oss"), F.lit(rel_type).alias("rel_type"), "cell_id",
@@ -260,7 +260,7 @@ def relation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @check(f"WITH {EVENTS} SELECT doc, cell_id, md, mv FROM umts WHERE cell_id IS NOT NULL AND rel_type IS NULL")
 def cell_grain_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    objects = with_relation(shred_md(feeds.mdc_documents(spark, sf_dir, feeds.umts_moid())))
+    objects = with_relation(shred_md(feeds.mdc_documents(spark, sf_dir, "UMTS")))
     return grain_filter(objects).select("doc", "cell_id", "md", "mv")
 
 
@@ -280,7 +280,8 @@ SELECT {NOKIA_FRONT}, meas_type, cell AS "MO_DN", cell_2 AS "MO_DN2", CASE WHEN
 FROM nok2 n WHERE meas_type <> 'lte_unlisted'""")
 def lte_nokia_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detail reports of all LTE types of this vendor, put under each other to be compared at once."""
-    rows = nokia.objects(feeds.lte_nokia_documents(spark, sf_dir), "LTE").filter(nokia.has_cell("LTE"))
+    staged = nokia.stage_objects(spark, feeds.lte_nokia_documents(spark, sf_dir), "LTE")
+    rows = staged.filter(nokia.has_cell("LTE"))
     order = ["SAMPLES_CELL_AVAIL", "DENOM_CELL_AVAIL", "PDCP_DATA_RATE_MAX_UL", "ISYS_HO_UTRAN_ATT_NB",
              "ISYS_HO_UTRAN_FAIL_NB", "RRC_PAGING_REQUESTS"]
     result = None
