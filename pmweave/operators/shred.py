@@ -233,7 +233,10 @@ def parse_eric(files: DataFrame, names_scope: str = "md", codes: list[str] | Non
 
 def _objects_as_rows(parsed: DataFrame) -> DataFrame:
     kept = [c for c in parsed.columns if c not in ("objects", "corrupt", "dialect")]
-    return parsed.select(*kept, F.explode("objects").alias("_o")).select(*kept, "_o.*")
+    # An inner explode lets the optimizer test the array for emptiness below the projection that
+    # parses it, which would parse every document twice; the outer one does not.
+    rows = parsed.select(*kept, F.explode_outer("objects").alias("_o")).filter(F.col("_o").isNotNull())
+    return rows.select(*kept, "_o.*")
 
 
 def shred_mdc(files: DataFrame, names_scope: str = "md") -> DataFrame:
@@ -284,7 +287,6 @@ def _setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> D
     if keep_empty:
         parsed = parsed.withColumn("corrupt", F.col("corrupt").isNotNull())
         kept.append("corrupt")
-    explode = F.posexplode_outer if keep_empty else F.posexplode
     numbered = F.flatten(
         F.transform(
             "setups",
@@ -301,8 +303,12 @@ def _setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> D
     )
     counted = parsed.select(*kept, numbered.alias("_objects"))
     rows = counted.select(
-        *kept, F.size("_objects").alias("object_count"), explode("_objects").alias("object_pos", "_o")
+        *kept, F.size("_objects").alias("object_count"),
+        # outer for the reason given in _objects_as_rows
+        F.posexplode_outer("_objects").alias("object_pos", "_o"),
     )
+    if not keep_empty:
+        rows = rows.filter(F.col("object_pos").isNotNull())
     counters = F.map_filter("_o.target", lambda k, v: ~k.startswith("_"))
     return rows.select(
         *kept,

@@ -5,12 +5,18 @@
 
 from __future__ import annotations
 
+import re
+import zlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pmweave.functions.names import base_name
 
 XML_GLOB = "*.xml*"
+# First bytes of gzip and zlib data, and an XML declaration.
+COMPRESSED = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+DECLARED_ENCODING = re.compile(rb"""\s*<\?xml[^>]*encoding=["']([A-Za-z0-9._-]+)["']""")
 
 
 def _path_of_file() -> Column:
@@ -42,16 +48,31 @@ def read_pm_files(spark: SparkSession, path: str, glob: str = XML_GLOB) -> DataF
 
 
 def read_pm_sequence(spark: SparkSession, path: str) -> DataFrame:
-    """SequenceFiles of (file name, XML bytes or text); one split per file block.
+    """SequenceFiles of (file name, XML as text, bytes or compressed bytes); one split per file block.
 
     The container for large backlogs: many documents per file, splittable, nothing to list.
     """
-    pairs = spark.sparkContext.sequenceFile(path).map(
-        lambda kv: (kv[0], bytes(kv[1], "utf-8") if isinstance(kv[1], str) else bytes(kv[1]))
-    )
-    frame = spark.createDataFrame(pairs, "file_path STRING, body BINARY", verifySchema=False)
-    return frame.select(
-        "file_path",
-        base_name(F.col("file_path")).alias("file_name"),
-        F.decode("body", "UTF-8").alias("content"),
-    )
+    pairs = spark.sparkContext.sequenceFile(path).map(lambda kv: (str(kv[0]), text_of(kv[1])))
+    frame = spark.createDataFrame(pairs, "file_path STRING, content STRING", verifySchema=False)
+    return frame.select("file_path", base_name(F.col("file_path")).alias("file_name"), "content")
+
+
+def text_of(body: str | bytes | bytearray) -> str:
+    """A document's text: inflated when compressed, decoded as its declaration says, UTF-8 otherwise.
+
+    Bytes that do not decode become replacement characters, so a damaged document reaches the
+    parser and its issue instead of failing the job.
+    """
+    if isinstance(body, str):
+        return body
+    data = bytes(body)
+    if data[:2] in COMPRESSED:
+        try:
+            data = zlib.decompress(data, zlib.MAX_WBITS | 32)
+        except zlib.error:
+            return data.decode("utf-8", "replace")
+    declared = DECLARED_ENCODING.match(data)
+    try:
+        return data.decode(declared.group(1).decode() if declared else "utf-8", "replace")
+    except LookupError:
+        return data.decode("utf-8", "replace")

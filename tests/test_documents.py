@@ -1,10 +1,12 @@
 """Whole documents through shredders and jobs; expected rows written by hand."""
 
 import gzip
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
 
+from pmweave.__main__ import main
 from pmweave.functions.identity import eric_cell_id_lte
 from pmweave.operators.merge import merge_documents, merge_last, widen
 from pmweave.operators.shred import (
@@ -13,6 +15,7 @@ from pmweave.operators.shred import (
 from pmweave.plans import ericsson, nokia
 from pmweave.sources import load_catalog, load_settings, read_counter_catalog, read_pm_files, read_pm_sequence
 from pmweave.sources.catalog import Settings
+from pmweave.sources.files import text_of
 
 ERIC_NAME = "OSS1_-0400_A20170807.1200-0400-1215-0400_SubNetwork=ROOT,SubNetwork=Manhattan,MeContext=%s_statsfile.xml"
 CELL = "ManagedElement=1,ENodeBFunction=1,EUtranCellFDD="
@@ -290,6 +293,39 @@ def test_file_sources(spark, tmp_path):
     assert (row.file_path, row.file_name, row.content) == ("in/" + ERIC_NAME % "N1", ERIC_NAME % "N1", MDC)
 
 
+def test_text_of_bytes():
+    text = '<?xml version="1.0" encoding="ISO-8859-1"?><mdc>\u00e9</mdc>'
+    plain = text.encode("latin-1")
+    assert text_of(text) == text_of(plain) == text_of(gzip.compress(plain)) == text_of(zlib.compress(plain)) == text
+    assert text_of(b"<mdc>\xff</mdc>") == "<mdc>\ufffd</mdc>"
+    assert text_of(gzip.compress(plain)[:20]).startswith("\x1f")
+
+
+def test_command_line(spark, tmp_path):
+    (tmp_path / "counters.ini").write_text(LTE_ERIC_INI)
+    pairs = spark.sparkContext.parallelize([(ERIC_NAME % "N1", bytearray(gzip.compress(MDC.encode())))])
+    pairs.saveAsSequenceFile(str(tmp_path / "seq"))
+    landing = tmp_path / "in"
+    landing.mkdir()
+    (landing / (ERIC_NAME % "N1")).write_text(MDC)
+    common = ["ericsson", "LTE", "--catalog", str(tmp_path / "counters.ini"), "--run-id", "r"]
+    main([*common, "--input", str(tmp_path / "seq"), "--out", str(tmp_path / "a")])
+    main([*common, "--input", str(landing), "--out", str(tmp_path / "b"), "--format", "files"])
+    main([*common, "--input", str(landing), "--out", str(tmp_path / "c"), "--format", "stream",
+          "--checkpoint", str(tmp_path / "offsets")])
+    reports = [
+        sorted(map(tuple, spark.read.option("header", True).csv(f"{tmp_path}/{p}/report").collect()))
+        for p in ("a", "b", "c/batch=0")
+    ]
+    assert reports[0] == reports[1] == reports[2] and len(reports[0]) == 2
+
+
+def test_documents_are_parsed_once(spark):
+    files = pm_files(spark, ("f", MDC))
+    for frame in (shred_mdc(files), explode_counters(shred_mdc(files)), nokia.objects(files, "LTE"), nokia.objects(files, "UMTS")):
+        assert frame._jdf.queryExecution().executedPlan().toString().count("from_xml") == 1
+
+
 def test_empty_input(spark, tmp_path):
     catalog, settings = catalog_of(spark, tmp_path, LTE_ERIC_INI, "ericsson")
     files = pm_files(spark, ("x", "")).limit(0)
