@@ -52,42 +52,46 @@ def array_length_issues(pm_long: DataFrame, entries: list[Counter]) -> DataFrame
     """Array counters with another length than configured, once per file, counter and message.
 
     Also scalars that hold a list, of which only the first value is reported, and sparse
-    lists shorter than they announce.
+    lists shorter than they announce. Shapes come from the catalog, which ``load_catalog``
+    has bounded, so they are broadcast.
     """
-    findings = [_length_findings(e, F.col("raw"), F.col("counter") == e.code) for e in entries]
-    return _as_length_issues(pm_long.select("file_path", F.explode(F.array_compact(F.array(*findings))).alias("f")))
+    shapes = pm_long.sparkSession.createDataFrame(
+        sorted({(e.code, e.kind, e.dim) for e in entries}), "code STRING, kind STRING, dim INT"
+    )
+    kind, dim, raw = F.col("kind"), F.col("dim"), F.col("raw")
+    n = F.size(values_of(raw))
+    text = (
+        F.when((kind == PDF) & (n > dim), F.lit(TOO_LONG))
+        .when((kind == PDF) & (n < dim), F.lit(TOO_SHORT))
+        .when((kind == SPECIAL) & (n < SPECIAL_DIM), F.lit(TOO_SHORT))
+        .when((kind == COMP) & comp_is_short(raw), F.lit(TOO_SHORT))
+        .when((kind == SINGLE) & F.contains(raw, F.lit(",")), F.lit(TOO_LONG))
+    )
+    found = (
+        pm_long.join(F.broadcast(shapes), F.col("counter") == F.col("code"))
+        .select("file_path", F.col("code").alias("item"), text.alias("text"))
+        .filter(F.col("text").isNotNull())
+        .distinct()
+    )
+    return found.select(*_issue("length", F.col("item"), F.replace("text", F.lit("%s"), F.col("item"))))
 
 
 def array_length_issues_of_cells(cells: DataFrame, entries: list[Counter]) -> DataFrame:
-    """The same over merged cells with ``values`` by place in the catalog."""
-    at = {code: i for i, code in enumerate(codes_of(entries), start=1)}
-    findings = [
-        _length_findings(e, F.try_element_at("values", F.lit(at[e.code])), F.lit(True)) for e in entries
-    ]
-    return _as_length_issues(cells.select("file_path", F.explode(F.array_compact(F.array(*findings))).alias("f")))
-
+    """The same over merged cells with ``values`` by place in the catalog.
 
-def _length_findings(e: Counter, raw: Column, applies: Column) -> Column:
-    n = F.size(values_of(raw))
-    if e.kind == PDF:
-        message = F.when(n > e.dim, TOO_LONG % e.code).when(n < e.dim, TOO_SHORT % e.code)
-    elif e.kind == SPECIAL:
-        message = F.when(n < SPECIAL_DIM, TOO_SHORT % e.code)
-    elif e.kind == COMP:
-        message = F.when(comp_is_short(raw), TOO_SHORT % e.code)
-    elif e.kind == SINGLE:
-        message = F.when(F.contains(raw, F.lit(",")), TOO_LONG % e.code)
-    else:
-        raise ValueError(f"unknown counter kind {e.kind!r}")
-    return F.when(
-        applies & raw.isNotNull() & message.isNotNull(),
-        F.struct(F.lit(e.code).alias("item"), message.alias("message")),
+    Scalars without a comma, nearly all values, are dropped before rows are made of the rest.
+    """
+    codes = codes_of(entries)
+    kinds = {e.code: e.kind for e in entries}
+    arrays = [at for at, code in enumerate(codes, start=1) if kinds[code] != SINGLE]
+    suspects = F.filter(
+        F.map_entries("values"), lambda e: F.contains(e["value"], F.lit(",")) | e["key"].isin(arrays)
     )
-
-
-def _as_length_issues(found: DataFrame) -> DataFrame:
-    rows = found.select("file_path", "f.item", "f.message").distinct()
-    return rows.select(*_issue("length", F.col("item"), F.col("message")))
+    names = F.array(*[F.lit(c) for c in codes])
+    pm_long = cells.select("file_path", F.explode(suspects).alias("e")).select(
+        "file_path", F.get(names, F.col("e.key") - 1).alias("counter"), F.col("e.value").alias("raw")
+    )
+    return array_length_issues(pm_long, entries)
 
 
 def _configured(catalog: dict[str, list[Counter]]) -> Column:

@@ -26,7 +26,8 @@ def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame) ->
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key not in _landed:
         folder = shared_folder(spark, f"documents-{kind}")
-        documents.write.parquet(folder)
+        # a landing zone is many files, so reading it uses every core
+        documents.repartition(spark.sparkContext.defaultParallelism).write.parquet(folder)
         _landed[key] = folder
     return spark.read.parquet(_landed[key])
 
