@@ -11,7 +11,7 @@ ERIC_NAME = r"^([^_.]*)_([+-])(\d{2})\d{2}_[^.]*?(\d{8})\.(\d{4})([+-])(\d{2})\d
 ERIC_SUB_NETWORK_KEY = "SubNetwork="
 ERIC_ME_CONTEXT_KEY = "MeContext="
 UNKNOWN_OSS = "Unknown"
-MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
+MINUTE_LENGTH = len("yyyy-MM-dd HH:mm")
 
 
 def base_name(path: Column) -> Column:
@@ -75,7 +75,8 @@ def period_to_local(file_time: Column, file_offset: Column, own_offset: Column)
 
 
 def hour_bucket(start: Column) -> Column:
-    return F.date_trunc("hour", start).cast("timestamp_ntz")
+    """Start of the hour. ``date_trunc`` would go through the session's time zone and its gaps."""
+    return F.timestamp_add("SECOND", -(F.minute(start) * 60 + F.second(start)), start)
 
 
 def nokia_oss(path: Column) -> Column:
@@ -84,7 +85,7 @@ def nokia_oss(path: Column) -> Column:
 
 def nokia_start(start_time: Column) -> Column:
     """The first 16 characters of ``startTime``; offset and seconds are dropped."""
-    return F.replace(F.substring(start_time, 1, 16), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
+    return F.replace(F.substring(start_time, 1, MINUTE_LENGTH), F.lit("T"), F.lit(" ")).try_cast("timestamp_ntz")
 
 
 def nokia_duration(interval: Column) -> Column:
@@ -92,7 +93,8 @@ def nokia_duration(interval: Column) -> Column:
 
 
 def minute_text(ts: Column) -> Column:
-    return F.date_format(ts, MINUTE_FORMAT)
+    """``yyyy-MM-dd HH:mm`` of a wall-clock time, whatever the session's time zone."""
+    return F.substring(ts.cast("string"), 1, MINUTE_LENGTH)
 
 
 def canonical_counter(code: Column) -> Column:

@@ -277,7 +277,7 @@ def parse_nokia(files: DataFrame, target: str) -> DataFrame:
     )
 
 
-def _setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> DataFrame:
+def setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> DataFrame:
     """One row per ``PMMOResult``, numbered through its document in ``object_pos`` of ``object_count``.
 
     ``counters`` holds the element texts below the target; attributes are taken out. With
@@ -348,12 +348,12 @@ def lower_counter_codes(counters: Column) -> Column:
 def shred_nokia_lte(files: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per ``PMMOResult`` of LTE documents, the throughput rule applied."""
     parsed = parse_nokia(files, LTE_TARGET)
-    return throughput_mo_filter(_setups_as_rows(parsed, lower_codes=False, keep_empty=keep_empty))
+    return throughput_mo_filter(setups_as_rows(parsed, lower_codes=False, keep_empty=keep_empty))
 
 
 def shred_nokia_umts(files: DataFrame, keep_empty: bool = False) -> DataFrame:
     """One row per ``PMMOResult`` of UMTS documents, counter codes in lower case."""
-    return _setups_as_rows(parse_nokia(files, UMTS_TARGET), lower_codes=True, keep_empty=keep_empty)
+    return setups_as_rows(parse_nokia(files, UMTS_TARGET), lower_codes=True, keep_empty=keep_empty)
 
 
 def throughput_mo_filter(objects: DataFrame) -> DataFrame:

@@ -34,6 +34,20 @@ def test_eric_file_fields(spark, name, oss, start):
         assert row.hour_start == start.replace(minute=0)
 
 
+def test_wall_clock_times_do_not_depend_on_the_session_zone(spark):
+    """02:30 on the day clocks go forward does not exist in New York, but it does in a file name."""
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        name = NAME % ("OSS1", "+0000", "20170312", "0230+0000", "0245+0000")
+        row = eric_file_fields(spark.createDataFrame([(name,)], "file_path string")).select(
+            names.minute_text(F.col("period_start")).alias("start"), names.minute_text(F.col("hour_start")).alias("hour")
+        ).first()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert tuple(row) == ("2017-03-12 02:30", "2017-03-12 02:00")
+
+
 def test_nokia_names(spark):
     x = F.col("x")
     assert one(spark, r"C:\in\RNC7_rest_of_it.xml", names.nokia_oss(x)).c0 == "RNC7"

@@ -7,6 +7,7 @@ with the data or with a hot user. Every event becomes one measured object.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,12 +25,16 @@ def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame) ->
     Operators start from landed documents, so writing them is kept out of their plans.
     """
     key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _landed:
-        folder = shared_folder(spark, f"documents-{kind}")
-        # a landing zone is many files, so reading it uses every core
-        documents.repartition(spark.sparkContext.defaultParallelism).write.parquet(folder)
-        _landed[key] = folder
-    return spark.read.parquet(_landed[key])
+    if key in _landed:
+        try:
+            return spark.read.parquet(_landed[key])
+        except AnalysisException:
+            pass  # the shared folder was cleared since; land again
+    folder = shared_folder(spark, f"documents-{kind}")
+    # a landing zone is many files, so reading it uses every core
+    documents.repartition(spark.sparkContext.defaultParallelism).write.parquet(folder)
+    _landed[key] = folder
+    return spark.read.parquet(folder)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -269,7 +274,7 @@ def tall_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pm_long`` straight from ``events``: file = day, cell = user, counter = event type, order = id."""
     events = table(spark, sf_dir, "events")
     return events.select(
-        F.date_format("ts", "yyyy-MM-dd").alias("file_path"),
+        F.substring(F.col("ts").cast("string"), 1, 10).alias("file_path"),
         text("C", F.col("user_id")).alias("cell_id"),
         F.col("event_type").alias("counter"),
         scaled("value").cast("string").alias("raw"),

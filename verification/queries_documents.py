@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pmweave.operators import quality
 from pmweave.operators.merge import merge_documents
 from pmweave.operators.project import cell_grain_filter as grain_filter
 from pmweave.operators.project import with_relation
-from pmweave.operators.shred import (
-    _setups_as_rows, LTE_TARGET, explode_counters as explode, parse_eric, parse_nokia, shred_eric,
-    shred_3gpp as shred_collec, shred_mdc as shred_md, shred_nokia_lte as shred_lte, shred_nokia_umts as shred_umts,
-    throughput_mo_filter as throughput_filter, detect_eric_dialect as detect_dialect,
-)
+from pmweave.operators.shred import LTE_TARGET, parse_eric, parse_nokia, setups_as_rows, shred_eric
+from pmweave.operators.shred import detect_eric_dialect as detect_dialect
+from pmweave.operators.shred import explode_counters as explode
+from pmweave.operators.shred import shred_3gpp as shred_collec
+from pmweave.operators.shred import shred_mdc as shred_md
+from pmweave.operators.shred import shred_nokia_lte as shred_lte
+from pmweave.operators.shred import shred_nokia_umts as shred_umts
+from pmweave.operators.shred import throughput_mo_filter as throughput_filter
 from pmweave.plans import ericsson, nokia
 from pmweave.session import shared_folder
 from pmweave.sinks import write_pm_issues as write_issues
@@ -131,7 +134,7 @@ def explode_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return explode(shred_md(feeds.mdc_documents(spark, sf_dir))).select("doc", "moid", "counter", "raw", "pos.*")
 
 
-def _elements_joined(column: str) -> F.Column:
+def _elements_joined(column: str) -> Column:
     pairs = F.transform(F.map_entries(column), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return F.array_join(F.array_sort(pairs), ";")
 
@@ -167,7 +170,7 @@ SELECT doc, object_pos, CAST(n_mo AS INTEGER) AS n_mo, CASE WHEN n_mo = 2 THEN r
 FROM nok2 WHERE event_type = 'purchase'""")
 def throughput_mo_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = parse_nokia(feeds.lte_nokia_documents(spark, sf_dir), LTE_TARGET)
-    rows = throughput_filter(_setups_as_rows(parsed, lower_codes=False, keep_empty=False))
+    rows = throughput_filter(setups_as_rows(parsed, lower_codes=False, keep_empty=False))
     return rows.filter(F.col("meas_type") == "lte_cell_throughput").select(
         "doc", "object_pos", F.size("mo").alias("n_mo"),
         F.try_element_at("counters", F.lit("M8012C22")).cast("bigint").alias("kept"),
@@ -408,7 +411,7 @@ def missing_counters_nokia(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(_nokia_doc(), "meas_type", "item", "message")
 
 
-def _nokia_doc() -> F.Column:
+def _nokia_doc() -> Column:
     return F.regexp_extract("file_path", "_PM_([0-9]+)", 1).cast("bigint").alias("doc")
 
 

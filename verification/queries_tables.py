@@ -30,6 +30,10 @@ def _padded(key, n: int = 2):
     return F.lpad(key.cast("string"), n, "0")
 
 
+def _day(name: str):
+    return F.substring(F.col(name).cast("string"), 1, 10)
+
+
 def named_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders with a measurement file name each; every tenth prefix is empty."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
@@ -38,7 +42,7 @@ def named_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     clock = text(_padded(key % 24), _padded(key % 4 * 15))
     name = text(
         F.when(cust % 10 == 0, "").otherwise(text("OSS", cust % 5)), "_", sign, _padded(key % 12), "30_A",
-        F.date_format("o_orderdate", "yyyyMMdd"), ".", clock, file_sign, _padded(key % 5), "00-", clock, file_sign,
+        F.translate(_day("o_orderdate"), "-", ""), ".", clock, file_sign, _padded(key % 5), "00-", clock, file_sign,
         _padded(key % 5), "00_SubNetwork=ROOT,SubNetwork=Area ", cust, ",MeContext=N", key, "_statsfile.xml",
     )
     orders = feeds.table(spark, sf_dir, "orders")
@@ -102,7 +106,7 @@ def _headed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     return feeds.table(spark, sf_dir, "orders").select(
         "o_orderkey",
-        text(F.date_format("o_orderdate", "yyyy-MM-dd"), "T", _padded(key % 24), ":", _padded(key % 4 * 15),
+        text(_day("o_orderdate"), "T", _padded(key % 24), ":", _padded(key % 4 * 15),
              F.when(key % 3 == 0, "").otherwise(":00.000-04:00")).alias("start_time"),
         F.when(key % 7 == 0, "hourly").otherwise((key % 4 * 15).cast("string")).alias("interval"),
         text("OSS", key % 3).alias("oss"),
