@@ -22,13 +22,23 @@ CHANNEL_TYPE_MARK = "ChType-"
 
 
 def _tail(text: Column, key: str) -> Column:
-    """Everything after the first ``key=`` that starts the name or follows a comma; null without one."""
-    at = F.instr(text, f",{key}=")
-    return F.when(F.startswith(text, F.lit(f"{key}=")), F.substr(text, F.lit(len(key) + 2))).when(
-        at > 0, F.substr(text, at + F.lit(len(key) + 2))
+    """Everything after the first ``key=``; null without one."""
+    at = F.instr(text, f"{key}=")
+    return F.when(at > 0, F.substr(text, at + F.lit(len(key) + 1)))
+
+
+def _part_tail(text: Column, key: str) -> Column:
+    """As ``_tail``, for a key that starts the name or follows a comma."""
+    return F.when(F.startswith(text, F.lit(f"{key}=")), F.substr(text, F.lit(len(key) + 2))).otherwise(
+        _tail(text, f",{key}")
     )
 
 
+def _below_cell(moid: Column, technology: str) -> Column:
+    """What follows the cell keyword. The short UMTS keyword must be a whole part of the name."""
+    return _part_tail(moid, UMTS_CELL_KEY) if technology == "UMTS" else _tail(moid, LTE_CELL_KEY)
+
+
 def _value(tail: Column) -> Column:
     """Up to the next comma; without a comma, up to a blank; else to the end."""
     cut = F.when(F.contains(tail, F.lit(",")), F.substring_index(tail, ",", 1)).otherwise(
@@ -44,7 +54,7 @@ def eric_cell_id_lte(moid: Column) -> Column:
 
 def eric_cell_id_umts(moid: Column, technology: str = "UMTS") -> Column:
     """Cell of an object name, the keyword chosen by technology."""
-    return _value(_tail(moid, UMTS_CELL_KEY if technology == "UMTS" else LTE_CELL_KEY))
+    return _value(_below_cell(moid, technology))
 
 
 def eric_relation(moid: Column, technology: str = "UMTS") -> Column:
@@ -53,17 +63,14 @@ def eric_relation(moid: Column, technology: str = "UMTS") -> Column:
     The first relation table whose frequency part occurs decides; if its cell part
     is missing the object stays at cell grain.
     """
-    below_cell = _tail(moid, UMTS_CELL_KEY if technology == "UMTS" else LTE_CELL_KEY)
-
     def classify(below: Column) -> Column:
         decided = F
         for rel_type, (freq_key, cell_key) in RELATION_KEYS.items():
-            # below the cell a relation always follows a comma
-            named = F.contains(below, F.lit(f",{freq_key}="))
+            named = F.contains(below, F.lit(f"{freq_key}="))
             decided = decided.when(named, _relation(below, rel_type, freq_key, cell_key))
         return decided
 
-    return bind(below_cell, classify)
+    return bind(_below_cell(moid, technology), classify)
 
 
 def _relation(below: Column, rel_type: str, freq_key: str, cell_key: str) -> Column:

@@ -18,7 +18,7 @@ from pmweave.operators.merge import merge_documents
 from pmweave.operators.project import cell_grain_filter, codes_of, project_configured, relation_report
 from pmweave.operators.shred import parse_eric
 from pmweave.session import shared_folder
-from pmweave.sinks import with_run_id, write_pm_issues, write_pm_report
+from pmweave.sinks import read_pm_issues, with_run_id, write_pm_issues, write_pm_report
 from pmweave.sinks.reports import ERIC_SEP, RUN_ID, RUN_ID_UMTS_ERIC
 from pmweave.sources.catalog import Counter, Settings
 
@@ -166,6 +166,7 @@ def run(
     # a file whose name gives no time is an issue, not rows
     good = staged.filter(F.col("cell_id").isNotNull() & F.col("period_start").isNotNull())
     write_pm_report(report(good, entries, settings, technology, run_id), f"{out}/report", ERIC_SEP)
-    found = issues(staged, entries)
-    write_pm_issues(found, f"{out}/issues")
-    quality.dedupe_issues(found).write.mode("overwrite").option("header", True).csv(f"{out}/issue_messages")
+    write_pm_issues(issues(staged, entries), f"{out}/issues")
+    # messages come from the issues just written instead of working them out again
+    written = read_pm_issues(spark, f"{out}/issues")
+    quality.dedupe_issues(written).write.mode("overwrite").option("header", True).csv(f"{out}/issue_messages")

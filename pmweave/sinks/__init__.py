@@ -1,5 +1,5 @@
 """Where reports, summaries and issues go."""
 
-from pmweave.sinks.reports import with_run_id, write_pm_issues, write_pm_report, write_pm_summary
+from pmweave.sinks.reports import read_pm_issues, with_run_id, write_pm_issues, write_pm_report, write_pm_summary
 
-__all__ = ["with_run_id", "write_pm_issues", "write_pm_report", "write_pm_summary"]
+__all__ = ["read_pm_issues", "with_run_id", "write_pm_issues", "write_pm_report", "write_pm_summary"]

@@ -7,7 +7,7 @@ overwrites its own folder and nothing else.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Delimiters and the name of the first column.
@@ -44,5 +44,14 @@ def write_pm_summary(summary: DataFrame, path: str, sep: str = NOKIA_SEP, gzip:
 
 
 def write_pm_issues(issues: DataFrame, path: str) -> None:
-    """Issue rows in one folder per kind. There are few per document, so kinds are gathered first."""
+    """Issue rows in one folder per kind.
+
+    Each task finds few of each kind, so rows are rebalanced by kind first; a kind that holds
+    most of them is split.
+    """
     issues.hint("rebalance", "kind").write.mode("overwrite").partitionBy("kind").option("header", True).csv(path)
+
+
+def read_pm_issues(spark: SparkSession, path: str) -> DataFrame:
+    schema = "file_path STRING, meas_type STRING, item STRING, message STRING, kind STRING"
+    return spark.read.schema(schema).option("header", True).csv(path)

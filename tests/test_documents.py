@@ -293,6 +293,23 @@ def test_file_sources(spark, tmp_path):
     assert (row.file_path, row.file_name, row.content) == ("in/" + ERIC_NAME % "N1", ERIC_NAME % "N1", MDC)
 
 
+def test_odd_nokia_documents(spark):
+    """Two targets in one object (the last counts), no start time, no objects, several setups."""
+    two = lte_object("lte_cell_avail", "<M8020C3>1</M8020C3>").replace(
+        "</PMMOResult>", '<PMTarget measurementType="lte_rrc"><M8008C1>2</M8008C1></PMTarget></PMMOResult>')
+    late = setup(lte_object("lte_rrc", "<M8008C1>3</M8008C1>")).replace("<PMSetup startTime", "<PMSetup other")
+    both = setup(lte_object("a", "<M8008C1>4</M8008C1>"))[:-7] + setup(
+        lte_object("b", "<M8008C1>5</M8008C1>")).split(">", 1)[1].replace("15:00", "16:00")
+    files = pm_files(spark, ("two", setup(two)), ("late", late), ("none", setup()), ("both", both))
+    rows = nokia.objects(files, "LTE").orderBy("file_path", "object_pos").collect()
+    assert [(r.file_path, r.object_pos, r.object_count, r.meas_type, r.counters) for r in rows] == [
+        ("both", 0, 2, "a", {"M8008C1": "4"}), ("both", 1, 2, "b", {"M8008C1": "5"}),
+        ("late", 0, 1, "lte_rrc", {"M8008C1": "3"}), ("two", 0, 1, "lte_rrc", {"M8008C1": "2"})]
+    assert [r.period_start and r.period_start.hour for r in rows] == [15, 16, None, 15]
+    kept = nokia.objects(files, "LTE", keep_empty=True).filter("object_pos is null").collect()
+    assert [(r.file_path, r.corrupt) for r in kept] == [("none", False)]
+
+
 def test_text_of_bytes():
     text = '<?xml version="1.0" encoding="ISO-8859-1"?><mdc>\u00e9</mdc>'
     plain = text.encode("latin-1")

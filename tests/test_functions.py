@@ -71,6 +71,8 @@ def test_nokia_names(spark):
         ("UtranCell=U7,EUtranFreqRelation=3,UtranFreqRelation=3,UtranCellRelation=1", None, "U7", None),
         ("UtranCell=U7,UtranFreqRelation=3", None, "U7", None),
         ("ENodeBFunction=1", None, None, None),
+        ("X=1,vsDataEUtranCellFDD=C1,Y=2", "C1", None, None),
+        ("X=1,EUtranCell=C1", None, None, None),
         (None, None, None, None),
     ],
 )
