@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pmweave.session import stage
+
 LIMIT = 2048
 
 
@@ -21,11 +23,12 @@ def meet(entries: DataFrame, keys: list[str], member: str, limit: int = LIMIT) -
     """``entries`` with ``low``, ``high`` and ``part``, dealt out and sorted by group.
 
     A pair belongs to the group (low, high) of its two parts; where these differ, only rows of
-    different parts are to be compared. Buckets of one row meet nobody and are dropped.
+    different parts are to be compared. Only oversized buckets are looked up, so the rows stay as many
+    as the entries; their list is staged, and Spark broadcasts it if its size allows.
     """
-    sizes = entries.groupBy(*keys).agg(F.count("*").alias("met")).where("met > 1")
-    parts = F.ceil(F.col("met") / limit).cast("int")
-    placed = entries.join(sizes, keys).withColumn("part", F.pmod(F.xxhash64(member), parts).cast("int"))
+    large = stage(entries.groupBy(*keys).agg(F.count("*").alias("met")).where(F.col("met") > limit), "large")
+    parts = F.ceil(F.coalesce("met", F.lit(1)) / limit).cast("int")
+    placed = entries.join(large, keys, "left").withColumn("part", F.pmod(F.xxhash64(member), parts).cast("int"))
     other = F.explode(F.sequence(F.lit(0), parts - 1))
     grouped = placed.withColumn("other", other).select(
         *entries.columns, F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part")
