@@ -43,7 +43,7 @@ def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """``doc_id``, ``source``, ``n_tokens``, ``ids`` and whether the ids decode to the text again."""
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     rows = docs.select("doc_id", "source", "text", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256"))
-    back = bpe.decode(bpe.encode(rows, ranks, pattern), ranks, pattern)
+    back = bpe.encode(rows, ranks, pattern, decoded=True)
     return back.select("doc_id", "source", "n_tokens", "ids", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip"))
 
 

@@ -54,16 +54,19 @@ def encode_long(path: str, pattern: str, text: str, chunk: int = CHUNK, overlap:
     return bytes(out)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP,
+           decoded: bool = False) -> DataFrame:
     """``docs`` without its text, with ``n_tokens`` and ``ids`` (binary); a null text has no tokens.
 
+    With ``decoded`` the ids are also turned back, in the same task, as ``decode`` would.
     Special strings are ordinary text. Columns named like the new ones are replaced; repeated rows stay;
     an empty table stays empty. One row is held at a time besides its Arrow batch.
     """
     importable(docs.sparkSession)
-    kept = [c for c in docs.columns if c not in (text_col, "n_tokens", "ids")]
+    added = ["n_tokens", "ids", *(["decoded"] if decoded else [])]
+    kept = [c for c in docs.columns if c not in (text_col, *added)]
     rows = docs.select(*kept, F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("__text"))
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]] + ["n_tokens long", "ids binary"])
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]] + ["n_tokens long", "ids binary", *(["decoded binary"] if decoded else [])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -75,11 +78,16 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", chu
                 else:
                     ids.append(np.array(encoding(path, pattern).encode_ordinary(text), "<u4").tobytes())
             counts = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], counts, pa.array(ids, pa.binary())], names=[*kept, "n_tokens", "ids"])
+            back = [pa.array([decode_one(path, pattern, x) for x in ids], pa.binary())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], counts, pa.array(ids, pa.binary()), *back], names=[*kept, *added])
 
     return rows.mapInArrow(run, schema)
 
 
+def decode_one(path: str, pattern: str, ids: bytes | None) -> bytes:
+    return encoding(path, pattern).decode_bytes(np.frombuffer(ids or b"", "<u4").tolist())
+
+
 def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") -> DataFrame:
     """``encoded`` with ``decoded``: the raw bytes of the ids, one after another. Null ids decode to nothing."""
     importable(encoded.sparkSession)
@@ -89,7 +97,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids_col: str = "ids") ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [encoding(path, pattern).decode_bytes(np.frombuffer(v.as_py() or b"", "<u4").tolist()) for v in batch.column(kept.index(ids_col))]
+            texts = [decode_one(path, pattern, v.as_py()) for v in batch.column(kept.index(ids_col))]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.binary())], names=[*kept, "decoded"])
 
     return rows.mapInArrow(run, schema)

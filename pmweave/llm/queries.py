@@ -137,7 +137,7 @@ def op7_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    back = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
+    back = bpe.encode(docs, ranks, pattern, decoded=True)
     return back.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
