@@ -16,7 +16,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -36,7 +35,7 @@ PAD = BUCKETS  # a bucket without a vector, between documents
 def index_vectors() -> np.ndarray:
     """Ternary vectors with ``NONZERO`` entries per bucket, the same everywhere; zeros for ``PAD``."""
     draw = np.random.default_rng(7)
-    table = np.zeros((BUCKETS + 1, DIMS), np.int64)
+    table = np.zeros((BUCKETS + 1, DIMS), np.int32)
     for row in table[:BUCKETS]:
         row[draw.choice(DIMS, NONZERO, replace=False)] = draw.choice((-1, 1), NONZERO)
     return table
@@ -46,14 +45,14 @@ class Buckets(dict):
     """Token to bucket, remembered up to a bound. Case is part of a token: capitals have their own buckets."""
 
     def __missing__(self, token: str) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= 1 << 17:
             self.clear()
         self[token] = found = zlib.crc32(token.encode("utf-8", "surrogatepass")) % BUCKETS
         return found
 
 
 def buckets_of(text: str | None, known: Buckets) -> np.ndarray:
-    return np.fromiter(map(known.__getitem__, TOKEN.findall(text or "")), np.int64)
+    return np.fromiter(map(known.__getitem__, TOKEN.findall(text or "")), np.uint16)
 
 
 def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -62,15 +61,19 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, known, total = index_vectors(), Buckets(), np.zeros((BUCKETS, DIMS), np.int64)
-        pad = np.full(REACH, PAD)
+        pad = np.full(REACH, PAD, np.uint16)
 
         def add(ids: np.ndarray) -> None:
             n = len(ids) - 2 * REACH
-            around = sum(index[ids[s:s + n]] for s in range(2 * REACH + 1) if s != REACH)
+            around = index[ids[:n]]
+            for s in range(1, 2 * REACH + 1):
+                if s != REACH:
+                    around += index[ids[s:s + n]]
             middle = ids[REACH:REACH + n]
-            order = np.argsort(middle, kind="stable")
-            heads = np.flatnonzero(np.diff(middle[order], prepend=-1))
-            sums, at = np.add.reduceat(around[order], heads, axis=0), middle[order][heads]
+            order = np.argsort(middle, kind="stable")  # 16 bits: a radix sort
+            ordered = middle[order]
+            heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
+            sums, at = np.add.reduceat(around[order], heads, axis=0), ordered[heads]
             total[at[at < BUCKETS]] += sums[at < BUCKETS]
 
         held, size = [pad], 0
@@ -109,7 +112,7 @@ def features(text: str | None, vectors: np.ndarray, known: Buckets) -> np.ndarra
     if not n:
         return np.zeros(vectors.shape[1] + 4, np.float32)
     pooled = sum(vectors[ids[at:at + TOKENS_AT_ONCE]].sum(axis=0, dtype=np.float64) for at in range(0, n, TOKENS_AT_ONCE)) / n
-    pairs = ids[:-1] * BUCKETS + ids[1:]
+    pairs = ids[:-1].astype(np.uint32) * BUCKETS + ids[1:]
     letters = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
     upper = np.count_nonzero((letters >= 65) & (letters <= 90)) / max(1, np.count_nonzero(((letters | 32) >= 97) & ((letters | 32) <= 122)))
     return np.append(pooled, (len(np.unique(ids)) / n, len(np.unique(pairs)) / max(1, n - 1), upper, np.log1p(n) / 10)).astype(np.float32)
@@ -200,12 +203,12 @@ def score_column(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     x = np.array([np.frombuffer(r[1], np.float32) for r in learned], np.float64).reshape(len(learned), vectors.shape[1] + 4)
     net = train(x, np.array([r[2] for r in learned], np.float64))
 
-    @F.pandas_udf("double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Buckets()
         for texts in batches:
-            x = np.array([features(t, vectors, known) for t in texts], np.float64).reshape(len(texts), -1)
-            yield pd.Series(net.scores(x) if len(texts) else [], dtype="float64")
+            x = np.array([features(t.as_py(), vectors, known) for t in texts], np.float64).reshape(len(texts), vectors.shape[1] + 4)
+            yield pa.array(net.scores(x), pa.float64())
 
     return score(F.col(text_col))
 
