@@ -18,7 +18,7 @@ MAX_ROUNDS = 100
 
 
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
-    """``(node, root)`` of every node that has a link to another; ``root`` is the least node reachable.
+    """``(node, root)`` of every node that reaches a lesser one; ``root`` is the least. Other nodes are their own roots.
 
     Links may repeat, run either way or lead to their own start. Null ends are no links.
     """

@@ -1,0 +1,261 @@
+"""Every operator on odd rows and against a plain version of what it computes."""
+
+import hashlib
+import io
+import random
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+from pmweave.llm import bpe, chat, classifier, components, mixing, quality, simhash, splicing, tokens, urls, vectors, warc
+from pmweave.llm.fingerprints import simhash as fingerprint
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, id string"
+RANKS, JSON = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.path("byte_bpe_50k.json")
+LONG = " ".join(f"w{i % 977} tail{i}" for i in range(30_000))
+TEXTS = [None, "", " \n\t", "one", "One two three four five six", "one  two THREE four five six", LONG, LONG + " end", "a\nb\na\n\nb", "é ß <|endoftext|> 中文"]
+
+
+def odd_docs(spark):
+    """Nulls everywhere, empty, blank and very long texts, repeated rows and ids, columns named like the operators' own."""
+    rows = [(i, t, None, f"s{i % 3}", None, 7, "x") for i, t in enumerate(TEXTS)]
+    rows += [rows[4], rows[6], (None, TEXTS[4], "en", None, 1, None, None), (None, None, None, None, None, None, None), (4, "another text", None, "s1", 2, 3, "y")]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def plain_components(n, links):
+    root = list(range(n))
+    for _ in range(n):
+        for a, b in links:
+            root[a] = root[b] = min(root[a], root[b])
+    return root
+
+
+def test_components_equal_a_plain_search(spark):
+    draw = random.Random(3)
+    links = [(draw.randrange(200), draw.randrange(200)) for _ in range(130)] + [(i, i + 1) for i in range(300, 340)] + [(400, i) for i in range(401, 460)]
+    frame = spark.createDataFrame(links + [(None, 1), (5, None), (7, 7)], "a long, b long")
+    want = plain_components(460, links)
+    got = {r.node: r.root for r in components.connected(frame, "a", "b").collect()}
+    assert got == {i: want[i] for i in range(460) if want[i] != i}
+
+
+def test_warc_round_trip_of_odd_pages(spark):
+    big = "x" * 200_000
+    rows = [(1, "http://a/\r\nb", big, 1), (2, None, big, 1), (2, None, big, 1), (3, "u", None, 1), (4, "u", "", 1), (5, "u", "short", 1), (6, "u", "short", 1), (None, "u", big, 1)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, record_id long")
+    got = warc.read_archives(warc.archive_pages(pages.repartition(2)), keep_payload=True).collect()
+    assert len(got) == len(rows) and not [r for r in got if r.error]
+    kinds = sorted((r.record_id, r.record_type, r.refers_to, r.payload_bytes) for r in got)
+    assert kinds[0] == ("urn:page:", "revisit", "urn:page:1", 200_000) and kinds[1] == ("urn:page:1", "response", None, 200_000)
+    assert {k[1:3] for k in kinds if k[0] == "urn:page:2"} == {("revisit", "urn:page:1")}
+    assert all(k[1] == "response" for k in kinds[4:])
+    digest = hashlib.sha256(big.encode()).hexdigest()
+    assert all(r.payload_digest == digest for r in got if r.payload_bytes == 200_000)
+    assert warc.read_archives(warc.archive_pages(pages.limit(0))).count() == 0
+
+
+def test_warc_reader_goes_on_after_damage():
+    members = [warc.record_bytes(f"urn:page:{i}", "u", bytes([65 + i]) * 5000, None) for i in range(4)]
+    wrong = bytearray(zlib.decompress(members[1], 31))
+    wrong[-100] ^= 1
+    squeeze = zlib.compressobj(6, zlib.DEFLATED, 31)
+    members[1] = squeeze.compress(bytes(wrong)) + squeeze.flush()
+    members[2] = members[2][:40] + b"\0\0\0\0" + members[2][44:]
+    got = list(warc.records(io.BytesIO(b"".join(members) + b"trailing"), keep_payload=True))
+    assert "digest" in got[1]["error"] and [r["record_id"] for r in got if not r["error"]] == ["urn:page:0", "urn:page:3"]
+    assert got[0]["payload"] == b"A" * 5000
+
+
+def test_simhash_equals_all_pairs(spark):
+    draw = random.Random(5)
+    base = [draw.getrandbits(64) for _ in range(30)]
+    fps = base + [f ^ sum(1 << b for b in draw.sample(range(64), k)) for f in base for k in (1, 3, 4, 5, 8, 9)] + [0, 1, 3]
+    frame = spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in set(fps)], "fp long")
+    for distance, limit in ((4, 2048), (8, 3)):
+        nodes = sorted(set(fps))
+        links = [(i, j) for i in range(len(nodes)) for j in range(i) if (nodes[i] ^ nodes[j]).bit_count() <= distance]
+        want = plain_components(len(nodes), links)
+        found = [(r.a % (1 << 64), r.b % (1 << 64)) for r in simhash.hamming_links(frame, distance, limit=limit).collect()]
+        at = {f: i for i, f in enumerate(nodes)}
+        assert all((a ^ b).bit_count() <= distance for a, b in found)
+        assert plain_components(len(nodes), [(at[a], at[b]) for a, b in found]) == want
+
+
+def test_simhash_of_odd_texts(spark):
+    got = simhash.near_duplicates(odd_docs(spark)).collect()
+    assert len(got) == len(TEXTS) + 5
+    of = {r.id: r for r in got if r.id not in (None, 4)}
+    assert of[0].fp == of[1].fp == of[2].fp == 0 and {of[i].component for i in range(3)} == {0}
+    assert of[5].component == 4 and of[7].component == 6
+    assert [r.component for r in got if r.id is None and r.fp != 0] == [4]
+    assert all(r.fp % (1 << 64) == fingerprint(TEXTS[r.id]) for r in of.values())
+    kept = simhash.keep_one(odd_docs(spark))
+    assert kept.columns == odd_docs(spark).columns and 5 not in [r.doc_id for r in kept.collect()]
+    assert simhash.near_duplicates(odd_docs(spark).limit(0)).count() == 0
+
+
+def test_chat_rotation_in_parts(spark):
+    rows = [(1, 2, "user", "b<|im_end|>", "x"), (1, 0, "system", "s", "x"), (1, 1, None, None, "x"), (1, 3, "user", "c", "x"), (1, 3, "user", "c", "x"), (None, 0, "user", "n", "x"), (2, None, "system", "only", "x")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rank string")
+    got = {(r.conv_id, r.speaker, r.part): r for r in chat.rotate(turns, turns_per_part=3).collect()}
+    assert set(got) == {(1, "user", 0), (1, "user", 1), (1, "unnamed", 0), (1, "unnamed", 1), (None, "user", 0)}
+    first = got[1, "user", 0]
+    assert first.text == "<|im_start|>system\ns<|im_end|>\n<|im_start|>user name=unnamed\n<|im_end|>\n<|im_start|>assistant\nb<| im_end |><|im_end|>\n"
+    assert [first.text[m.start:m.end] for m in first.masks] == ["b<| im_end |><|im_end|>"]
+    assert [got[1, "user", 1].text[m.start:m.end] for m in got[1, "user", 1].masks] == ["c<|im_end|>"] * 2
+    assert sum(r.n_turns for k, r in got.items() if k[:2] == (1, "user")) == 5
+    assert chat.rotate(turns.limit(0)).count() == 0
+
+
+def test_urls_rules_and_templates(spark):
+    rules = [("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/")]
+    named = ["http://Example.COM/en/1", "https://www.example.com/en/1?x", "http://a.com/x", "http://notexample.com/en/", "http://x.org", None, "no scheme", "://h.org/a#b://c"]
+    rows = [(i, u, None) for i, u in enumerate(named)]
+    rows += [(100 + i, f"http://m.org/bad/{i}.html", 0) for i in range(40)] + [(200 + i, f"http://m.org/good/{i}", 1) for i in range(40)]
+    rows += [(300, f"http://m.org/bad/{'x/' * 30}", None), (300, "http://m.org/good/7", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, label int")
+    got = urls.judge(pages, rules).collect()
+    of = {r.page_id: r for r in got if r.page_id != 300}
+    assert len(got) == len(rows)
+    assert [(of[i].host, of[i].path, of[i].rule, of[i].verdict) for i in range(4)] == [
+        ("example.com", "/en/1", "example.com/en/", "block"), ("www.example.com", "/en/1", "www.example.com/en/", "allow"),
+        ("a.com", "/x", "com/", "allow"), ("notexample.com", "/en/", "com/", "allow")]
+    assert [(of[i].host, of[i].path) for i in (4, 5, 6, 7)] == [("x.org", ""), ("", ""), ("", ""), ("h.org", "/a")]
+    assert of[100].template == "/bad/*" and {of[100 + i].verdict for i in range(40)} == {"block"}
+    assert {of[200 + i].verdict for i in range(40)} == {"allow"}
+    assert urls.judge(pages.limit(0), rules).count() == 0
+
+
+@pytest.mark.parametrize("chunk,overlap", [(16, 4), (60, 8), (100, 3), (1 << 15, 256)])
+def test_long_texts_are_spliced_exactly(chunk, overlap):
+    draw = random.Random(chunk)
+    bits = ["a", "b", " ", "  ", "\n", "\n\n", "é", "1", "23", "'s", "'", "!", "...", "<|endoftext|>", "<|end", "\x1c", "\x85", "\u3000", "中文", "😀", "\t", "word", " the"]
+    whole, library = tokens.tokenizer(JSON), bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    for n in range(60):
+        text = "".join(draw.choice(bits) for _ in range(draw.randint(1, 300))) + ("a" * 500 if n % 7 == 0 else "") + (" " * 300 if n % 5 == 0 else "")
+        assert tokens.count_one(JSON, text, chunk, overlap) == len(whole.encode(text, add_special_tokens=False).ids)
+        assert bpe.encode_long(RANKS, public_tokenizers.PATTERN, text, chunk, overlap) == np.array(library.encode_ordinary(text), "<u4").tobytes()
+    joined = "".join("".join(p[a:b]) for p, a, b in splicing.spliced(LONG, lambda t: (list(range(len(t) + 1)), t), 100, 40))
+    assert joined == LONG
+
+
+def test_token_counts_and_ids_of_odd_texts(spark):
+    docs = odd_docs(spark)
+    counts = tokens.count_tokens(docs, JSON).collect()
+    whole = tokens.tokenizer(JSON)
+    assert sorted((r.id is None, r.id, r.n_tokens) for r in counts if r.id not in (None, 4)) == [
+        (False, i, len(whole.encode(t or "", add_special_tokens=False).ids)) for i, t in enumerate(TEXTS) if i != 4]
+    assert len(counts) == len(TEXTS) + 5 and tokens.count_tokens(docs.limit(0), JSON).count() == 0
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.encoding(RANKS, public_tokenizers.PATTERN)._mergeable_ranks, special_tokens={})
+    encoded = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
+    both = bpe.encode(docs, RANKS, public_tokenizers.PATTERN, decoded=True).collect()
+    back = bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).collect()
+    assert sorted(map(repr, both)) == sorted(map(repr, back)) and len(both) == len(TEXTS) + 5
+    for r in (r for r in both if r.doc_id not in (None, 4)):
+        text = TEXTS[r.doc_id] or ""
+        assert bytes(r.decoded) == text.encode() and np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(text)
+    assert bpe.encode(docs.limit(0), RANKS, public_tokenizers.PATTERN, decoded=True).count() == 0
+
+
+def plain_figures(text):
+    words = (text or "").encode().split()
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    covered = {i + k for i, w in enumerate(windows) if windows.count(w) > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if x.encode().split()]
+    return len(words), sum(len(w.decode()) for w in words), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_figures_and_line_limits(spark):
+    draw = random.Random(9)
+    texts = [None, "", "a b c a b c", "a a a a a", "#x *y|\n \n#x *y|\nz", "\u00a0 é\u2003è"] + [" ".join(draw.choice("abc") for _ in range(draw.randint(1, 60))) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)) + [(2, texts[2])], "doc_id long, text string").selectExpr("*", "'s' as source", "1 as row", "1 as lines")
+    got = quality.judge(docs).collect()
+    assert len(got) == len(texts) + 1
+    for r in got:
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == plain_figures(texts[r.doc_id])
+    own = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(30)]
+    shared = " ".join(f"s{k}" for k in range(70))
+    rows = [(i, f"{t}\n{shared}", "h") for i, t in enumerate(own)] + [(100, f"{own[0]} new", "h"), (101, shared, None)] + [(200 + i, "copy " + own[1], "h") for i in range(30)]
+    judged = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string"), min_documents=5).collect()}
+    assert judged[0].kept and not any(judged[i].kept for i in range(1, 30))  # the line holds 70 of 130 words; document 0 keeps it
+    assert judged[100].kept and judged[101].kept and all(judged[200 + i].kept for i in range(30))
+    kept = quality.keep_good(odd_docs(spark))
+    assert kept.columns == odd_docs(spark).columns and sorted(r.doc_id for r in kept.collect()) == [6, 6, 7]
+    assert quality.judge(docs.limit(0)).count() == 0
+
+
+def test_classifier_learns_without_the_held_out_fold(spark):
+    draw = random.Random(2)
+    good = lambda: " ".join(draw.choice(["alpha", "beta", "gamma", "delta", "epsilon"]) + draw.choice("abcde") for _ in range(80))
+    rows = [(i, good() if i % 4 else good().upper().replace(" ", "!! ")) for i in range(400)] + [(900, None), (901, ""), (902, LONG), (None, "x"), (3, "again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'q' as score", "0 as quality")
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(400)] + [(7, 1, 0), (None, 1, 0), (8, None, 0)], "doc_id long, quality int, toxic int")
+    got = classifier.classify(docs, labels).withColumn("held", classifier.held_out(docs.doc_id)).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    held = [r for r in got if r.held and r.doc_id < 400 and r.text != "again"]
+    assert all(r.held == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in got if r.doc_id is not None)
+    assert np.mean([r.predicted == int(r.doc_id % 4 > 0) for r in held]) > 0.95
+    flipped = labels.selectExpr("doc_id", "case when crc32(cast(doc_id as string)) % 4 = 2 then 1 - quality else quality end as quality")
+    assert [r.score for r in classifier.classify(docs, flipped).collect()] == [r.score for r in got]
+    assert {r.score for r in classifier.classify(docs, labels.limit(0)).collect()} == {0.5} and classifier.classify(docs.limit(0), labels).count() == 0
+
+
+def test_vectors_reach_most_pairs_and_no_wrong_one(spark):
+    draw = np.random.default_rng(4)
+    centres = draw.normal(size=(40, 24))
+    near = np.vstack([c + draw.normal(scale=0.13, size=(draw.integers(1, 40), 24)) for c in centres])
+    rows = [(i, v.astype(np.float32).tolist(), 1) for i, v in enumerate(near)]
+    n = len(rows)
+    odd = [(n, None, 1), (n + 1, [0.0] * 24, 1), (n + 2, [float("nan")] * 24, 1), (n + 3, [None] + [1.0] * 23, 1), (n + 4, [], 1), (n + 5, [1.0, 2.0], 1), (n + 6, [1.0, 2.0], 1), (n + 7, rows[0][1], 1), (None, rows[0][1], 1)]
+    frame = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, size int")
+    exact = near.astype(np.float32).astype(np.float64)
+    exact /= np.linalg.norm(exact, axis=1, keepdims=True)
+    links = exact @ exact.T >= 0.95
+    np.fill_diagonal(links, False)
+    for limit in (2048, 7):
+        got = vectors.near_duplicates(frame, sample=256, limit=limit).collect()
+        of = {r.id: r for r in got}
+        assert len(got) == n + len(odd)
+        found = sum(of[i].n_links for i in range(1, n)) - 2 * int(links[0, 1:].sum())  # row 0 has two copies
+        assert 0.9 <= found / links[1:].sum() and all(of[i].n_links <= links[i].sum() + 2 * links[i, 0] for i in range(1, n))
+        assert all(of[n + i].n_links == 0 and of[n + i].kept for i in range(5))
+        assert of[n + 5].n_links == of[n + 6].n_links == 1 and of[n + 6].component == n + 5 and of[n + 7].component == of[0].component and not of[None].kept
+    assert vectors.near_duplicates(frame.limit(0)).count() == 0
+
+
+def plain_targets(sizes, cap=3.0):
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (1.0, 2.0, 3.0)[i % 3] for i, s in enumerate(order)}
+    target, open_, left = {}, set(sizes), float(sum(sizes.values()))
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = {s for s in open_ if level * weight[s] > cap * sizes[s]}
+        if not over:
+            return target | {s: level * weight[s] for s in open_}
+        for s in over:
+            target[s] = cap * sizes[s]
+            left -= target[s]
+        open_ -= over
+    return target
+
+
+def test_mixing_meets_the_targets(spark):
+    draw = random.Random(6)
+    counts = {"a": 600, "b": 200, "c": 100, "d": 5, "é": 300, None: 150, "empty": 3}
+    rows = [(len(str(s)) * 10_000 + i, " ".join(["w"] * (0 if s == "empty" else draw.randint(1, 80))), s, 5) for s, n in counts.items() for i in range(n)]
+    docs = spark.createDataFrame(rows + [(None, None, "a", 1), rows[0]], "doc_id long, text string, source string, n_chars long")
+    got = mixing.mix(docs).collect()
+    sizes = {s: sum(r.size for r in got if r.source == s) for s in counts}
+    want = plain_targets(sizes)
+    assert len(got) == len(rows) + 2 and all(r.copies <= 3 and r.taken == r.copies * r.size for r in got)
+    for s in counts:
+        own = [r for r in got if r.source == s]
+        assert all(r.target == pytest.approx(want[s]) and r.source_size == sizes[s] for r in own)
+        assert sum(r.rate * r.size for r in own) == pytest.approx(want[s], rel=1e-6)
+        assert abs(sum(r.taken for r in own) - want[s]) <= 81
+    assert sorted(map(repr, got)) == sorted(map(repr, mixing.mix(docs.repartition(3)).collect()))
+    assert mixing.mix(docs.limit(0)).count() == 0 and {r.taken for r in mixing.mix(docs.where("source = 'empty'")).collect()} == {0}
