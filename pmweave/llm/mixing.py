@@ -61,11 +61,12 @@ def balance(sizes: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
                                     (top * 2 + 1).alias("high"), F.lit(1.0).alias("miss")), "dual")
     rate = F.exp(F.col("lam") * F.col("size") / F.col("unit"))
     words = F.col("size") * F.col("n")
+    exact = lambda term: F.sum(term.cast("decimal(28,9)")).cast("double")  # noqa: E731  the same in any order, so reruns agree
     for _ in range(MAX_STEPS):
         fitted = sizes.alias("s").join(state.alias("g"), F.expr(same)).select("g.*", "size", "n")
         sums = fitted.groupBy("source", "target", "unit", "lam", "low", "high").agg(
-            F.sum(words * F.least(rate, F.lit(cap))).alias("got"),
-            F.sum(F.when(rate < cap, words * rate * F.col("size") / F.col("unit")).otherwise(0.0)).alias("slope"))
+            exact(words * F.least(rate, F.lit(cap))).alias("got"),
+            exact(F.when(rate < cap, words * rate * F.col("size") / F.col("unit")).otherwise(0.0)).alias("slope"))
         over = F.col("got") > F.col("target")
         moved = sums.withColumn("low", F.when(over, F.col("low")).otherwise(F.col("lam"))).withColumn(
             "high", F.when(over, F.col("lam")).otherwise(F.col("high")))

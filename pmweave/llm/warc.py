@@ -178,10 +178,9 @@ def records(source, keep_payload: bool = False) -> Iterator[dict]:
         try:
             while True:
                 taken += len(raw)
-                piece = inflate.decompress(raw, PIECE)
-                while piece:  # a full piece may not be all that this input gives
-                    record.feed(piece)
-                    piece = inflate.decompress(inflate.unconsumed_tail, PIECE)
+                record.feed(piece := inflate.decompress(raw, PIECE))
+                while piece and not inflate.eof:  # a full piece may not be all that this input gives
+                    record.feed(piece := inflate.decompress(inflate.unconsumed_tail, PIECE))
                 if inflate.eof:
                     break
                 raw = source.read(PIECE)
