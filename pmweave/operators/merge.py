@@ -18,16 +18,13 @@ def merge_last(pm_long: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def widen(merged: DataFrame, keys: list[str], codes: list[str]) -> DataFrame:
-    """Merged tall rows to one ``counters MAP`` per key.
+    """Merged tall rows to one ``counters MAP`` per key, also for keys that hold no configured code.
 
     Only configured codes are gathered and each is there once, so a group never
     holds more entries than the catalog.
     """
-    return (
-        merged.filter(F.col("counter").isin(codes))
-        .groupBy(*keys)
-        .agg(F.map_from_entries(F.collect_list(F.struct("counter", "raw"))).alias("counters"))
-    )
+    entry = F.when(F.col("counter").isin(codes), F.struct("counter", "raw"))
+    return merged.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("counters"))
 
 
 def _starts_of_runs(ordered: str, key) -> Column:

@@ -33,7 +33,8 @@ XML_OPTIONS = {"mode": "PERMISSIVE", "ignoreNamespace": "true"}
 
 # How the root of the second Ericsson dialect and the counter-holding
 # elements of the two Nokia dialects are told, and the one type with a rule of its own.
-COLLEC_ROOT = r"<(?:[A-Za-z0-9_.-]+:)?measCollecFile[\s>]"
+BEFORE_ROOT = r"\A\x{FEFF}?(?:\s++|<\?(?s:.*?)\?>|<!--(?s:.*?)-->|<!DOCTYPE[^>\[]*(?:\[[^\]]*\])?[^>]*>)*+"
+COLLEC_ROOT = BEFORE_ROOT + r"<(?:[A-Za-z0-9_.-]+:)?measCollecFile[\s>]"
 LTE_TARGET = r"(?:PMTarget|NE-LNBTS_)"
 UMTS_TARGET = r"_Nokia"
 THROUGHPUT_TYPE = "lte_cell_throughput"
@@ -133,12 +134,12 @@ def _mdc_configured(doc: Column, names_scope: str, wanted: Column) -> Column:
 
 
 def _collec_blocks(doc: Column, label) -> Column:
-    """``measInfo`` of the first ``measData`` as ``STRUCT<p, names, mv>``.
+    """``measInfo`` of every ``measData`` as ``STRUCT<p, names, mv>``.
 
     Values refer to names by ``p``. Declarations are kept in reverse, so that the first match of a
     ``p`` declared twice is its last name. ``label`` turns a name into what values are given.
     """
-    infos = F.filter(F.get(doc["measData"], F.lit(0))["measInfo"], lambda info: F.size(info["measType"]) > 0)
+    infos = F.filter(_concat_all(doc["measData"]["measInfo"]), lambda info: F.size(info["measType"]) > 0)
     return F.transform(
         infos,
         lambda info: F.struct(

@@ -80,6 +80,8 @@ def umts_identity(moid: Column) -> Column:
 
 def report_entries(catalog: dict[str, list[Counter]], technology: str) -> list[Counter]:
     """LTE reports all tables by name, UMTS the site table."""
+    if technology == "UMTS" and UMTS_TABLE not in catalog:
+        raise ValueError(f"a UMTS report needs a table named {UMTS_TABLE!r} in the catalog; it has {sorted(catalog)}")
     tables = [UMTS_TABLE] if technology == "UMTS" else sorted(catalog)
     return [e for t in tables for e in catalog[t]]
 
@@ -139,8 +141,10 @@ def relation_reports(
 
 
 def issues(merged: DataFrame, entries: list[Counter]) -> DataFrame:
-    """All findings of a staged table of merged cells (``keep_empty=True``)."""
+    """All findings of a staged table of merged cells (``keep_empty=True``); relations are no cells and lack nothing."""
     named = merged.filter(F.col("cell_id").isNotNull())
+    if "rel_type" in merged.columns:
+        named = cell_grain_filter(named)
     nameless = merged.filter(F.col("nameless") > 0).groupBy("file_path").agg(F.max("nameless").alias("n"))
     return (
         quality.missing_counters_eric(named, entries)

@@ -57,6 +57,18 @@ def read_pm_sequence(spark: SparkSession, path: str) -> DataFrame:
     return frame.select("file_path", base_name(F.col("file_path")).alias("file_name"), "content")
 
 
+def inflated(data: bytes) -> bytes:
+    """Everything compressed data holds: a gzip file may have several members, one after another."""
+    out = []
+    while data[:2] in COMPRESSED:
+        inflate = zlib.decompressobj(zlib.MAX_WBITS | 32)
+        out.append(inflate.decompress(data) + inflate.flush())
+        if not inflate.eof:
+            raise zlib.error("data cut short")
+        data = inflate.unused_data
+    return b"".join(out)
+
+
 def text_of(body: str | bytes | bytearray) -> str:
     """A document's text: inflated when compressed, decoded as its declaration says, UTF-8 otherwise.
 
@@ -68,7 +80,7 @@ def text_of(body: str | bytes | bytearray) -> str:
     data = bytes(body)
     if data[:2] in COMPRESSED:
         try:
-            data = zlib.decompress(data, zlib.MAX_WBITS | 32)
+            data = inflated(data)
         except zlib.error:
             return data.decode("utf-8", "replace")
     declared = DECLARED_ENCODING.match(data)

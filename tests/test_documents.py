@@ -97,10 +97,26 @@ def test_names_scope(spark):
 def test_shred_3gpp_and_dialect(spark):
     files = pm_files(spark, ("a", MDC), ("b", COLLEC))
     assert {r.file_path: r.dialect for r in detect_eric_dialect(files).collect()} == {"a": "mdc", "b": "3gpp"}
-    rows = shred_3gpp(pm_files(spark, ("b", COLLEC))).orderBy("mv").collect()
+    rows = shred_3gpp(pm_files(spark, ("b", COLLEC))).orderBy("md", "mv").collect()
     assert [(r.moid, r.names, r.raws) for r in rows] == [
-        ("X=1,EUtranCellFDD=C9", ["pmB", "pmA", None], ["5", "0", "6"]), (None, ["pmA"], ["6"])]
-    assert shred_eric(files).count() == 8
+        ("X=1,EUtranCellFDD=C9", ["pmB", "pmA", None], ["5", "0", "6"]), (None, ["pmA"], ["6"]),
+        ("X=1,EUtranCellFDD=C9", ["pmA"], ["1000"])]
+    assert shred_eric(files).count() == 9
+
+
+def test_dialect_is_told_by_the_root_alone(spark):
+    before = '<?xml version="1.0"?>\n<!DOCTYPE x>\n<!-- <mdc> <measCollecFile > -->\n'
+    files = pm_files(spark, ("a", before + MDC), ("b", before + COLLEC), ("c", MDC + "<!-- <measCollecFile > -->"), ("d", ""))
+    assert {r.file_path: r.dialect for r in detect_eric_dialect(files).collect()} == {"a": "mdc", "b": "3gpp", "c": "mdc", "d": "mdc"}
+
+
+def test_every_member_of_a_gzip_text_is_read():
+    assert text_of(gzip.compress(b"<mdc>") + gzip.compress(b"</mdc>")) == "<mdc></mdc>"
+
+
+def test_cells_without_configured_counters_stay(spark):
+    tall = spark.createDataFrame([("f", "C1", "pmA", "1"), ("f", "C2", "other", "2")], "file_path string, cell_id string, counter string, raw string")
+    assert {(r.cell_id, tuple(r.counters.items())) for r in widen(tall, ["file_path", "cell_id"], ["pmA"]).collect()} == {("C1", (("pmA", "1"),)), ("C2", ())}
 
 
 def test_merge_in_document_equals_tall_merge(spark):
@@ -134,7 +150,7 @@ def test_lte_ericsson_job(spark, tmp_path):
     assert sorted(x for x in set(lines) if not x.startswith("MGR")) == [
         front % ("N1", "C1") + "0,7,0,0,0,0,0,0,0,5,4,0,1,2,3,0",
         front % ("N1", "C2") + "0,0,0,0,0,0,0,0,0,0,5,0,0,0,0,0",
-        front % ("N2", "C9") + "0,0,0,0,0,0,0,0,0,0,0,5,0,0,0,0",
+        front % ("N2", "C9") + "0,0,0,0,0,0,0,0,0,0,1000,5,0,0,0,0",
     ]
     assert header in lines
     found = spark.read.option("header", True).csv(str(tmp_path / "out/issues"))

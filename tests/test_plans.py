@@ -21,9 +21,9 @@ def test_merge_combines_before_the_exchange(spark):
     assert plan.count("Exchange") == 1 and "partial_max_by" in plan
 
 
-def test_configured_codes_reach_the_scan(spark):
+def test_only_used_columns_are_read_and_every_cell_is_kept(spark):
     plan = plan_of(queries()["project_configured"](spark, SF))
-    assert "PushedFilters: [In(event_type, [" in plan and "props" not in plan
+    assert "PushedFilters: [], ReadSchema" in plan and "props" not in plan
 
 
 def test_types_prune_to_their_partition(spark):

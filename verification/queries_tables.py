@@ -442,7 +442,7 @@ def _wide(spark: SparkSession, sf_dir: str) -> DataFrame:
   coalesce(max(CASE WHEN counter = 'view' THEN raw END), '0') AS n_view,
   coalesce(max(CASE WHEN counter = 'click' THEN raw END), '0') AS n_click,
   coalesce(max(CASE WHEN counter = 'error' THEN raw END), '0') AS n_error, '0' AS n_never
-FROM merged WHERE counter IN ('view', 'click', 'error') GROUP BY file_path, cell_id""")
+FROM merged GROUP BY file_path, cell_id""")
 def project_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(_wide(spark, sf_dir), SHOWN, KEYS, absent="0")
 
@@ -464,7 +464,7 @@ def report_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.table(spark, sf_dir, "orders").select("o_orderkey", F.explode(names_of).alias("column_name"))
 
 
-@check(f"""WITH {TALL_SQL}, cells AS (SELECT DISTINCT file_path, cell_id FROM merged WHERE counter IN ('view', 'click', 'error'))
+@check(f"""WITH {TALL_SQL}, cells AS (SELECT DISTINCT file_path, cell_id FROM merged)
 SELECT DISTINCT c.file_path, w.code AS item, 'IE:' || w.code || ' not found from xml input; set 0 instead' AS message
 FROM cells c CROSS JOIN (VALUES ('view'), ('click'), ('error'), ('never')) w(code)
 LEFT JOIN merged m ON m.file_path = c.file_path AND m.cell_id = c.cell_id AND m.counter = w.code WHERE m.raw IS NULL""")
@@ -472,7 +472,7 @@ def missing_counters_eric(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.missing_counters_eric(_wide(spark, sf_dir), SHOWN).select("file_path", "item", "message")
 
 
-@check(f"""WITH {TALL_SQL}, cells AS (SELECT DISTINCT file_path, cell_id FROM merged WHERE counter IN ('view', 'click', 'error'))
+@check(f"""WITH {TALL_SQL}, cells AS (SELECT DISTINCT file_path, cell_id FROM merged)
 SELECT 'IE:' || w.code || ' not found from xml input; set 0 instead' AS message, min(c.file_path) AS file_path
 FROM cells c CROSS JOIN (VALUES ('view'), ('click'), ('error'), ('never')) w(code)
 LEFT JOIN merged m ON m.file_path = c.file_path AND m.cell_id = c.cell_id AND m.counter = w.code WHERE m.raw IS NULL GROUP BY w.code""")
