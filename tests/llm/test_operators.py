@@ -169,6 +169,15 @@ def plain_figures(text):
     return len(words), sum(len(w.decode()) for w in words), sum((text or "").count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)), len(covered)
 
 
+def test_remembered_pre_tokens_count_as_the_library_counts():
+    draw, signs = random.Random(5), [*map(chr, range(0x250)), *" \t\n\x1c\x85'slt1!" * 20, "<|endoftext|>", "日"]
+    texts = ["".join(draw.choices(signs, k=draw.randint(0, 40))) for _ in range(4000)] + ["=" * 500, ""]
+    whole = [len(e) for e in tokens.tokenizer(JSON).encode_batch(texts, add_special_tokens=False)]
+    for cut in (True, False):
+        assert tokens.count_short(JSON, texts, cut) == whole
+    assert tokens.byte_level(JSON) and max(map(len, tokens._known[JSON])) <= tokens.PIECE_CHARS
+
+
 def test_quality_figures_and_line_limits(spark):
     draw = random.Random(9)
     texts = [None, "", "a b c a b c", "a a a a a", "#x *y|\n \n#x *y|\nz", "\u00a0 é\u2003è"] + [" ".join(draw.choice("abc") for _ in range(draw.randint(1, 60))) for _ in range(40)]
