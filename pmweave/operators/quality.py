@@ -52,8 +52,8 @@ def array_length_issues(pm_long: DataFrame, entries: list[Counter]) -> DataFrame
     """Array counters with another length than configured, once per file, counter and message.
 
     Also scalars that hold a list, of which only the first value is reported, and sparse
-    lists shorter than they announce. Shapes come from the catalog, which ``load_catalog``
-    has bounded, so they are broadcast.
+    lists shorter than they announce. Shapes come from the catalog; Spark broadcasts them
+    where their size allows.
     """
     shapes = pm_long.sparkSession.createDataFrame(
         sorted({(e.code, e.kind, e.dim) for e in entries}), "code STRING, kind STRING, dim INT"
@@ -63,12 +63,13 @@ def array_length_issues(pm_long: DataFrame, entries: list[Counter]) -> DataFrame
     text = (
         F.when((kind == PDF) & (n > dim), F.lit(TOO_LONG))
         .when((kind == PDF) & (n < dim), F.lit(TOO_SHORT))
+        .when((kind == SPECIAL) & (n > SPECIAL_DIM), F.lit(TOO_LONG))
         .when((kind == SPECIAL) & (n < SPECIAL_DIM), F.lit(TOO_SHORT))
         .when((kind == COMP) & comp_is_short(raw), F.lit(TOO_SHORT))
         .when((kind == SINGLE) & F.contains(raw, F.lit(",")), F.lit(TOO_LONG))
     )
     found = (
-        pm_long.join(F.broadcast(shapes), F.col("counter") == F.col("code"))
+        pm_long.join(shapes, F.col("counter") == F.col("code"))
         .select("file_path", F.col("code").alias("item"), text.alias("text"))
         .filter(F.col("text").isNotNull())
         .distinct()

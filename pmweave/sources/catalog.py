@@ -15,11 +15,6 @@ from pyspark.sql import functions as F
 
 from pmweave.functions.arrays import SINGLE, counter_dim, counter_kind
 
-# A catalog becomes report columns, so it has to be known on the driver when a plan is
-# built. It is metadata; anything beyond this many entries is not a catalog.
-MAX_ENTRIES = 20_000
-
-
 # Setting names, in lower case as keys are compared.
 SETTING_KEYS = ["region", "market", "hl_market", "technology", "debugnothinguseinelement"]
 
@@ -63,8 +58,8 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _table_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Lines that define a table: their value is a list of pairs."""
-    return _lines(spark, path).filter(F.col("value").rlike(r"^[^:,]+:[^:,]+(,|$)"))
+    """Lines that define a table: their value is a list with a pair in it, wherever that stands."""
+    return _lines(spark, path).filter(F.col("value").rlike(r"(^|,)[^:,]+:[^:,]+(,|$)"))
 
 
 def _last_of_key(lines: DataFrame) -> DataFrame:
@@ -77,20 +72,23 @@ def catalog_rows(lines: DataFrame, vendor: str) -> DataFrame:
 
     Ericsson entries are ``counter:kind`` and the column is named after the counter;
     Nokia entries are ``code:column``, always single values. An unknown kind leaves
-    ``kind`` and ``dim`` null, which ``load_catalog`` refuses.
+    ``kind`` and ``dim`` null, and an entry that is no pair leaves them and ``column_name`` null;
+    ``load_catalog`` refuses both. Nothing between two commas is no entry.
     """
     entry = lines.select("table_name", F.posexplode(F.split("definition", ",")).alias("ordinal", "entry"))
+    entry = entry.filter(F.trim("entry") != "")
     code, second = _pair(F.col("entry"))
     typed = vendor == "ericsson"
+    is_pair = F.coalesce(second, F.lit("")) != ""
     return entry.select(
         F.lit(vendor).alias("vendor"),
         "table_name",
         "ordinal",
         code.alias("code"),
-        (code if typed else second).alias("column_name"),
-        (counter_kind(second) if typed else F.lit(SINGLE)).alias("kind"),
-        (counter_dim(second) if typed else F.lit(1)).alias("dim"),
-    ).filter(F.col("column_name").isNotNull())
+        F.when(is_pair, code if typed else second).alias("column_name"),
+        F.when(is_pair, counter_kind(second) if typed else F.lit(SINGLE)).alias("kind"),
+        F.when(is_pair, counter_dim(second) if typed else F.lit(1)).alias("dim"),
+    )
 
 
 def _pair(entry: Column) -> tuple[Column, Column]:
@@ -107,13 +105,14 @@ def read_counter_catalog(spark: SparkSession, path: str, vendor: str) -> DataFra
 def load_catalog(catalog: DataFrame) -> dict[str, list[Counter]]:
     """The catalog as ``table -> counters in order``, tables by name.
 
-    Refuses oversized catalogs and array counters without a usable size.
+    A catalog becomes report columns, so the driver has to know it when a plan is built; it is as
+    large as the definition file. Refuses entries that are no pair and array counters without a usable size.
     """
-    rows = catalog.orderBy("table_name", "ordinal").limit(MAX_ENTRIES + 1).collect()
-    if len(rows) > MAX_ENTRIES:
-        raise ValueError(f"more than {MAX_ENTRIES} catalog entries; is this a counter catalog?")
+    rows = catalog.orderBy("table_name", "ordinal").collect()
     tables: dict[str, list[Counter]] = {}
     for r in rows:
+        if r.column_name is None:
+            raise ValueError(f"entry {r.code!r} of table {r.table_name!r} is no pair")
         if not r.dim or r.dim < 1:
             raise ValueError(f"counter {r.code!r} of table {r.table_name!r} has no size")
         tables.setdefault(r.table_name, []).append(

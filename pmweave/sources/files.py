@@ -35,15 +35,16 @@ def as_pm_file(frame: DataFrame) -> DataFrame:
     )
 
 
-def read_pm_files(spark: SparkSession, path: str, glob: str = XML_GLOB) -> DataFrame:
-    """A directory of plain or gzip XML. Spark inflates ``.gz`` by its suffix.
+def read_pm_files(spark: SparkSession, path: str, glob: str = XML_GLOB, partitioned: bool = False) -> DataFrame:
+    """A directory of plain or gzip XML, folders below it included. Spark inflates ``.gz`` by its suffix.
 
     Small files are packed into splits by ``spark.sql.files.maxPartitionBytes``, so no
-    repartition follows. Partition folders (``day=...``) stay as columns and prune.
+    repartition follows. With ``partitioned`` the folders below are partition folders (``day=...``),
+    which become columns and prune.
     """
     return as_pm_file(
         spark.read.option("wholetext", True).option("pathGlobFilter", glob)
-        .option("recursiveFileLookup", False).format("text").load(path)
+        .option("recursiveFileLookup", not partitioned).format("text").load(path)
     )
 
 

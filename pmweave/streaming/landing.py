@@ -14,17 +14,18 @@ def stream_pm_files(
     spark: SparkSession, path: str, glob: str = XML_GLOB,
     archive: str | None = None, max_files: int | None = None,
 ) -> DataFrame:
-    """A streaming ``pm_file`` frame over a landing directory, oldest files first.
+    """A streaming ``pm_file`` frame over a landing directory, oldest files first, folders below it included.
 
     ``glob`` tells vendor and technology apart by file name. With ``archive`` processed files
     are moved there; Spark does so when a later batch runs, so the last batch stays in
-    place. ``max_files`` keeps a backlog from becoming one batch.
+    place; the archive must lie outside the landing directory. ``max_files`` keeps a backlog from becoming one batch.
     """
     reader = (
         spark.readStream.format("text")
         .option("wholetext", True)
         .option("pathGlobFilter", glob)
         .option("latestFirst", False)
+        .option("recursiveFileLookup", True)
     )
     if archive:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)

@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from pmweave.__main__ import main
 from pmweave.functions.identity import eric_cell_id_lte
 from pmweave.operators.merge import merge_documents, merge_last, widen
+from pmweave.operators.quality import array_length_issues
 from pmweave.operators.shred import (
     detect_eric_dialect, explode_counters, lower_counter_codes, parse_eric, shred_3gpp, shred_eric, shred_mdc,
 )
 from pmweave.plans import ericsson, nokia
 from pmweave.sources import load_catalog, load_settings, read_counter_catalog, read_pm_files, read_pm_sequence
-from pmweave.sources.catalog import Settings
+from pmweave.sources.catalog import Counter, Settings
 from pmweave.sources.files import text_of
+from pmweave.streaming.landing import land_batches, stream_pm_files
 
 ERIC_NAME = "OSS1_-0400_A20170807.1200-0400-1215-0400_SubNetwork=ROOT,SubNetwork=Manhattan,MeContext=%s_statsfile.xml"
 CELL = "ManagedElement=1,ENodeBFunction=1,EUtranCellFDD="
@@ -309,6 +311,29 @@ def test_file_sources(spark, tmp_path):
     assert (row.file_path, row.file_name, row.content) == ("in/" + ERIC_NAME % "N1", ERIC_NAME % "N1", MDC)
 
 
+def test_folders_below_are_read(spark, tmp_path):
+    (tmp_path / "in" / "deep" / "er").mkdir(parents=True)
+    (tmp_path / "in" / (ERIC_NAME % "N1")).write_text(MDC)
+    (tmp_path / "in" / "deep" / "er" / (ERIC_NAME % "N2")).write_text(MDC)
+    seen = []
+    assert read_pm_files(spark, str(tmp_path / "in")).count() == 2
+    stream = stream_pm_files(spark, str(tmp_path / "in"))
+    land_batches(stream, str(tmp_path / "ckpt"), lambda files, batch: seen.append(files.count())).awaitTermination()
+    assert sum(seen) == 2
+
+
+@pytest.mark.parametrize("line", ["t1=foo,M1:A", "t1=M1:A,M2,M3:C", "t1=M1:A,M2:"])
+def test_entries_that_are_no_pair_are_refused(spark, tmp_path, line):
+    with pytest.raises(ValueError, match="table 't1' is no pair"):
+        catalog_of(spark, tmp_path, "[Table]\n" + line + "\n", "nokia")
+
+
+def test_long_special_lists_are_reported(spark):
+    rows = spark.createDataFrame([("f", "pmS", ",".join("1" * n)) for n in (10, 12)], "file_path string, counter string, raw string")
+    found = array_length_issues(rows, [Counter("t", 0, "pmS", "pmS", "SPECIAL", 10)]).collect()
+    assert [r.message for r in found] == ["IE:pmS has more elemments than configured"]
+
+
 def test_odd_nokia_documents(spark):
     """Two targets in one object (the last counts), no start time, no objects, several setups."""
     two = lte_object("lte_cell_avail", "<M8020C3>1</M8020C3>").replace(
