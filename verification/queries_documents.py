@@ -82,7 +82,7 @@ def read_pm_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_pm_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through a folder of gzip files."""
     folder = feeds.written_documents(spark, feeds.mdc_documents(spark, sf_dir))
-    return _tall(shred_md(read_files(spark, folder, "*.txt.gz")))
+    return _tall(shred_md(read_files(spark, folder, "*.txt.gz", partitioned=True)))
 
 
 @check(TALL_SQL)
