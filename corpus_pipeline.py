@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pmweave.llm import bpe, classifier, mixing, quality, simhash
 from pmweave.session import stage
 
-NEAR_WORDS, NEAR_DISTANCE = 5, 8
+NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,9 +28,9 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays. Eight differing bits of 64 are a cosine of 0.92
-    between the sums of five-word shingles, which texts of a similarity of 0.86 have; fewer are more alike."""
-    return simhash.keep_one(docs, words=NEAR_WORDS, distance=NEAR_DISTANCE)
+    """One document of each near-duplicate group stays. SimHash finds the pairs; they are near
+    duplicates if their sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return simhash.keep_one(docs, words=NEAR_WORDS, similarity=NEAR_SIMILARITY)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

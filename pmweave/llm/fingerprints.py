@@ -10,10 +10,11 @@ import xxhash
 
 SHINGLE_WORDS = 4
 SEED = 42
+SECOND_SEED = 43  # of the second half of a wide fingerprint
 HASHES_AT_ONCE = 1 << 16  # bounds the memory of one very long text
 
 
-def shingle_hashes(text: str | None, words_each: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
+def shingle_hashes(text: str | None, words_each: int = SHINGLE_WORDS, seed: int = SEED) -> Iterator[np.ndarray]:
     """XXH64 of every word shingle, repeats included, in bounded arrays.
 
     ``bytes.lower`` and ``bytes.split`` touch exactly A-Z and the six ASCII blanks, so no
@@ -30,13 +31,13 @@ def shingle_hashes(text: str | None, words_each: int = SHINGLE_WORDS) -> Iterato
     digest = xxhash.xxh64_intdigest
     for at in range(0, len(spans), HASHES_AT_ONCE):
         part = spans[at: at + HASHES_AT_ONCE]
-        yield np.fromiter((digest(joined[a:b], SEED) for a, b in part), "<u8", len(part))
+        yield np.fromiter((digest(joined[a:b], seed) for a, b in part), "<u8", len(part))
 
 
-def simhash(text: str | None, words_each: int = SHINGLE_WORDS) -> int:
+def simhash(text: str | None, words_each: int = SHINGLE_WORDS, seed: int = SEED) -> int:
     """A bit is 1 if it is set in over half of the shingles' hashes; zero without words."""
     ones, n = np.zeros(64, np.int64), 0
-    for hashes in shingle_hashes(text, words_each):
+    for hashes in shingle_hashes(text, words_each, seed):
         bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         ones += bits.sum(axis=0, dtype=np.int64)
         n += len(hashes)
@@ -48,3 +49,16 @@ def add_fingerprints(batches: Iterator[pa.RecordBatch], words_each: int = SHINGL
     for batch in batches:
         found = np.fromiter((simhash(t.as_py(), words_each) for t in batch.column(1)), np.uint64, batch.num_rows)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
+
+
+def add_wide_fingerprints(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa.RecordBatch]:
+    """Rows of (id, text) to rows of (id, fp, more): 128 bits in two signed longs."""
+    for batch in batches:
+        halves = [np.fromiter((simhash(t.as_py(), words_each, seed) for t in batch.column(1)), np.uint64, batch.num_rows) for seed in (SEED, SECOND_SEED)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(h.view(np.int64)) for h in halves)], names=["id", "fp", "more"])
+
+
+def shingle_set(text: str | None, words_each: int) -> np.ndarray:
+    """The distinct shingle hashes of a text in ascending order."""
+    parts = [np.unique(h) for h in shingle_hashes(text, words_each)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)

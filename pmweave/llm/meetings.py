@@ -62,15 +62,32 @@ def _starts(table: pa.Table, keys: int) -> np.ndarray:
 
 
 def forest(n: int, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of the links ``left[i] - right[i]`` between ``n`` rows, as few as keep the same rows connected."""
-    parent = list(range(n))
-    keep = []
-    for i, (a, b) in enumerate(zip(left.tolist(), right.tolist(), strict=True)):
-        while parent[a] != a:
-            parent[a] = a = parent[parent[a]]
-        while parent[b] != b:
-            parent[b] = b = parent[parent[b]]
-        if a != b:
-            parent[a] = b
-            keep.append(i)
-    return left[keep], right[keep]
+    """Of the links ``left[i] - right[i]`` between ``n`` rows, as few as keep the same rows connected.
+
+    Earlier links are preferred, so links in order of distance leave a least spanning forest, in
+    which each row keeps a link to its nearest. Rows are joined round by round, each group of them by its first link out.
+    """
+    group, keep, open_ = np.arange(n), [], np.arange(len(left))
+    while True:
+        a, b = group[left[open_]], group[right[open_]]
+        apart = a != b
+        open_, a, b = open_[apart], a[apart], b[apart]
+        if not len(open_):
+            break
+        first = np.full(n, len(left))
+        np.minimum.at(first, a, open_)
+        np.minimum.at(first, b, open_)
+        chosen = np.unique(first[first < len(left)])
+        keep.append(chosen)
+        parent = list(range(n))
+        for x, y in zip(group[left[chosen]].tolist(), group[right[chosen]].tolist(), strict=True):
+            while parent[x] != x:
+                parent[x] = x = parent[parent[x]]
+            while parent[y] != y:
+                parent[y] = y = parent[parent[y]]
+            parent[max(x, y)] = min(x, y)
+        for x in range(n):  # parents come before their children
+            parent[x] = parent[parent[x]]
+        group = np.array(parent)[group]
+    kept = np.concatenate(keep) if keep else np.zeros(0, np.int64)
+    return left[kept], right[kept]

@@ -16,12 +16,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pmweave.llm.components import connected
-from pmweave.llm.fingerprints import SHINGLE_WORDS, add_fingerprints
+from pmweave.llm.fingerprints import SHINGLE_WORDS, add_fingerprints, add_wide_fingerprints, shingle_set, simhash
 from pmweave.llm.meetings import LIMIT, forest, groups, meet
 from pmweave.llm.workers import importable
 from pmweave.session import stage
 
 BITS = 64
+HALF_DISTANCE = 8
+WIDE_DISTANCE = 32  # of 128 bits: texts of a similarity of 0.8 differ in 19.4 +- 4.1
 
 
 def probes(distance: int, segments: int) -> list[tuple[int, int, int]]:
@@ -46,36 +48,43 @@ def _signed(value: int) -> int:
     return value - (1 << BITS) if value >> (BITS - 1) else value
 
 
-def hamming_links(prints: DataFrame, distance: int, segments: int = 3, limit: int = LIMIT) -> DataFrame:
+def hamming_links(prints: DataFrame, distance: int, segments: int = 3, limit: int = LIMIT, wide: bool = False) -> DataFrame:
     """Links ``(a, b)`` that connect exactly the distinct fingerprints ``fp`` within ``distance`` bits.
 
-    Within each group only as many links are returned as keep the same rows connected, so the
-    result stays linear in the entries even where thousands are all near each other.
+    Within each group only as many links are returned as keep the same rows connected, the nearest
+    first, so the result stays linear in the entries even where thousands are all near each other.
+
+    With ``wide`` a fingerprint is the 128 bits of ``fp`` and ``more`` (``fp`` names it), and both
+    halves are entered for ``HALF_DISTANCE``. Pairs within ``2 * HALF_DISTANCE + 1`` bits differ in no more than
+    that in one half and surely meet; of those up to ``distance`` the pairs are linked that meet in a segment.
     """
     importable(prints.sparkSession)
+    halves, found = (["fp", "more"], HALF_DISTANCE) if wide else (["fp"], distance)
     probe = F.explode(F.array(*[
-        F.struct(F.lit(s).alias("segment"), F.lit(_signed(m)).alias("mask"), F.lit(_signed(f)).alias("flip"))
-        for s, m, f in probes(distance, segments)]))
-    entries = prints.select("fp", probe.alias("p")).select(
-        "p.segment", F.col("fp").bitwiseAND(F.col("p.mask")).bitwiseXOR(F.col("p.flip")).alias("value"), "fp")
+        F.struct(F.lit(h * segments + s).alias("segment"), F.col(half).bitwiseAND(F.lit(_signed(m))).bitwiseXOR(F.lit(_signed(f))).alias("value"))
+        for h, half in enumerate(halves) for s, m, f in probes(found, segments)]))
+    entries = prints.select(*halves, probe.alias("p")).select("p.segment", "p.value", *halves)
     met = meet(entries, ["segment", "value"], "fp", limit)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in groups(batches, 4):
-            fps = table.column("fp").to_numpy().view(np.uint64)
+            words = [table.column(half).to_numpy().view(np.uint64) for half in halves]
             group = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-            left, right = [], []
+            left, apart = [], []
             for step in range(1, int(np.diff(starts).max())):
-                near = (np.bitwise_count(fps[:-step] ^ fps[step:]) <= distance) & (group[:-step] == group[step:])
-                left.append(np.flatnonzero(near))
-                right.append(left[-1] + step)
+                bits = sum(np.bitwise_count(w[:-step] ^ w[step:]) for w in words)
+                left.append(np.flatnonzero((bits <= distance) & (group[:-step] == group[step:])).astype(np.int32))
+                apart.append(bits[left[-1]])
             if not left:
                 continue
-            a, b = forest(len(fps), np.concatenate(left), np.concatenate(right))
+            right = np.concatenate([at + np.int32(step) for step, at in enumerate(left, start=1)])
+            nearest = np.argsort(np.concatenate(apart), kind="stable")
+            a, b = forest(len(group), np.concatenate(left)[nearest], right[nearest])
             if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(fps[a].view(np.int64)), pa.array(fps[b].view(np.int64))], names=["a", "b"])
+                fps = words[0].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(fps[a]), pa.array(fps[b])], names=["a", "b"])
 
-    columns = ["segment", "value", "low", "high", "fp"]
+    columns = ["segment", "value", "low", "high", *halves]
     return met.select(*columns).mapInArrow(compare, "a long, b long")
 
 
@@ -93,21 +102,75 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     prints = stage(rows.mapInArrow(lambda batches: add_fingerprints(batches, words), "id long, fp long"), "fingerprints")
     classes = stage(prints.groupBy("fp").agg(F.min("id").alias("least")), "classes")
     roots = connected(hamming_links(classes, distance, segments, limit), "a", "b")
-    linked = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    return prints.join(linked.join(least, "root").select("fp", "component"), "fp").select("id", "fp", "component")
+    return _components(prints, classes, roots).select("id", "fp", "component")
 
 
 def fingerprint_text(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def alike(links: DataFrame, classes: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The ``links`` whose ends' texts share at least ``similarity`` of their distinct shingles (Jaccard).
+
+    A class ``fp`` stands for the text of its ``least`` row. Only texts with links are moved, as
+    sets of shingle hashes, once per link.
+    """
+    ends = links.select(F.col("a").alias("fp")).union(links.select(F.col("b").alias("fp"))).distinct()
+    wanted = classes.join(ends, "fp").select(F.col("least").alias("id"), "fp")
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            mine = [i for i, (fp, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
+                    if simhash(t.as_py(), words) == fp % (1 << BITS)]  # a repeated id may have other texts
+            shingles = [shingle_set(batch.column(1)[i].as_py(), words).tobytes() for i in mine]
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(mine, pa.int64())), pa.array(shingles, pa.binary())], names=["fp", "shingles"])
+
+    def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = []
+            for i in range(batch.num_rows):
+                x, y = (np.frombuffer(batch.column(c)[i].as_py(), np.uint64) for c in (2, 3))
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                if both >= similarity * (len(x) + len(y) - both):
+                    kept.append(i)
+            yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
+
+    held = stage(rows.join(wanted, "id").select("fp", "text").mapInArrow(sets, "fp long, shingles binary").dropDuplicates(["fp"]), "shingles")
+    pairs = links.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
+    return pairs.select("a", "b", "x", "y").mapInArrow(enough, "a long, b long")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8,
+                distance: int = WIDE_DISTANCE, limit: int = LIMIT) -> DataFrame:
+    """``(id, component)`` per row with an id: groups of texts that are alike in at least ``similarity`` of their shingles.
+
+    Wide fingerprints find the candidates, their shingle sets decide. Texts of equal first halves are
+    one class; null and wordless texts are one too. Repeated ids keep their rows, rows without an id
+    are left out, an empty table gives an empty result, and other columns are not looked at.
+    """
+    importable(docs.sparkSession)
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    prints = stage(rows.mapInArrow(lambda batches: add_wide_fingerprints(batches, words), "id long, fp long, more long"), "fingerprints")
+    first = prints.groupBy("fp").agg(F.min(F.struct("id", "more")).alias("first"))
+    classes = stage(first.select("fp", F.col("first.id").alias("least"), "first.more"), "classes")
+    links = hamming_links(classes, distance, limit=limit, wide=True)
+    links = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
+    return _components(prints, classes, connected(alike(links, classes, rows, words, similarity), "a", "b")).select("id", "component")
+
+
+def _components(prints: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
+    """``prints`` with the least id of all classes under the same root."""
+    linked = classes.select("fp", "least").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    least = linked.groupBy("root").agg(F.min("least").alias("component"))
+    return prints.join(linked.join(least, "root").select("fp", "component"), "fp")
+
+
 def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` with one of each near-duplicate group: that of the least ``doc_id``.
+    """The rows of ``docs`` with one of each group of near copies: that of the least ``doc_id``.
 
     Of repeated rows of the kept id one stays; rows without an id stay as they are.
     """
-    found = near_duplicates(docs, **options).where("id = component").select(F.col("id").alias("doc_id")).distinct()
+    found = near_copies(docs, **options).where("id = component").select(F.col("id").alias("doc_id")).distinct()
     named = docs.where(F.col("doc_id").isNotNull())
     kept = named.join(found, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

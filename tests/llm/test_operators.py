@@ -10,7 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
-from pmweave.llm import bpe, chat, classifier, components, mixing, quality, simhash, splicing, tokens, urls, vectors, warc
+from pmweave.llm import bpe, chat, classifier, components, fingerprints, meetings, mixing, quality, simhash, splicing, tokens, urls, vectors, warc
 from pmweave.llm.fingerprints import simhash as fingerprint
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size long, id string"
@@ -98,6 +98,47 @@ def test_simhash_of_odd_texts(spark):
     assert simhash.near_duplicates(odd_docs(spark).limit(0)).count() == 0
 
 
+def test_forest_keeps_the_nearest():
+    draw = np.random.default_rng(8)
+    for n, m in ((1, 0), (2, 1), (50, 30), (50, 400)):
+        left, right = draw.integers(0, n, m), draw.integers(0, n, m)
+        a, b = meetings.forest(n, left, right)
+        links = list(zip(left.tolist(), right.tolist(), strict=True))
+        root, kept = list(range(n)), []
+        for x, y in links:  # Kruskal: links in order, those that join two groups
+            if root[x] != root[y]:
+                kept.append((x, y))
+                root = [root[x] if r == root[y] else r for r in root]
+        assert sorted(zip(a.tolist(), b.tolist(), strict=True)) == sorted(kept)
+
+
+def test_near_copies_equal_all_pairs(spark):
+    draw, words = random.Random(12), [f"word{i}" for i in range(3000)]
+    texts = []
+    for _ in range(40):
+        base = draw.choices(words, k=draw.randint(60, 300))
+        texts.append(base)
+        for edits in (1, 2, 3, 5, 8, 12, 20):
+            changed = list(base)
+            for at in draw.sample(range(len(base)), edits):
+                changed[at] = draw.choice(words)
+            texts.append(changed)
+    texts = [" ".join(t) for t in texts] + ["", "one two", "one  TWO", None, " "]
+    own = [set(fingerprints.shingle_set(t, 5).tolist()) for t in texts]
+    share = {(i, j): len(own[i] & own[j]) / max(1, len(own[i] | own[j])) for i in range(len(own)) for j in range(i) if own[i] & own[j]}
+    want = plain_components(len(texts), [pair for pair, s in share.items() if s >= 0.8] + [(320, 323), (320, 324)])
+    for limit in (2048, 5):
+        docs = spark.createDataFrame(list(enumerate(texts)) + [(None, texts[0])], "doc_id long, text string")
+        got = {r.id: r.component for r in simhash.near_copies(docs, limit=limit).collect()}
+        assert set(got) == set(range(len(texts))) and all(want[got[i]] == want[i] for i in got)  # no wrong link
+        # a pair of exactly 0.8 meets in one of the six segments with a chance of 0.94
+        assert sum(got[i] != want[i] for i in got) <= 0.06 * sum(want[i] != i for i in got)
+    rows = odd_docs(spark)
+    kept = simhash.keep_one(rows).collect()
+    assert sorted((r.doc_id is None, r.doc_id) for r in kept) == sorted((i is None, i) for i in [0, 3, 4, 6, 8, 9, None, None])
+    assert simhash.near_copies(rows.limit(0)).count() == 0 and simhash.keep_one(rows.limit(0)).count() == 0
+
+
 def test_chat_rotation_in_parts(spark):
     rows = [(1, 2, "user", "b<|im_end|>", "x"), (1, 0, "system", "s", "x"), (1, 1, None, None, "x"), (1, 3, "user", "c", "x"), (1, 3, "user", "c", "x"), (None, 0, "user", "n", "x"), (2, None, "system", "only", "x")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rank string")
