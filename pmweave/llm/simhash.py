@@ -24,6 +24,8 @@ from pmweave.session import stage
 BITS = 64
 HALF_DISTANCE = 8
 WIDE_DISTANCE = 32  # of 128 bits: texts of a similarity of 0.8 differ in 19.4 +- 4.1
+LIMIT_OF_SETS = 512  # rows of a part that bring their shingle sets along
+SHINGLES_AT_ONCE = 1 << 22  # bounds the memory of one row's comparisons
 
 
 def probes(distance: int, segments: int) -> list[tuple[int, int, int]]:
@@ -109,42 +111,83 @@ def fingerprint_text(fp: Column) -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
-def alike(links: DataFrame, classes: DataFrame, rows: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The ``links`` whose ends' texts share at least ``similarity`` of their distinct shingles (Jaccard).
+def verified(sets: list[np.ndarray], prints: list[np.ndarray], parts: np.ndarray | None, distance: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the pairs within ``distance`` bits whose ``sets`` have a Jaccard similarity of at least ``similarity``.
 
-    A class ``fp`` stands for the text of its ``least`` row. Only texts with links are moved, as
-    sets of shingle hashes, once per link.
+    Every such pair is counted exactly, unless its rows are joined by counted pairs already. With
+    ``parts`` only rows of different parts are pairs.
     """
-    ends = links.select(F.col("a").alias("fp")).union(links.select(F.col("b").alias("fp"))).distinct()
-    wanted = classes.join(ends, "fp").select(F.col("least").alias("id"), "fp")
+    sizes = np.array([len(x) for x in sets])
+    numbers = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.concatenate(([0], np.cumsum(sizes)))
+    held = [numbers[a:b] for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+    mine, root, links = np.zeros(len(numbers), bool), np.arange(len(sets)), []
+    for i in range(len(sets) - 1):
+        rest = slice(i + 1, None)
+        bits = sum(np.bitwise_count(w[i] ^ w[rest]) for w in prints)
+        fits = np.minimum(sizes[i], sizes[rest]) >= similarity * np.maximum(sizes[i], sizes[rest])
+        near = (bits <= distance) & (root[rest] != root[i]) & fits & (sizes[rest] > 0)
+        if parts is not None:
+            near &= parts[rest] != parts[i]
+        near = i + 1 + np.flatnonzero(near)
+        if not len(near):
+            continue
+        mine[held[i]] = True
+        for some in np.array_split(near, 1 + int(sizes[near].sum()) // SHINGLES_AT_ONCE):
+            if not len(some):
+                continue
+            at = np.cumsum(sizes[some]) - sizes[some]
+            both = np.add.reduceat(mine[np.concatenate([held[j] for j in some.tolist()])], at, dtype=np.int64)
+            alike_ = some[both >= similarity * (sizes[i] + sizes[some] - both)]
+            roots, first = np.unique(root[alike_], return_index=True)
+            links += [(i, j) for r, j in zip(roots.tolist(), alike_[first].tolist(), strict=True) if r != root[i]]
+            root[np.isin(root, roots)] = root[i]
+        mine[held[i]] = False
+    left, right = np.array(links, np.int64).reshape(-1, 2).T
+    return left, right
+
+
+def alike(roots: DataFrame, classes: DataFrame, rows: DataFrame, words: int, similarity: float, distance: int, limit: int = LIMIT) -> DataFrame:
+    """Links ``(a, b)`` that connect exactly the texts within ``distance`` bits that share at least ``similarity`` of their distinct shingles (Jaccard).
+
+    ``roots`` holds the groups that candidates connect. A pair of candidates never lies across two of them, so
+    the shingle sets of a group are brought together once and all its pairs are compared there.
+    A class ``fp`` stands for the text of its ``least`` row.
+    """
+    grouped = roots.select(F.col("node").alias("fp"), "root").union(roots.select("root", "root").distinct())
+    wanted = classes.join(grouped, "fp").select(F.col("least").alias("id"), "root", "fp", "more")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mine = [i for i, (fp, t) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True))
+            mine = [i for i, (fp, t) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3), strict=True))
                     if simhash(t.as_py(), words) == fp % (1 << BITS)]  # a repeated id may have other texts
-            shingles = [shingle_set(batch.column(1)[i].as_py(), words).tobytes() for i in mine]
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(mine, pa.int64())), pa.array(shingles, pa.binary())], names=["fp", "shingles"])
+            shingles = [shingle_set(batch.column(3)[i].as_py(), words).tobytes() for i in mine]
+            kept = batch.select(["root", "fp", "more"]).take(pa.array(mine, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(shingles, pa.binary())], names=["root", "fp", "more", "shingles"])
 
     def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = []
-            for i in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[i].as_py(), np.uint64) for c in (2, 3))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                if both >= similarity * (len(x) + len(y) - both):
-                    kept.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
-
-    held = stage(rows.join(wanted, "id").select("fp", "text").mapInArrow(sets, "fp long, shingles binary").dropDuplicates(["fp"]), "shingles")
-    pairs = links.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
-    return pairs.select("a", "b", "x", "y").mapInArrow(enough, "a long, b long")
+        for table, starts in groups(batches, 3):
+            low, high, part, fp, more = (table.column(c).to_numpy() for c in ("low", "high", "part", "fp", "more"))
+            for at, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+                if end - at < 2:
+                    continue
+                shingles = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("shingles")[at:end]]
+                parts = part[at:end] if low[at] != high[at] else None
+                a, b = verified(shingles, [w[at:end].view(np.uint64) for w in (fp, more)], parts, distance, similarity)
+                if len(a):
+                    yield pa.RecordBatch.from_arrays([pa.array(fp[at + a]), pa.array(fp[at + b])], names=["a", "b"])
+
+    held = rows.join(wanted, "id").select("root", "fp", "more", "text").mapInArrow(sets, "root long, fp long, more long, shingles binary")
+    met = meet(stage(held.dropDuplicates(["fp"]), "shingles"), ["root"], "fp", min(limit, LIMIT_OF_SETS))
+    return met.select("root", "low", "high", "part", "fp", "more", "shingles").mapInArrow(enough, "a long, b long")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8,
                 distance: int = WIDE_DISTANCE, limit: int = LIMIT) -> DataFrame:
     """``(id, component)`` per row with an id: groups of texts that are alike in at least ``similarity`` of their shingles.
 
-    Wide fingerprints find the candidates, their shingle sets decide. Texts of equal first halves are
+    Wide fingerprints find the groups that candidates connect, and in each group the shingle sets of all pairs
+    within ``distance`` bits decide; only what has passed is thinned to a spanning forest. Texts of equal first halves are
     one class; null and wordless texts are one too. Repeated ids keep their rows, rows without an id
     are left out, an empty table gives an empty result, and other columns are not looked at.
     """
@@ -153,9 +196,9 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     prints = stage(rows.mapInArrow(lambda batches: add_wide_fingerprints(batches, words), "id long, fp long, more long"), "fingerprints")
     first = prints.groupBy("fp").agg(F.min(F.struct("id", "more")).alias("first"))
     classes = stage(first.select("fp", F.col("first.id").alias("least"), "first.more"), "classes")
-    links = hamming_links(classes, distance, limit=limit, wide=True)
-    links = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "candidates")
-    return _components(prints, classes, connected(alike(links, classes, rows, words, similarity), "a", "b")).select("id", "component")
+    candidates = connected(hamming_links(classes, distance, limit=limit, wide=True), "a", "b")
+    links = alike(candidates, classes, rows, words, similarity, distance, limit)
+    return _components(prints, classes, connected(links, "a", "b")).select("id", "component")
 
 
 def _components(prints: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:

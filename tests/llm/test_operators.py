@@ -139,6 +139,24 @@ def test_near_copies_equal_all_pairs(spark):
     assert simhash.near_copies(rows.limit(0)).count() == 0 and simhash.keep_one(rows.limit(0)).count() == 0
 
 
+def test_near_copies_inside_a_large_family(spark):
+    """1,500 texts share a passage (0.6 to 0.79 alike); 40 of them have a true copy that is not their nearest in bits."""
+    draw, passage = random.Random(21), [f"shared{i}" for i in range(254)]
+    own = [[f"own{i}x{k}" for k in range(50)] for i in range(1500)]
+    texts = [passage + o for o in own]
+    for i in range(40):  # the passage stays, 20 of the 50 own words end otherwise: 0.87
+        texts.append(passage + own[i][:30] + [f"new{i}x{k}" for k in range(20)])
+    order = draw.sample(range(len(texts)), len(texts))
+    sets = [set(fingerprints.shingle_set(" ".join(t), 5).tolist()) for t in texts]
+    share = lambda a, b: len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+    assert all(share(i, 1500 + i) >= 0.8 for i in range(40)) and all(0.6 <= share(*draw.sample(range(1500), 2)) < 0.8 for _ in range(200))
+    docs = spark.createDataFrame([(i, " ".join(texts[j])) for i, j in enumerate(order)], "doc_id long, text string")
+    at = {j: i for i, j in enumerate(order)}
+    got = {r.id: r.component for r in simhash.near_copies(docs).collect()}
+    assert [i for i in range(40) if got[at[i]] != got[at[1500 + i]]] == []
+    assert len(set(got.values())) == 1500  # and no two others
+
+
 def test_chat_rotation_in_parts(spark):
     rows = [(1, 2, "user", "b<|im_end|>", "x"), (1, 0, "system", "s", "x"), (1, 1, None, None, "x"), (1, 3, "user", "c", "x"), (1, 3, "user", "c", "x"), (None, 0, "user", "n", "x"), (2, None, "system", "only", "x")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rank string")
