@@ -17,7 +17,7 @@ NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the rules, or lose most of their words to lines that many documents share, go."""
+    """Lines that many documents share go, and documents that fail the rules or lose most of their words to such lines."""
     return quality.keep_good(docs)
 
 

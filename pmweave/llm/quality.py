@@ -54,6 +54,11 @@ def text_figures(docs: DataFrame) -> DataFrame:
     }).drop("words", "windows", "sorted", "at")
 
 
+def _line_hash(line: Column) -> Column:
+    """Of the line in lower case with single blanks."""
+    return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, BLANKS, " "))))
+
+
 def judge(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE, max_lost: float = MAX_LOST_SHARE) -> DataFrame:
     """One row per document: ``doc_id``, ``text_hash``, the base figures, ``n_removed_words`` and ``kept``.
 
@@ -64,8 +69,12 @@ def judge(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float
     over the limit hold at most ``max_lost`` of its words. Null and empty texts have no words and fail;
     a null source is a host of its own, a null id never keeps a line; rows that repeat are judged alike.
     """
-    normal = lambda line: F.lower(F.trim(F.regexp_replace(line, BLANKS, " ")))
-    hashed = F.transform("lines", lambda line: F.struct(F.xxhash64(normal(line)).alias("hash"), F.regexp_count(line, F.lit(WORD)).alias("words")))
+    return _judged(docs, min_documents, max_share, max_lost).drop("removed")
+
+
+def _judged(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE, max_lost: float = MAX_LOST_SHARE) -> DataFrame:
+    """``judge`` with ``removed``, the hashes of the lines that a document loses; null where it loses none."""
+    hashed = F.transform("lines", lambda line: F.struct(_line_hash(line).alias("hash"), F.regexp_count(line, F.lit(WORD)).alias("words")))
     figures = text_figures(docs.select("doc_id", "source", "text"))
     columns = ["doc_id", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     rows = stage(figures.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("text_hash"), hashed.alias("lines"), *columns), "figures")
@@ -77,14 +86,26 @@ def judge(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float
     over = stage(over.select("c.source", "hash", "keeper"), "frequent")
     lines = rows.select("row", "source", "doc_id", F.explode("lines").alias("line")).select("row", "source", "doc_id", "line.hash", "line.words")
     lost = lines.alias("l").join(over.alias("o"), F.expr("l.source <=> o.source and l.hash = o.hash and not (l.doc_id <=> o.keeper)"))
-    lost = lost.groupBy("row").agg(F.sum("words").cast("long").alias("n_removed_words"))
+    lost = lost.groupBy("row").agg(F.sum("words").cast("long").alias("n_removed_words"), F.collect_set("l.hash").alias("removed"))
     found = rows.join(lost, "row", "left").withColumn("n_removed_words", F.coalesce("n_removed_words", F.lit(0).cast("long")))
     kept = ~F.col("base_failed") & (F.col("n_removed_words") <= max_lost * F.col("n_words"))
-    return found.select("doc_id", "source", "text_hash", *columns[2:], "n_removed_words", kept.alias("kept"))
+    return found.select("doc_id", "source", "text_hash", *columns[2:], "n_removed_words", kept.alias("kept"), "removed")
 
 
 def keep_good(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that ``judge`` keeps."""
-    rejected = judge(docs, **options).where("not kept").select("doc_id", "source", "text_hash").distinct().alias("r")
+    """The rows of ``docs`` that ``judge`` keeps, their ``text`` without the lines over the limit.
+
+    A document that keeps a line for all keeps it here too. Blank lines and the order stay, and ``n_chars``, where
+    ``docs`` has it, follows the text. What loses no line comes back as it was.
+    """
+    changed = _judged(docs, **options).where("not kept or removed is not null").groupBy("doc_id", "source", "text_hash")
+    changed = changed.agg(F.min("kept").alias("kept"), F.first("removed", ignorenulls=True).alias("removed")).alias("r")
     same = F.expr("d.doc_id <=> r.doc_id and d.source <=> r.source and xxhash64(d.text) = r.text_hash")
-    return docs.alias("d").join(rejected, same, "left_anti").select(*docs.columns)
+    found = docs.alias("d").join(changed, same, "left").where(F.coalesce("r.kept", F.lit(True)))
+    lines = F.filter(F.split("d.text", "\n", -1), lambda line: ~F.array_contains("r.removed", _line_hash(line)))
+    text = F.when(F.col("r.removed").isNull(), F.col("d.text")).otherwise(F.array_join(lines, "\n"))
+    found = found.select(*[(text if c == "text" else F.col(f"d.{c}")).alias(c) for c in docs.columns], F.col("r.removed").isNotNull().alias("_shorter"))
+    if "n_chars" in docs.columns:
+        n_chars = F.when(F.col("_shorter"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        found = found.withColumn("n_chars", n_chars)
+    return found.select(*docs.columns)

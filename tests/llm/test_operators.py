@@ -256,6 +256,19 @@ def test_quality_figures_and_line_limits(spark):
     assert quality.judge(docs.limit(0)).count() == 0
 
 
+def test_quality_removes_the_lines_over_the_limit(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    rows = [(i, f"{own(i)}\n\n  Shared LINE {i % 2}\nlast {i}", "h", 0, "k") for i in range(30)]
+    rows += [rows[7], (50, own(50), "h", 5, "k"), (51, f"{own(51)}\nshared line 1", "rare", 5, "k"), (None, f"{own(52)}\nshared line 0", "h", 0, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, row string")
+    got = quality.keep_good(docs, min_documents=10)
+    assert got.schema == docs.schema
+    got = got.collect()
+    want = {i: f"{own(i)}\n\nlast {i}" if i > 1 else rows[i][1] for i in range(30)} | {50: own(50), 51: f"{own(51)}\nshared line 1", None: own(52)}
+    assert len(got) == len(rows) and all(r.text == want[r.doc_id] for r in got)  # 0 and 1 keep the lines
+    assert all(r.n_chars == (len(r.text) if r.doc_id is None or 1 < r.doc_id < 50 else {50: 5, 51: 5}.get(r.doc_id, 0)) for r in got)
+
+
 def test_classifier_learns_without_the_held_out_fold(spark):
     draw = random.Random(2)
     good = lambda: " ".join(draw.choice(["alpha", "beta", "gamma", "delta", "epsilon"]) + draw.choice("abcde") for _ in range(80))
