@@ -10,7 +10,6 @@ import xxhash
 
 SHINGLE_WORDS = 4
 SEED = 42
-SECOND_SEED = 43  # of the second half of a wide fingerprint
 HASHES_AT_ONCE = 1 << 16  # bounds the memory of one very long text
 
 
@@ -51,11 +50,37 @@ def add_fingerprints(batches: Iterator[pa.RecordBatch], words_each: int = SHINGL
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["id", "fp"])
 
 
+def majority(hashes: np.ndarray) -> np.uint64:
+    """A bit is 1 if it is set in over half of ``hashes``; zero without any."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(hashes), HASHES_AT_ONCE):
+        part = np.ascontiguousarray(hashes[at: at + HASHES_AT_ONCE])
+        ones += np.unpackbits(part.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
+
+
+def mixed(hashes: np.ndarray) -> np.ndarray:
+    """Other hashes of the same shingles (the finalizer of splitmix64)."""
+    h = hashes + np.uint64(0x9E3779B97F4A7C15)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def set_name(shingles: np.ndarray) -> bytes:
+    """128 bits that are equal for equal shingle sets."""
+    return xxhash.xxh3_128_digest(shingles.tobytes())
+
+
 def add_wide_fingerprints(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (id, text) to rows of (id, fp, more): 128 bits in two signed longs."""
+    """Rows of (id, text) to rows of (id, same, fp, more): the name of the set of distinct shingles, and its 128 bits in two signed longs."""
     for batch in batches:
-        halves = [np.fromiter((simhash(t.as_py(), words_each, seed) for t in batch.column(1)), np.uint64, batch.num_rows) for seed in (SEED, SECOND_SEED)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(h.view(np.int64)) for h in halves)], names=["id", "fp", "more"])
+        same, halves = [], np.zeros((2, batch.num_rows), np.uint64)
+        for i, text in enumerate(batch.column(1)):
+            shingles = shingle_set(text.as_py(), words_each)
+            same.append(set_name(shingles))
+            halves[:, i] = majority(shingles), majority(mixed(shingles))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), *(pa.array(h.view(np.int64)) for h in halves)], names=["id", "same", "fp", "more"])
 
 
 def shingle_set(text: str | None, words_each: int) -> np.ndarray:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pmweave.llm.components import connected
-from pmweave.llm.fingerprints import SHINGLE_WORDS, add_fingerprints, add_wide_fingerprints, shingle_set, simhash
+from pmweave.llm.fingerprints import SHINGLE_WORDS, add_fingerprints, add_wide_fingerprints, set_name, shingle_set, simhash
 from pmweave.llm.meetings import LIMIT, forest, groups, meet
 from pmweave.llm.workers import importable
 from pmweave.session import stage
@@ -56,17 +56,19 @@ def hamming_links(prints: DataFrame, distance: int, segments: int = 3, limit: in
     Within each group only as many links are returned as keep the same rows connected, the nearest
     first, so the result stays linear in the entries even where thousands are all near each other.
 
-    With ``wide`` a fingerprint is the 128 bits of ``fp`` and ``more`` (``fp`` names it), and both
+    With ``wide`` a fingerprint is the 128 bits of ``fp`` and ``more``, rows are named by ``class``, and both
     halves are entered for ``HALF_DISTANCE``. Pairs within ``2 * HALF_DISTANCE + 1`` bits differ in no more than
     that in one half and surely meet; of those up to ``distance`` the pairs are linked that meet in a segment.
     """
     importable(prints.sparkSession)
     halves, found = (["fp", "more"], HALF_DISTANCE) if wide else (["fp"], distance)
+    name = "class" if wide else "fp"
+    columns = list(dict.fromkeys([name, *halves]))
     probe = F.explode(F.array(*[
         F.struct(F.lit(h * segments + s).alias("segment"), F.col(half).bitwiseAND(F.lit(_signed(m))).bitwiseXOR(F.lit(_signed(f))).alias("value"))
         for h, half in enumerate(halves) for s, m, f in probes(found, segments)]))
-    entries = prints.select(*halves, probe.alias("p")).select("p.segment", "p.value", *halves)
-    met = meet(entries, ["segment", "value"], "fp", limit)
+    entries = prints.select(*columns, probe.alias("p")).select("p.segment", "p.value", *columns)
+    met = meet(entries, ["segment", "value"], name, limit)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in groups(batches, 4):
@@ -83,11 +85,10 @@ def hamming_links(prints: DataFrame, distance: int, segments: int = 3, limit: in
             nearest = np.argsort(np.concatenate(apart), kind="stable")
             a, b = forest(len(group), np.concatenate(left)[nearest], right[nearest])
             if len(a):
-                fps = words[0].view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(fps[a]), pa.array(fps[b])], names=["a", "b"])
+                names = table.column(name).to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array(names[a]), pa.array(names[b])], names=["a", "b"])
 
-    columns = ["segment", "value", "low", "high", *halves]
-    return met.select(*columns).mapInArrow(compare, "a long, b long")
+    return met.select("segment", "value", "low", "high", *columns).mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = 4,
@@ -152,22 +153,22 @@ def alike(roots: DataFrame, classes: DataFrame, rows: DataFrame, words: int, sim
 
     ``roots`` holds the groups that candidates connect. A pair of candidates never lies across two of them, so
     the shingle sets of a group are brought together once and all its pairs are compared there.
-    A class ``fp`` stands for the text of its ``least`` row.
+    A ``class`` is the texts of one shingle set; that of its ``least`` row is read.
     """
-    grouped = roots.select(F.col("node").alias("fp"), "root").union(roots.select("root", "root").distinct())
-    wanted = classes.join(grouped, "fp").select(F.col("least").alias("id"), "root", "fp", "more")
+    grouped = roots.select(F.col("node").alias("class"), "root").union(roots.select("root", "root").distinct())
+    wanted = classes.join(grouped, "class").select(F.col("least").alias("id"), "root", "class", "fp", "more", "same")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            mine = [i for i, (fp, t) in enumerate(zip(batch.column(1).to_pylist(), batch.column(3), strict=True))
-                    if simhash(t.as_py(), words) == fp % (1 << BITS)]  # a repeated id may have other texts
-            shingles = [shingle_set(batch.column(3)[i].as_py(), words).tobytes() for i in mine]
-            kept = batch.select(["root", "fp", "more"]).take(pa.array(mine, pa.int64()))
-            yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(shingles, pa.binary())], names=["root", "fp", "more", "shingles"])
+            found = [shingle_set(t.as_py(), words) for t in batch.column(5)]
+            mine = [i for i, (x, same) in enumerate(zip(found, batch.column(4), strict=True)) if set_name(x) == same.as_py()]  # a repeated id may have other texts
+            kept = batch.select(["root", "class", "fp", "more"]).take(pa.array(mine, pa.int64()))
+            shingles = pa.array([found[i].tobytes() for i in mine], pa.binary())
+            yield pa.RecordBatch.from_arrays([*kept.columns, shingles], names=["root", "class", "fp", "more", "shingles"])
 
     def enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, starts in groups(batches, 3):
-            low, high, part, fp, more = (table.column(c).to_numpy() for c in ("low", "high", "part", "fp", "more"))
+            low, high, part, names, fp, more = (table.column(c).to_numpy() for c in ("low", "high", "part", "class", "fp", "more"))
             for at, end in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
                 if end - at < 2:
                     continue
@@ -175,11 +176,12 @@ def alike(roots: DataFrame, classes: DataFrame, rows: DataFrame, words: int, sim
                 parts = part[at:end] if low[at] != high[at] else None
                 a, b = verified(shingles, [w[at:end].view(np.uint64) for w in (fp, more)], parts, distance, similarity)
                 if len(a):
-                    yield pa.RecordBatch.from_arrays([pa.array(fp[at + a]), pa.array(fp[at + b])], names=["a", "b"])
+                    yield pa.RecordBatch.from_arrays([pa.array(names[at + a]), pa.array(names[at + b])], names=["a", "b"])
 
-    held = rows.join(wanted, "id").select("root", "fp", "more", "text").mapInArrow(sets, "root long, fp long, more long, shingles binary")
-    met = meet(stage(held.dropDuplicates(["fp"]), "shingles"), ["root"], "fp", min(limit, LIMIT_OF_SETS))
-    return met.select("root", "low", "high", "part", "fp", "more", "shingles").mapInArrow(enough, "a long, b long")
+    held = rows.join(wanted, "id").select("root", "class", "fp", "more", "same", "text")
+    held = held.mapInArrow(sets, "root long, class long, fp long, more long, shingles binary").dropDuplicates(["class"])
+    met = meet(stage(held, "shingles"), ["root"], "class", min(limit, LIMIT_OF_SETS))
+    return met.select("root", "low", "high", "part", "class", "fp", "more", "shingles").mapInArrow(enough, "a long, b long")
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8,
@@ -187,25 +189,26 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``(id, component)`` per row with an id: groups of texts that are alike in at least ``similarity`` of their shingles.
 
     Wide fingerprints find the groups that candidates connect, and in each group the shingle sets of all pairs
-    within ``distance`` bits decide; only what has passed is thinned to a spanning forest. Texts of equal first halves are
-    one class; null and wordless texts are one too. Repeated ids keep their rows, rows without an id
+    within ``distance`` bits decide; only what has passed is thinned to a spanning forest. Texts of equal
+    shingle sets are one class; null and wordless texts are one too. Repeated ids keep their rows, rows without an id
     are left out, an empty table gives an empty result, and other columns are not looked at.
     """
     importable(docs.sparkSession)
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    prints = stage(rows.mapInArrow(lambda batches: add_wide_fingerprints(batches, words), "id long, fp long, more long"), "fingerprints")
-    first = prints.groupBy("fp").agg(F.min(F.struct("id", "more")).alias("first"))
-    classes = stage(first.select("fp", F.col("first.id").alias("least"), "first.more"), "classes")
+    prints = stage(rows.mapInArrow(lambda batches: add_wide_fingerprints(batches, words), "id long, same binary, fp long, more long"), "fingerprints")
+    classes = prints.groupBy("same").agg(F.min("id").alias("least"), F.min("fp").alias("fp"), F.min("more").alias("more"))
+    classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     candidates = connected(hamming_links(classes, distance, limit=limit, wide=True), "a", "b")
     links = alike(candidates, classes, rows, words, similarity, distance, limit)
-    return _components(prints, classes, connected(links, "a", "b")).select("id", "component")
+    return _components(prints, classes, connected(links, "a", "b"), "class", "same").select("id", "component")
 
 
-def _components(prints: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame:
-    """``prints`` with the least id of all classes under the same root."""
-    linked = classes.select("fp", "least").join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+def _components(prints: DataFrame, classes: DataFrame, roots: DataFrame, name: str = "fp", key: str = "fp") -> DataFrame:
+    """``prints`` with the least id of all classes under the same root; ``key`` is their class, which links call ``name``."""
+    named = classes.select(F.col(name).alias("node"), F.col(key).alias("key"), "least")
+    linked = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = linked.groupBy("root").agg(F.min("least").alias("component"))
-    return prints.join(linked.join(least, "root").select("fp", "component"), "fp")
+    return prints.join(linked.join(least, "root").select(F.col("key").alias(key), "component"), key)
 
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:

@@ -157,6 +157,15 @@ def test_near_copies_inside_a_large_family(spark):
     assert len(set(got.values())) == 1500  # and no two others
 
 
+def test_near_copies_of_equal_fingerprints_are_compared(spark):
+    """Texts that share a line repeated 100 times and nothing else are no copies; equal shingle sets in other order are."""
+    line = " ".join(["again and again and over"] * 100)
+    texts = [line + " " + " ".join(f"own{i}x{k}" for k in range(520)) for i in range(20)]
+    texts += ["a b c d e " * 3 + "a b c d", "a b c d e " * 30 + "a b c d", texts[3] + " end", texts[3].upper()]
+    got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: i for i in range(21)} | {21: 20, 22: 3, 23: 3}
+
+
 def test_chat_rotation_in_parts(spark):
     rows = [(1, 2, "user", "b<|im_end|>", "x"), (1, 0, "system", "s", "x"), (1, 1, None, None, "x"), (1, 3, "user", "c", "x"), (1, 3, "user", "c", "x"), (None, 0, "user", "n", "x"), (2, None, "system", "only", "x")]
     turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rank string")
