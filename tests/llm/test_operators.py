@@ -198,6 +198,19 @@ def test_urls_rules_and_templates(spark):
     assert urls.judge(pages.limit(0), rules).count() == 0
 
 
+def test_urls_reject_against_the_base_rate_and_below_eight_levels(spark):
+    rows = [(i, f"http://big.org/fine/{i}", int(i % 10 > 0)) for i in range(1000)]  # 10 % bad
+    rows += [(2000 + i, f"http://big.org/poor/{i}", int(i % 20 > 8)) for i in range(100)]  # 45 % bad
+    rows += [(2200, "http://few.org/a/1", 0), (2201, "http://one.org/1", 0), (2202, "http://one.org/2", 0)]  # too few to tell
+    deep = "/".join(f"d{k}" for k in range(10))
+    rows += [(3000 + i, f"http://deep.org/{deep}/{'bad' if i < 30 else 'good'}/{i}", int(i >= 30)) for i in range(60)]
+    got = {r.page_id: r for r in urls.judge(spark.createDataFrame(rows, "page_id long, url string, label int"), []).collect()}
+    assert len(got) == len(rows)
+    blocked = {i for i, r in got.items() if r.verdict == "block"}
+    assert blocked == {2000 + i for i in range(100)} | {3000 + i for i in range(30)}
+    assert {got[3000 + i].template.split("/")[-2:] == ["bad", "*"] for i in range(30)} == {True}
+
+
 @pytest.mark.parametrize("chunk,overlap", [(16, 4), (60, 8), (100, 3), (1 << 15, 256)])
 def test_long_texts_are_spliced_exactly(chunk, overlap):
     draw = random.Random(chunk)
