@@ -18,7 +18,7 @@ NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share go, and documents that fail the rules or lose most of their words to such lines."""
-    return quality.keep_good(docs)
+    return quality.keep_good(docs, max_share=0.0)  # the number of documents alone: a share would spare most lines of a large source
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

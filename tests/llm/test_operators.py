@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 
+import corpus_pipeline
 from pmweave.llm import bpe, chat, classifier, components, fingerprints, meetings, mixing, quality, simhash, splicing, tokens, urls, vectors, warc
 from pmweave.llm.fingerprints import simhash as fingerprint
 
@@ -291,6 +292,15 @@ def test_quality_removes_the_lines_over_the_limit(spark):
     assert all(r.n_chars == (len(r.text) if r.doc_id is None or 1 < r.doc_id < 50 else {50: 5, 51: 5}.get(r.doc_id, 0)) for r in got)
 
 
+def test_pipeline_removes_rare_lines_of_a_hot_source(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    rows = [(i, own(i) + ("\nnavigation line" if i < 25 else "") + ("\nrare line" if i % 200 == 0 else ""), "hot") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.quality_rules(spark, docs, "").collect()}
+    assert len(got) == 4000 and [i for i, t in got.items() if "navigation" in t] == [0]  # 25 documents, 0.6 % of the source
+    assert sum("rare line" in t for t in got.values()) == 20  # not more than 20 documents
+
+
 def test_classifier_learns_without_the_held_out_fold(spark):
     draw = random.Random(2)
     good = lambda: " ".join(draw.choice(["alpha", "beta", "gamma", "delta", "epsilon"]) + draw.choice("abcde") for _ in range(80))
