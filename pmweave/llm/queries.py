@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pmweave.llm import bpe, chat, classifier, mixing, quality, simhash, tokens, urls, vectors, warc
+from pmweave.llm import alignment, bpe, chat, classifier, collocations, languages, mixing, quality, simhash, tokens, urls, vectors, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -151,3 +151,43 @@ def op9_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "rate", "copies")
+
+
+@query()
+def op11_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = languages.held_out(F.col("doc_id"))
+    found = languages.identify(docs.select("doc_id", "text"), docs.where(~fold).select("text", "lang"))
+    return found.select("doc_id", fold.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = alignment.align(table(spark, sf_dir, "documents"), a, b, digest=True)
+    return found.select(F.col("id").alias("doc_id"), *alignment.FIGURES, "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+@query(f"""
+WITH t AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents),
+     pieces AS (SELECT lang, unnest(string_split_regex(body, '[.,;:!?\x0A-\x0D]')) AS piece FROM t),
+     words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+     total AS (SELECT lang, sum(len(w)) AS n FROM words GROUP BY lang),
+     runs AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest(range(1, {collocations.LONGEST + 1})) AS k) WHERE len(w) >= k),
+     f AS (SELECT lang, array_to_string(w[i:i + k - 1], ' ') AS phrase, k, count(*) AS a FROM runs GROUP BY ALL HAVING count(*) >= {collocations.LEAST}),
+     c AS (SELECT * FROM f WHERE k > 1),
+     cuts AS (SELECT *, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM c),
+     scored AS (SELECT cuts.lang, cuts.phrase, cuts.k, cuts.a, cut, x.a AS l, y.a AS r, n,
+                       (1000::HUGEINT * cuts.a * n) // (x.a::HUGEINT * y.a) AS score
+                FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = array_to_string(w[1:cut], ' ')
+                JOIN f y ON y.lang = cuts.lang AND y.phrase = array_to_string(w[cut + 1:], ' ') JOIN total ON total.lang = cuts.lang),
+     lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+     kept AS (SELECT * FROM lowest s WHERE NOT EXISTS (
+                SELECT 1 FROM c WHERE c.lang = s.lang AND c.k > s.k AND contains(' ' || c.phrase || ' ', ' ' || s.phrase || ' ')
+                AND 100 * c.a >= {collocations.CONTAINED_PERCENT} * s.a)),
+     ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score FROM ranked WHERE rank <= {collocations.TOP}
+""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.best(collocations.mine(table(spark, sf_dir, "documents").select("text", "lang")))
