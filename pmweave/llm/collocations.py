@@ -34,7 +34,8 @@ SHARD_WORDS = 1 << 20  # words that are counted together
 BYTES_AT_ONCE = 1 << 20
 KNOWN_WORDS = 1 << 19  # distinct words a buffer numbers before it is counted and starts anew
 RANGE_WORDS = 1 << 21  # words of the corpus per range of prefixes
-MAX_RANGES = 1 << 16  # of one language
+MAX_RANGES = 1 << 13  # of one language
+PARTS = 8  # a first word is spread over several ranges from an eighth of a range's words on
 BITS_PER_KEY, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 26
 PAGE_BITS = 1 << 15  # Spark's bitmaps
 BREAK = b"."
@@ -172,7 +173,7 @@ class Ranges:
     def __init__(self, lang: str, n: int, heavy: dict[bytes, int], range_words: int):
         self.seed, self.n = language_seed(lang), n
         self.count = ranges_for(n, range_words)
-        self.heavy = {w: min(self.count, -(-often * self.count // n)) for w, often in heavy.items()}
+        self.heavy = {w: min(self.count, -(-often * self.count * PARTS // n)) for w, often in heavy.items()}
 
     def _hash(self, word: bytes) -> int:
         return xxhash.xxh64_intdigest(word, self.seed) >> 16
@@ -298,8 +299,8 @@ def mine(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", least:
     totals = {r.lang: r.n for r in words.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     often = stage(words.where(F.col("n") >= least), "frequent")
     heavy: dict[str, dict[bytes, int]] = {lang: {} for lang in totals}
-    shares = docs.sparkSession.createDataFrame([(lang, n // ranges_for(n, range_words)) for lang, n in totals.items()], "lang string, share long")
-    for r in often.join(shares, "lang").where("n > share").collect():  # of a language no more than it has ranges
+    shares = docs.sparkSession.createDataFrame([(lang, n // (PARTS * ranges_for(n, range_words))) for lang, n in totals.items()], "lang string, share long")
+    for r in often.join(shares, "lang").where("n > share").collect():  # of a language at most PARTS times its ranges
         heavy[r.lang][bytes(r.word)] = r.n
     ranges = spark.broadcast({lang: Ranges(lang, n, heavy[lang], range_words) for lang, n in totals.items()})
     words_held = spark.broadcast(bitmap_of(often.select(F.xxhash64("lang", "word").alias("h")), "h"))
