@@ -18,7 +18,7 @@ JOBS = {"ericsson": ericsson.run, "nokia": nokia.run}
 def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="pmweave")
     parser.add_argument("vendor", choices=sorted(JOBS))
-    parser.add_argument("technology", choices=["LTE", "UMTS"])
+    parser.add_argument("technology", nargs="?", choices=["LTE", "UMTS"], help="by default the one that the catalog names, else LTE")
     parser.add_argument("--input", required=True, help="SequenceFile, or folder of plain or gzip XML")
     parser.add_argument("--catalog", required=True, help="counter definitions with [General] and [Table]")
     parser.add_argument("--out", required=True)
@@ -27,25 +27,30 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
     parser.add_argument("--run-id", default=None, help="same id for a repeated run; a new one by default")
     parser.add_argument("--checkpoint", help="offsets of a stream")
     parser.add_argument("--archive", help="where a stream moves processed files")
+    parser.add_argument("--quarantine", help="where a stream notes files that make the job fail; <out>/_quarantine by default")
     parser.add_argument("--max-files", type=int, help="files per batch of a stream")
     return parser.parse_args(argv)
 
 
 def main(argv: list[str] | None = None) -> None:
     args = arguments(argv)
-    spark = build_session(f"pmweave-{args.vendor}-{args.technology}")
+    spark = build_session(f"pmweave-{args.vendor}")
     catalog = load_catalog(read_counter_catalog(spark, args.catalog, args.vendor))
     settings = load_settings(spark, args.catalog)
+    technology = args.technology or settings.technology
+    if settings.technology_named and technology != settings.technology:
+        raise SystemExit(f"the catalog is for {settings.technology}, not {technology}")
     run_id = args.run_id or str(uuid.uuid4())
 
     def job(files: DataFrame, out: str) -> None:
-        JOBS[args.vendor](spark, files, catalog, settings, args.technology, out, run_id)
+        JOBS[args.vendor](spark, files, catalog, settings, technology, out, run_id)
 
     if args.format == "stream":
         if not args.checkpoint:
             raise SystemExit("a stream needs --checkpoint")
         stream = stream_pm_files(spark, args.input, args.glob, args.archive, args.max_files)
-        land_batches(stream, args.checkpoint, lambda files, batch: job(files, f"{args.out}/{batch}")).awaitTermination()
+        quarantine = args.quarantine or f"{args.out}/_quarantine"
+        land_batches(stream, args.checkpoint, lambda files, batch: job(files, f"{args.out}/{batch}"), quarantine).awaitTermination()
     elif args.format == "files":
         job(read_pm_files(spark, args.input, args.glob), args.out)
     else:

@@ -104,6 +104,19 @@ def comp_is_short(raw: Column) -> Column:
     return F.coalesce(announced * 2 + 1 > F.size(values), raw.isNotNull())
 
 
+def comp_is_long(raw: Column, n: Column) -> Column:
+    """True when a sparse list holds values that ``expand_comp`` has no place for: more than announced, or with an index outside 0..n-1."""
+
+    def outside(values: Column) -> Column:
+        announced = F.get(values, F.lit(0)).try_cast("int")
+        pairs = F.filter(F.slice(values, F.lit(2), F.size(values)), lambda _, i: i % 2 == 0)
+        indexes = F.slice(pairs, F.lit(1), F.greatest(F.least(announced, F.floor((F.size(values) - 1) / 2).cast("int")), F.lit(0)))
+        readable = lambda at: F.coalesce((at.try_cast("int") >= 0) & (at.try_cast("int") < n), F.lit(False))
+        return (F.size(values) > 2 * announced + 1) | F.exists(indexes, lambda at: ~readable(at))
+
+    return F.coalesce(bind(values_of(raw), outside), F.lit(False))
+
+
 def expand_special(raw: Column) -> Column:
     """The first ten values, zero where the list is shorter or the counter absent."""
     return _fixed(values_of(raw), SPECIAL_DIM)

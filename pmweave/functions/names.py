@@ -102,5 +102,10 @@ def canonical_counter(code: Column) -> Column:
     return F.when(code.startswith("M"), F.lower(code)).otherwise(code)
 
 
+def canonical_code(code: str) -> str:
+    """The same for a code that the driver holds."""
+    return code.lower() if code.startswith("M") else code
+
+
 def canonical_type(meas_type: Column) -> Column:
     return F.lower(meas_type)

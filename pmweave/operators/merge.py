@@ -37,20 +37,32 @@ def _starts_of_runs(ordered: str, key) -> Column:
     )
 
 
-def merge_documents(parsed: DataFrame, identity, keep_empty: bool = False) -> DataFrame:
+def _later_wins(values: Column) -> Column:
+    """Of several objects' values, by place among the codes, the last that is there; empty where no object has any."""
+
+    def over(earlier: Column, later: Column) -> Column:
+        return (
+            F.when(F.size(later) == 0, earlier).when(F.size(earlier) == 0, later)
+            .otherwise(F.zip_with(earlier, later, lambda a, b: F.coalesce(b, a)))
+        )
+
+    return F.reduce(values, F.array().cast("array<string>"), over)
+
+
+def merge_documents(parsed: DataFrame, identity, keep_empty: bool = False, findings=None) -> DataFrame:
     """Cells of every parsed document, merged inside the document: no exchange at all.
 
     ``parsed`` comes from ``parse_eric`` with codes. ``identity(moid)`` gives the struct an object
     belongs to; a null ``cell_id`` in it leaves the object out. The result has the identity's
-    fields and ``values MAP<INT, STRING>``, the configured counters the cell has by their
-    place among the codes.
+    fields and ``values ARRAY<STRING>``, one entry per code, null where the cell lacks it; empty where it lacks all.
 
     Objects are sorted by identity and document order and cut into runs, one per cell. That
     keeps the work near-linear for controllers with thousands of cells in one document.
 
     With ``keep_empty`` a document without cells keeps one row with a null identity, next to
     ``corrupt`` and ``nameless`` (objects that carry no name), so that one staged table serves
-    reports and issues alike.
+    reports and issues alike. ``findings(cells)``, an array made of the document's cells
+    ``ARRAY<STRUCT<who, values>>``, comes as a column of that name on the document's first row.
     """
     kept = [c for c in parsed.columns if c not in ("objects", "corrupt", "dialect")]
     if keep_empty:
@@ -58,48 +70,32 @@ def merge_documents(parsed: DataFrame, identity, keep_empty: bool = False) -> Da
             "nameless", F.coalesce(F.size(F.filter("objects", lambda o: o["moid"].isNull())), F.lit(0))
         ).withColumn("corrupt", F.col("corrupt").isNotNull())
         kept += ["nameless", "corrupt"]
-    explode = F.explode_outer if keep_empty else F.explode
     named = F.transform(
         "objects",
         lambda o: F.struct(
-            identity(o["moid"]).alias("who"), o["md"].alias("md"), o["mv"].alias("mv"),
-            o["at"].alias("at"), o["raws"].alias("raws"),
+            identity(o["moid"]).alias("who"), o["md"].alias("md"), o["mv"].alias("mv"), o["values"].alias("values"),
         ),
     )
     ordered = parsed.select(
         *kept, F.sort_array(F.filter(named, lambda o: o["who"]["cell_id"].isNotNull())).alias("ordered")
     )
     runs = ordered.select(*kept, "ordered", _starts_of_runs("ordered", lambda e: e["who"]).alias("starts"))
-    cells = runs.select(
-        *kept,
-        explode(
-            F.transform(
-                "starts",
-                lambda s, k: F.slice(
-                    F.col("ordered"), s + 1, F.coalesce(F.get("starts", k + 1), F.size("ordered")) - s
-                ),
-            )
-        ).alias("run"),
-    )
-    counters = cells.select(
-        *kept, F.get("run", F.lit(0))["who"].alias("who"),
-        F.flatten(F.col("run")["at"]).alias("at"), F.flatten(F.col("run")["raws"]).alias("raws"),
-    )
-    once = F.size(F.array_distinct("at")) == F.size("at")
-    values = F.when(once, F.map_from_arrays("at", "raws")).otherwise(F.map_from_entries(_latest("at", "raws")))
-    return counters.select(*kept, "who.*", values.alias("values"))
-
-
-def _latest(keys: str, values: str) -> Column:
-    """``(key, value)`` pairs of two aligned arrays, of a repeated key the last one."""
-    numbered = F.transform(
-        F.arrays_zip(keys, values),
-        lambda e, i: F.struct(e[keys].alias("key"), i.alias("i"), e[values].alias("value")),
-    )
-    return bind(
-        F.sort_array(numbered),
-        lambda pairs: F.transform(
-            F.filter(pairs, lambda e, i: ~e["key"].eqNullSafe(F.get(pairs, i + 1)["key"])),
-            lambda e: F.struct(e["key"].alias("key"), e["value"].alias("value")),
+    merged = F.transform(
+        "starts",
+        lambda s, k: F.struct(
+            F.get("ordered", s)["who"].alias("who"),
+            _later_wins(
+                F.slice(F.col("ordered"), s + 1, F.coalesce(F.get("starts", k + 1), F.size("ordered")) - s)["values"]
+            ).alias("values"),
         ),
     )
+    documents = runs.select(*kept, merged.alias("cells"))
+    found = []
+    if findings:
+        documents = documents.select(*kept, "cells", findings(F.col("cells")).alias("findings"))
+        found = [F.when(F.coalesce("nth", F.lit(0)) == 0, F.col("findings")).alias("findings")]
+    # outer also where empty documents go: an inner one lets the optimizer test the array below the projection that parses it
+    cells = documents.select(*kept, *(["findings"] if findings else []), F.posexplode_outer("cells").alias("nth", "cell"))
+    if not keep_empty:
+        cells = cells.filter(F.col("nth").isNotNull())
+    return cells.select(*kept, "cell.who.*", "cell.values", *found)

@@ -32,16 +32,24 @@ def report_columns(entries: list[Counter]) -> list[str]:
     return names
 
 
+def report_column_rows(catalog: DataFrame) -> DataFrame:
+    """The same names as rows of a catalog table: ``(table_name, ordinal, element, column_name)``; counters without a usable size have none."""
+    element = F.explode(F.sequence(F.lit(0), F.col("dim") - 1)).alias("element")
+    spread = catalog.filter(F.col("dim") >= 1).select("table_name", "ordinal", "column_name", "dim", element)
+    name = F.when(F.col("dim") == 1, F.col("column_name")).otherwise(F.concat_ws("_", "column_name", F.col("element").cast("string")))
+    return spread.select("table_name", "ordinal", "element", name.alias("column_name"))
+
+
 def codes_of(entries: list[Counter]) -> list[str]:
-    """Distinct codes in catalog order: their places, from 1, key a merged cell's ``values``."""
+    """Distinct codes in catalog order: a merged cell's ``values`` are in this order."""
     return list(dict.fromkeys(e.code for e in entries))
 
 
 def _reader(frame: DataFrame, codes: list[str]):
     """How to get the raw value of an entry from this frame's representation."""
     if "values" in frame.columns:
-        at = {code: i for i, code in enumerate(codes, start=1)}
-        return lambda e: F.try_element_at("values", F.lit(at[e.code]))
+        at = {code: i for i, code in enumerate(codes)}
+        return lambda e: F.get("values", F.lit(at[e.code]))
     if not isinstance(frame.schema["counters"].dataType, T.MapType):
         raise TypeError("counters must be a map")
 
@@ -59,7 +67,8 @@ def project_configured(
 ) -> DataFrame:
     """``kept`` columns followed by one column per configured value.
 
-    ``codes`` is what the keys of a ``values`` map count, by default the codes of ``entries``.
+    ``codes`` is what a ``values`` array holds in order, by default the codes of ``entries``; it is read by index,
+    while a ``counters`` map has to be searched.
 
     ``absent`` is what a scalar column holds when the cell lacks the counter: ``"0"`` in
     Ericsson reports, ``""`` in Nokia reports. Arrays are expanded once each and then

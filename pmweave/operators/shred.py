@@ -92,41 +92,43 @@ def _mdc_objects(doc: Column, names_scope: str) -> Column:
     )
 
 
+def _places(names: Column, wanted: Column) -> Column:
+    """For each wanted code its last index among ``names``, null where it has none; empty if none has one."""
+
+    def looked_up(reverse: Column) -> Column:
+        last = F.size(reverse)
+        return F.transform(wanted, lambda code: (last - F.nullif(F.array_position(reverse, code), F.lit(0))).cast("int"))
+
+    found = bind(F.reverse(names), looked_up)
+    return bind(found, lambda at: F.when(F.exists(at, lambda i: i.isNotNull()), at).otherwise(F.array().cast("array<int>")))
+
+
+def _held(values: Column, places: Column) -> Column:
+    """The values at ``places``: one per wanted code, null where the object lacks it."""
+    return F.transform(places, lambda i: F.when(i.isNotNull(), _zero_if_blank(F.coalesce(F.get(values, i), F.lit("")))))
+
+
 def _mdc_configured(doc: Column, names_scope: str, wanted: Column) -> Column:
-    """As ``_mdc_objects``, with configured counters only: ``STRUCT<moid, md, mv, at, raws>``.
+    """As ``_mdc_objects``, with configured counters only: ``STRUCT<moid, md, mv, values>``.
 
-    ``at`` is the counter's place in ``wanted``. Places are looked up once per block, not per
-    object, and unlisted values are never touched.
+    ``values`` has one entry per code of ``wanted``, or none at all. Where a code's value stands is looked up once per
+    block, not per object, and unlisted values are never touched. An object with fewer values than its block has
+    names is looked up for itself.
     """
     blocks = F.transform(
         _mdc_blocks(doc, names_scope),
         lambda block: F.struct(
-            F.filter(
-                F.transform(
-                    block["mt"],
-                    lambda name, i: F.struct(F.array_position(wanted, name).cast("int").alias("at"), i.alias("i")),
-                ),
-                lambda slot: slot["at"] > 0,
-            ).alias("slots"),
-            F.size(block["mt"]).alias("names"),
-            _or_empty(block["mv"]).alias("mv"),
+            block["mt"].alias("mt"), _places(block["mt"], wanted).alias("places"), _or_empty(block["mv"]).alias("mv")
         ),
     )
 
-    def one(mv: Column, at: Column, md: Column, slots: Column) -> Column:
-        return F.struct(
-            mv["moid"].alias("moid"), md.alias("md"), at.alias("mv"), slots["at"].alias("at"),
-            F.transform(slots["i"], lambda i: _zero_if_blank(F.get(mv["r"], i))).alias("raws"),
-        )
-
     def per_block(block: Column, md: Column) -> Column:
         def per_mv(mv: Column, at: Column) -> Column:
             held = F.coalesce(F.size(mv["r"]), F.lit(0))
-            full = one(mv, at, md, block["slots"])
-            short = bind(
-                F.filter(block["slots"], lambda slot: slot["i"] < held), lambda slots: one(mv, at, md, slots)
-            )
-            return F.when(held >= block["names"], full).otherwise(short)
+            full = _held(mv["r"], block["places"])
+            short = _held(mv["r"], _places(F.slice(block["mt"], F.lit(1), held), wanted))
+            values = F.when((held >= F.size(block["mt"])) | (F.size(block["places"]) == 0), full).otherwise(short)
+            return F.struct(mv["moid"].alias("moid"), md.alias("md"), at.alias("mv"), values.alias("values"))
 
         return F.transform(block["mv"], per_mv)
 
@@ -176,9 +178,14 @@ def _collec_objects(doc: Column) -> Column:
 
 
 def _collec_configured(doc: Column, wanted: Column) -> Column:
-    """All ``measValue`` in the shape of ``_mdc_configured``."""
+    """All ``measValue`` in the shape of ``_mdc_configured``.
 
-    def one(value: Column, at: Column, md: Column, block: Column) -> Column:
+    Values mostly come in the order of the names they refer to; then they are read by the block's places. Others
+    are looked up one by one.
+    """
+    none = F.array().cast("array<string>")
+
+    def by_reference(value: Column, block: Column) -> Column:
         pairs = F.filter(
             F.transform(
                 _or_empty(value["r"]),
@@ -186,18 +193,29 @@ def _collec_configured(doc: Column, wanted: Column) -> Column:
             ),
             lambda pair: pair["at"] > 0,
         )
-        return bind(
-            pairs,
-            lambda kept: F.struct(
-                value["_measObjLdn"].alias("moid"), md.alias("md"), at.alias("mv"),
-                kept["at"].alias("at"), kept["raw"].alias("raws"),
-            ),
-        )
+        return bind(pairs, lambda held: F.when(F.size(held) == 0, none).otherwise(F.transform(
+            wanted,
+            lambda _, i: F.try_element_at(F.filter(held, lambda pair: pair["at"] == i + 1), F.lit(-1))["raw"],
+        )))
 
+    def one(value: Column, at: Column, md: Column, block: Column) -> Column:
+        in_order = block["plain"] & (value["r"]["_p"] == block["order"])
+        values = F.when(F.coalesce(in_order, F.lit(False)), _held(value["r"]["_VALUE"], block["places"])).otherwise(
+            by_reference(value, block))
+        return F.struct(value["_measObjLdn"].alias("moid"), md.alias("md"), at.alias("mv"), values.alias("values"))
+
+    blocks = F.transform(
+        _collec_blocks(doc, lambda name: name),
+        lambda block: F.struct(
+            block["p"].alias("p"), F.reverse(block["p"]).alias("order"), block["mv"].alias("mv"),
+            (F.size(F.array_distinct(block["p"])) == F.size(block["p"])).alias("plain"),
+            _places(F.reverse(block["names"]), wanted).alias("places"),
+            F.transform(block["names"], lambda name: F.array_position(wanted, name).cast("int")).alias("names"),
+        ),
+    )
     return F.flatten(
         F.transform(
-            _collec_blocks(doc, lambda name: F.array_position(wanted, name).cast("int")),
-            lambda block, md: F.transform(block["mv"], lambda value, at: one(value, at, md, block)),
+            blocks, lambda block, md: F.transform(block["mv"], lambda value, at: one(value, at, md, block)),
         )
     )
 
@@ -207,7 +225,8 @@ def parse_eric(files: DataFrame, names_scope: str = "md", codes: list[str] | Non
 
     Both dialects in one pass over the input; a row is parsed with its own schema only. Objects
     are ``STRUCT<moid, md, mv, names, raws>``; with ``codes`` they hold only these counters, as
-    ``STRUCT<moid, md, mv, at, raws>`` with ``at`` counted from 1.
+    ``STRUCT<moid, md, mv, values>`` with one value per code in this order, null where the object lacks it;
+    ``values`` is empty where it lacks all.
     """
     kept = [c for c in files.columns if c not in ("content", "dialect")]
     typed = files if "dialect" in files.columns else detect_eric_dialect(files)
@@ -278,11 +297,12 @@ def parse_nokia(files: DataFrame, target: str) -> DataFrame:
     )
 
 
-def setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> DataFrame:
+def setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool, rule=None, findings=None) -> DataFrame:
     """One row per ``PMMOResult``, numbered through its document in ``object_pos`` of ``object_count``.
 
-    ``counters`` holds the element texts below the target; attributes are taken out. With
-    ``keep_empty`` a document without objects keeps one row, and ``corrupt`` tells why.
+    ``counters`` holds the element texts below the target; attributes are taken out. ``rule(meas_type, mo, counters)``
+    may replace them. With ``keep_empty`` a document without objects keeps one row, and ``corrupt`` tells why.
+    ``findings(objects)``, an array made of the document's objects, comes as a column of that name on its first row.
     """
     kept = [c for c in parsed.columns if c not in ("setups", "corrupt")]
     if keep_empty:
@@ -296,34 +316,33 @@ def setups_as_rows(parsed: DataFrame, lower_codes: bool, keep_empty: bool) -> Da
                 lambda r: F.struct(
                     s["_startTime"].alias("start_time"),
                     s["_interval"].alias("interval"),
+                    canonical_type(F.try_element_at(r["PMTarget"], F.lit("_measurementType"))).alias("meas_type"),
                     _or_empty(r["MO"]).alias("mo"),
-                    r["PMTarget"].alias("target"),
+                    F.map_filter(r["PMTarget"], lambda k, v: ~k.startswith("_")).alias("counters"),
                 ),
             ),
         )
     )
-    counted = parsed.select(*kept, numbered.alias("_objects"))
-    rows = counted.select(
-        *kept, F.size("_objects").alias("object_count"),
+
+    def finished(o: Column) -> Column:
+        counters = F.coalesce(lower_counter_codes(o["counters"]) if lower_codes else o["counters"], F.create_map().cast("map<string,string>"))
+        return F.struct(
+            o["start_time"].alias("start_time"), o["interval"].alias("interval"), o["meas_type"].alias("meas_type"), o["mo"].alias("mo"),
+            (rule(o["meas_type"], o["mo"], counters) if rule else counters).alias("counters"),
+        )
+
+    documents = parsed.select(*kept, F.transform(numbered, finished).alias("_objects"))
+    if findings:
+        documents = documents.select(*kept, "_objects", findings(F.coalesce("_objects", F.array())).alias("findings"))
+    rows = documents.select(
+        *kept, *(["findings"] if findings else []), F.size("_objects").alias("object_count"),
         # outer for the reason given in _objects_as_rows
         F.posexplode_outer("_objects").alias("object_pos", "_o"),
     )
     if not keep_empty:
         rows = rows.filter(F.col("object_pos").isNotNull())
-    counters = F.map_filter("_o.target", lambda k, v: ~k.startswith("_"))
-    return rows.select(
-        *kept,
-        "object_pos",
-        "object_count",
-        "_o.start_time",
-        "_o.interval",
-        canonical_type(F.try_element_at("_o.target", F.lit("_measurementType"))).alias("meas_type"),
-        "_o.mo",
-        F.coalesce(
-            lower_counter_codes(counters) if lower_codes else counters,
-            F.create_map().cast("map<string,string>"),
-        ).alias("counters"),
-    )
+    found = [F.when(F.coalesce("object_pos", F.lit(0)) == 0, F.col("findings")).alias("findings")] if findings else []
+    return rows.select(*kept, "object_pos", "object_count", "_o.*", *found)
 
 
 def lower_counter_codes(counters: Column) -> Column:
@@ -346,27 +365,25 @@ def lower_counter_codes(counters: Column) -> Column:
     return F.transform_keys(unique, lambda k, v: canonical_counter(k))
 
 
-def shred_nokia_lte(files: DataFrame, keep_empty: bool = False) -> DataFrame:
+def shred_nokia_lte(files: DataFrame, keep_empty: bool = False, findings=None) -> DataFrame:
     """One row per ``PMMOResult`` of LTE documents, the throughput rule applied."""
-    parsed = parse_nokia(files, LTE_TARGET)
-    return throughput_mo_filter(setups_as_rows(parsed, lower_codes=False, keep_empty=keep_empty))
+    return setups_as_rows(parse_nokia(files, LTE_TARGET), False, keep_empty, throughput_counters, findings)
 
 
-def shred_nokia_umts(files: DataFrame, keep_empty: bool = False) -> DataFrame:
+def shred_nokia_umts(files: DataFrame, keep_empty: bool = False, findings=None) -> DataFrame:
     """One row per ``PMMOResult`` of UMTS documents, counter codes in lower case."""
-    return setups_as_rows(parse_nokia(files, UMTS_TARGET), lower_codes=True, keep_empty=keep_empty)
+    return setups_as_rows(parse_nokia(files, UMTS_TARGET), True, keep_empty, findings=findings)
 
 
-def throughput_mo_filter(objects: DataFrame) -> DataFrame:
-    """Counters of the throughput type count only below exactly two managed objects.
+def throughput_counters(meas_type: Column, mo: Column, counters: Column) -> Column:
+    """Counters of the throughput type count only below exactly two managed objects, those of any other LTE type below at least one."""
+    drop = F.when(meas_type == THROUGHPUT_TYPE, F.size(mo) != THROUGHPUT_OBJECTS).otherwise(F.size(mo) == 0)
+    return F.when(drop, F.create_map().cast("map<string,string>")).otherwise(counters)
 
-    Any other LTE type needs at least one.
-    """
-    empty = F.create_map().cast("map<string,string>")
-    drop = F.when(
-        F.col("meas_type") == THROUGHPUT_TYPE, F.size("mo") != THROUGHPUT_OBJECTS
-    ).otherwise(F.size("mo") == 0)
-    return objects.withColumn("counters", F.when(drop, empty).otherwise(F.col("counters")))
+
+def throughput_mo_filter(objects: DataFrame) -> DataFrame:
+    """``throughput_counters`` over rows of objects."""
+    return objects.withColumn("counters", throughput_counters(F.col("meas_type"), F.col("mo"), F.col("counters")))
 
 
 def explode_counters(objects: DataFrame) -> DataFrame:

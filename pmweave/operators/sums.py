@@ -22,6 +22,7 @@ DCH, HSUPA = "DCH", "HSUPA"
 RLC_TYPE, OLPC_TYPE = "rcpm_rlc_wcel", "rcpm_olpc_wcel"
 DL_VOLUME, DL_TIME, UL_VOLUME, UL_TIME = "m1026c31", "m1026c29", "m1026c30", "m1026c33"
 CRC_OK, CRC_NOT_OK, POWER_SUM, POWER_SAMPLES = "m1024c4", "m1024c5", "m1024c15", "m1024c17"
+SUMMED_CODES = {RLC_TYPE: (DL_VOLUME, DL_TIME, UL_VOLUME, UL_TIME), OLPC_TYPE: (CRC_OK, CRC_NOT_OK, POWER_SUM, POWER_SAMPLES)}
 
 
 def _number(code: str, type_name: str = "bigint") -> Column:

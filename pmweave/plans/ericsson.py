@@ -1,24 +1,26 @@
 """Ericsson jobs: one comma report at cell grain, LTE and UMTS.
 
 Documents are merged where they are parsed, so the way from scan to report has no
-exchange. ``run`` stages the merged cells once in the shared folder; report and issues
-read that table with their own columns instead of parsing the XML twice.
+exchange. ``run`` stages the merged cells once; report, relation reports, sums and issues
+read that table with their own columns and grain instead of parsing the XML again.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pmweave.functions import names
 from pmweave.functions.arrays import bind
 from pmweave.functions.identity import eric_cell_id_lte, eric_cell_id_umts, eric_relation
-from pmweave.operators import quality
+from pmweave.operators import quality, sums
 from pmweave.operators.merge import merge_documents
 from pmweave.operators.project import cell_grain_filter, codes_of, project_configured, relation_report
 from pmweave.operators.shred import parse_eric
 from pmweave.session import shared_folder
-from pmweave.sinks import read_pm_issues, with_run_id, write_pm_issues, write_pm_report
+from pmweave.sinks import publication, read_pm_issues, with_run_id, write_pm_issues, write_pm_report, write_pm_summary
 from pmweave.sinks.reports import ERIC_SEP, RUN_ID, RUN_ID_UMTS_ERIC
 from pmweave.sources.catalog import Counter, Settings
 
@@ -34,6 +36,7 @@ RELATION_HEADER = {
     "gsmcell": ["GeranFreqGroupRelation", "GeranCellRelation"],
 }
 CELL_COUNT = "1"
+RELATION_PARTS = ("freq_rel", "cell_rel")
 DURATION = "15"
 UMTS_TABLE = "site"
 
@@ -88,89 +91,118 @@ def report_entries(catalog: dict[str, list[Counter]], technology: str) -> list[C
 
 def cells(
     files: DataFrame, entries: list[Counter], technology: str,
-    names_scope: str = "md", keep_empty: bool = False,
+    names_scope: str = "md", keep_empty: bool = False, others: Sequence[Counter] = (),
 ) -> DataFrame:
-    """Merged cells: file fields, identity, ``values`` by place in the catalog.
+    """Merged cells: file fields, identity, ``values`` by place among the codes of ``entries`` and then ``others``.
 
-    LTE folds the objects below a cell into the cell, UMTS keeps relations apart.
+    LTE folds the objects below a cell into the cell, UMTS keeps relations apart. With ``keep_empty`` also what is
+    wrong with each document, ``findings`` about the counters of ``entries`` being on its first row.
     """
-    identity = umts_identity if technology == "UMTS" else lte_identity
+    umts = technology == "UMTS"
+    codes = codes_of([*entries, *others])
     # the name is parsed once per document, before its cells multiply
-    parsed = parse_eric(eric_file_fields(files), names_scope, codes_of(entries))
-    return merge_documents(parsed, identity, keep_empty)
+    parsed = parse_eric(eric_file_fields(files), names_scope, codes)
+    findings = quality.document_findings(entries, codes, relations=umts) if keep_empty else None
+    merged = merge_documents(parsed, umts_identity if umts else lte_identity, keep_empty, findings)
+    return _with_file_findings(merged) if keep_empty else merged
+
+
+def _with_file_findings(merged: DataFrame) -> DataFrame:
+    """What is wrong with a document as a whole joins ``findings`` on its first row."""
+    path, nameless = F.col("file_path"), F.col("nameless")
+    kept = [c for c in merged.columns if c not in ("findings", "nameless", "corrupt")]
+    all_of = F.concat(
+        "findings", quality.if_so(F.col("corrupt"), quality.bad_file(path)),
+        quality.if_so(F.col("period_start").isNull(), quality.bad_name(path)),
+        quality.if_so(nameless > 0, quality.finding("no_name", nameless.cast("string"), F.lit("objects without a name"))),
+    )
+    return merged.select(*kept, F.when(F.col("findings").isNotNull(), all_of).alias("findings"))
+
+
+def _front_labels(settings: Settings, technology: str) -> list[str]:
+    """Names of the run id, the common columns and the cell; those of the definition file if it has any."""
+    built_in = [RUN_ID_UMTS_ERIC if technology == "UMTS" else RUN_ID, *COMMON_HEADER, CELL_LABEL[technology]]
+    if settings.header and len(settings.header) != len(built_in):
+        raise ValueError(f"the header of the definition file has {len(settings.header)} columns, the report has {len(built_in)} in front of the counters")
+    return list(settings.header) or built_in
+
+
+def _labelled(body: DataFrame, front: list[str]) -> DataFrame:
+    """``body`` with its first columns renamed."""
+    return body.toDF(*front, *body.columns[len(front):])
 
 
 def report(
-    merged: DataFrame, entries: list[Counter], settings: Settings, technology: str, run_id: str
+    merged: DataFrame, entries: list[Counter], settings: Settings, technology: str, run_id: str, others: Sequence[Counter] = ()
 ) -> DataFrame:
-    label = CELL_LABEL[technology]
+    """One row per cell; ``entries`` and ``others`` as in ``cells``."""
     if technology == "UMTS":
         merged = cell_grain_filter(merged)
-    rows = merged.select(*common_columns_eric(settings), F.col("cell_id").alias(label), "values")
-    body = project_configured(rows, entries, [*COMMON_HEADER, label], absent="0")
-    return with_run_id(body, run_id, RUN_ID_UMTS_ERIC if technology == "UMTS" else RUN_ID)
+    rows = merged.select(*common_columns_eric(settings), "cell_id", "values")
+    body = project_configured(rows, entries, [*COMMON_HEADER, "cell_id"], "0", codes_of([*entries, *others]))
+    return _labelled(with_run_id(body, run_id), _front_labels(settings, technology))
 
 
 def stage_cells(
-    spark: SparkSession, files: DataFrame, entries: list[Counter], technology: str, names_scope: str = "md"
+    spark: SparkSession, files: DataFrame, entries: list[Counter], technology: str, names_scope: str = "md",
+    others: Sequence[Counter] = (), folder: str | None = None,
 ) -> DataFrame:
-    """Merged cells and document findings, written once to the shared folder and read from there."""
-    folder = shared_folder(spark, "cells")
-    cells(files, entries, technology, names_scope, keep_empty=True).write.parquet(folder)
+    """Merged cells and document findings, written once to ``folder``, by default a shared one, and read from there."""
+    folder = folder or shared_folder(spark, "cells")
+    cells(files, entries, technology, names_scope, True, others).write.parquet(folder)
     return spark.read.parquet(folder)
 
 
+def relation_entries(catalog: dict[str, list[Counter]]) -> dict[str, list[Counter]]:
+    return {t: catalog[t] for t in RELATION_HEADER if t in catalog}
+
+
 def relation_reports(
-    spark: SparkSession, files: DataFrame, catalog: dict[str, list[Counter]], settings: Settings
+    merged: DataFrame, tables: dict[str, list[Counter]], codes: list[str], settings: Settings, run_id: str
 ) -> dict[str, DataFrame]:
-    """One report per configured relation table, cell and both relation parts in front.
-
-    Documents are parsed once for the counters of all three tables.
-    """
-    tables = [t for t in RELATION_HEADER if t in catalog]
-    every = [e for t in tables for e in catalog[t]]
-    rows = stage_cells(spark, files, every, "UMTS").filter(F.col("rel_type").isNotNull()).select(
-        *common_columns_eric(settings), "cell_id", "rel_type", "freq_rel", "cell_rel", "values"
-    )
+    """One report per relation table: the report's front, both relation parts, the table's counters. ``codes`` is the order of ``values``."""
+    rows = merged.filter(F.col("rel_type").isNotNull()).select(
+        *common_columns_eric(settings), "cell_id", "rel_type", *RELATION_PARTS, "values")
+    labels = {**RELATION_HEADER, **{t: list(names) for t, names in settings.relation_headers}}
+    front = _front_labels(settings, "UMTS")
     return {
-        t: relation_report(rows, t, catalog[t], COMMON_HEADER, codes_of(every)).withColumnsRenamed(
-            dict(zip(("freq_rel", "cell_rel"), RELATION_HEADER[t], strict=True))
-        )
-        for t in tables
+        t: _labelled(with_run_id(relation_report(rows, t, entries, COMMON_HEADER, codes), run_id), [*front, *labels[t]])
+        for t, entries in tables.items()
     }
 
 
-def issues(merged: DataFrame, entries: list[Counter]) -> DataFrame:
-    """All findings of a staged table of merged cells (``keep_empty=True``); relations are no cells and lack nothing."""
-    named = merged.filter(F.col("cell_id").isNotNull())
-    if "rel_type" in merged.columns:
-        named = cell_grain_filter(named)
-    nameless = merged.filter(F.col("nameless") > 0).groupBy("file_path").agg(F.max("nameless").alias("n"))
-    return (
-        quality.missing_counters_eric(named, entries)
-        .unionByName(quality.array_length_issues_of_cells(named, entries))
-        .unionByName(quality.quarantine_bad_files(
-            merged.select("file_path", F.when(F.col("corrupt"), F.lit("")).alias("corrupt"))
-        ))
-        .unionByName(quality.unreadable_names(merged))
-        .unionByName(nameless.select(
-            "file_path", F.lit(None).cast("string").alias("meas_type"), F.lit("no_name").alias("kind"),
-            F.col("n").cast("string").alias("item"), F.lit("objects without a name").alias("message"),
-        ))
-    )
+def relation_sums(reports: dict[str, DataFrame], tables: dict[str, list[Counter]]) -> dict[str, DataFrame]:
+    """Per relation table the counters summed over the relations of a cell in a document; keys are the report's front."""
+    front = len(COMMON_HEADER) + 2
+    return {t: sums.relation_sum(r, tables[t], r.columns[:front]) for t, r in reports.items()}
+
+
+def issues(merged: DataFrame) -> DataFrame:
+    """All findings of a staged table of merged cells (``keep_empty=True``)."""
+    return quality.issues_of(merged)
 
 
 def run(
     spark: SparkSession, files: DataFrame, catalog: dict[str, list[Counter]], settings: Settings,
     technology: str, out: str, run_id: str, names_scope: str = "md",
 ) -> None:
-    """Write ``out/report``, ``out/issues`` and ``out/issue_messages``."""
+    """Write ``out/report``, ``out/issues`` and ``out/issue_messages``, for UMTS also ``out/<relation table>`` and
+    ``out/<relation table>_sum``. All of it is published when all of it is there."""
     entries = report_entries(catalog, technology)
-    staged = stage_cells(spark, files, entries, technology, names_scope)
-    # a file whose name gives no time is an issue, not rows
-    good = staged.filter(F.col("cell_id").isNotNull() & F.col("period_start").isNotNull())
-    write_pm_report(report(good, entries, settings, technology, run_id), f"{out}/report", ERIC_SEP)
-    write_pm_issues(issues(staged, entries), f"{out}/issues")
-    # messages come from the issues just written instead of working them out again
-    written = read_pm_issues(spark, f"{out}/issues")
-    quality.dedupe_issues(written).write.mode("overwrite").option("header", True).csv(f"{out}/issue_messages")
+    tables = relation_entries(catalog) if technology == "UMTS" else {}
+    others = [e for t in tables.values() for e in t]
+    with publication(spark, out, run_id) as folder:
+        staged = stage_cells(spark, files, entries, technology, names_scope, others, f"{folder}/_work/cells")
+        # a file whose name gives no time is an issue, not rows
+        good = staged.filter(F.col("cell_id").isNotNull() & F.col("period_start").isNotNull())
+        write_pm_report(report(good, entries, settings, technology, run_id, others), f"{folder}/report", ERIC_SEP)
+        reports = relation_reports(good, tables, codes_of([*entries, *others]), settings, run_id) if tables else {}
+        for table, rows in reports.items():
+            write_pm_report(rows, f"{folder}/{table}", ERIC_SEP)
+        for table, rows in relation_sums(reports, tables).items():
+            write_pm_summary(rows, f"{folder}/{table}", ERIC_SEP)
+        found = issues(staged).unionByName(quality.settings_issues(spark, settings))
+        write_pm_issues(found, f"{folder}/issues")
+        # messages come from the issues just written instead of working them out again
+        written = read_pm_issues(spark, f"{folder}/issues")
+        quality.dedupe_issues(written).write.mode("overwrite").option("header", True).csv(f"{folder}/issue_messages")

@@ -1,11 +1,14 @@
 """Nokia jobs: one pipe report per measurement type, plus neighbour or traffic-class sums.
 
-Objects are shredded and named once, staged in the shared folder partitioned by
-``meas_type``, and every report reads its own partition only.
+Objects are shredded and named once. What is wrong with a document is found where it is parsed, and of its
+objects only configured types with configured values go on to the table partitioned by ``meas_type``, of
+which every report reads its own partition.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,14 +17,15 @@ from pmweave.operators import quality, sums
 from pmweave.operators.project import NEIGHBOUR_TYPES, neighbour_columns, project_configured
 from pmweave.operators.shred import shred_nokia_lte, shred_nokia_umts
 from pmweave.session import shared_folder
-from pmweave.sinks import with_run_id, write_pm_issues, write_pm_report, write_pm_summary
-from pmweave.sinks.reports import NOKIA_SEP
+from pmweave.sinks import publication, with_run_id, write_pm_issues, write_pm_report, write_pm_summary
+from pmweave.sinks.reports import NOKIA_SEP, RUN_ID
 from pmweave.sources.catalog import Counter, Settings
 
 # Report header in front of the counters.
 COMMON_HEADER = ["Region", "Market", "OSS", "PERIOD_START_TIME", "PERIOD_DURATION"]
 SUM_SUFFIX = "sum"
 SUM_IDENTITY = {"base_id": "BASEID", "local_moid": "LOCALMOID", "cell_id_1": "CELL_ID_1", "cell_id_2": "CELL_ID_2"}
+TRAFFIC_FIELDS = ("tr_class", "tr_subclass", "ch_type")
 FILE_KEYS = ["file_path", "oss", "period_start", "duration_min"]
 
 
@@ -47,49 +51,81 @@ def common_columns_nokia(settings: Settings) -> list[Column]:
     return [v.alias(n) for v, n in zip(values, COMMON_HEADER, strict=True)]
 
 
-def lte_identity(objects: DataFrame) -> DataFrame:
-    """Add ``cell_id, plmn, neighbour, cell_id_2`` and drop the raw managed objects."""
-    mo = F.col("mo")
-    kept = [c for c in objects.columns if c != "mo"]
-    return objects.select(
-        *kept,
-        identity.nokia_lte_cell_id(mo).alias("cell_id"),
-        identity.nokia_lte_plmn(mo).alias("plmn"),
-        identity.nokia_neighbour_target(mo).alias("neighbour"),
-    ).select("*", identity.nokia_lte_cell_id_2(F.col("plmn"), F.col("cell_id")).alias("cell_id_2"))
-
-
-def umts_identity(objects: DataFrame) -> DataFrame:
-    """Add ``base_id, local_moid, cell_id_1, cell_id_2`` and the traffic class."""
-    mo = F.col("mo")
-    kept = [c for c in objects.columns if c != "mo"]
-    base_id, local_moid = F.col("base_id"), F.col("local_moid")
-    return (
-        objects.select(
-            *kept,
-            identity.nokia_base_id(mo).alias("base_id"),
-            identity.nokia_local_moid(mo).alias("local_moid"),
-            identity.nokia_traffic_class(mo).alias("_class"),
-        )
-        .select(
-            *kept, "base_id", "local_moid",
-            identity.nokia_umts_cell_id_1(base_id, local_moid).alias("cell_id_1"),
-            identity.nokia_umts_cell_id_2(base_id, local_moid).alias("cell_id_2"),
-            "_class.*",
-        )
-    )
+def lte_identity(mo: Column) -> dict[str, Column]:
+    """Identity columns of a managed object: ``cell_id, plmn, neighbour, cell_id_2``."""
+    cell_id, plmn = identity.nokia_lte_cell_id(mo), identity.nokia_lte_plmn(mo)
+    return {
+        "cell_id": cell_id, "plmn": plmn, "neighbour": identity.nokia_neighbour_target(mo),
+        "cell_id_2": identity.nokia_lte_cell_id_2(plmn, cell_id),
+    }
 
 
-def objects(files: DataFrame, technology: str, keep_empty: bool = False) -> DataFrame:
-    """Named objects of every document, counters as a map."""
-    named = nokia_file_fields(files)
-    if technology == "UMTS":
-        return umts_identity(nokia_period(shred_nokia_umts(named, keep_empty)))
-    return lte_identity(nokia_period(shred_nokia_lte(named, keep_empty)))
+def umts_identity(mo: Column) -> dict[str, Column]:
+    """Identity columns of a managed object: ``base_id, local_moid, cell_id_1, cell_id_2`` and the traffic class."""
+    base_id, local_moid, traffic = identity.nokia_base_id(mo), identity.nokia_local_moid(mo), identity.nokia_traffic_class(mo)
+    return {
+        "base_id": base_id, "local_moid": local_moid,
+        "cell_id_1": identity.nokia_umts_cell_id_1(base_id, local_moid), "cell_id_2": identity.nokia_umts_cell_id_2(base_id, local_moid),
+        **{name: traffic[name] for name in TRAFFIC_FIELDS},
+    }
+
+
+def canonical_entries(entries: list[Counter]) -> list[Counter]:
+    """UMTS catalog entries with their codes as documents' codes are compared."""
+    return [replace(e, code=names.canonical_code(e.code)) for e in entries]
+
+
+def catalog_of(catalog: dict[str, list[Counter]], technology: str) -> dict[str, list[Counter]]:
+    return {t: canonical_entries(entries) for t, entries in catalog.items()} if technology == "UMTS" else catalog
+
+
+def wanted_counters(catalog: dict[str, list[Counter]]) -> dict[str, list[str]]:
+    """Per configured type the codes that its reports and sums read."""
+    return {t: list(dict.fromkeys([*(e.code for e in entries), *sums.SUMMED_CODES.get(t, ())])) for t, entries in catalog.items()}
+
+
+def objects(
+    files: DataFrame, technology: str, keep_empty: bool = False, catalog: dict[str, list[Counter]] | None = None,
+    settings: Settings | None = None, **limits,
+) -> DataFrame:
+    """Named objects of every document, counters as a map.
+
+    With ``catalog`` (and ``keep_empty``) a document's first row holds its ``findings``, ``limits`` going to
+    ``quality.nokia_findings``; objects keep configured counters only, and those of other types are left out but for first rows.
+    """
+    umts = technology == "UMTS"
+    identify, shred = (umts_identity, shred_nokia_umts) if umts else (lte_identity, shred_nokia_lte)
+    findings = None
+    if catalog is not None:
+        settings, catalog = settings or Settings(), catalog_of(catalog, technology)
+        findings = quality.nokia_findings(
+            catalog, identify, cell_column(technology), names.nokia_start, settings.list_not_used, settings.list_unused, **limits)
+    rows = nokia_period(shred(nokia_file_fields(files), keep_empty, findings))
+    if catalog is not None:
+        rows = _configured_only(rows, wanted_counters(catalog))
+    kept = [c for c in rows.columns if c not in ("mo", "findings")]
+    found = [F.when(F.col("findings").isNotNull(), F.concat(
+        "findings", quality.if_so(F.col("corrupt"), quality.bad_file(F.col("file_path"))))).alias("findings")] if findings else []
+    return rows.select(*kept, *[c.alias(n) for n, c in identify(F.col("mo")).items()], *found)
+
+
+def _configured_only(rows: DataFrame, wanted: dict[str, list[str]]) -> DataFrame:
+    chosen = F
+    for table, codes in wanted.items():
+        chosen = chosen.when(F.col("meas_type") == table, F.array(*[F.lit(c) for c in codes]))
+    codes = chosen if wanted else F.lit(None).cast("array<string>")
+    listed = F.map_filter("counters", lambda k, v: F.coalesce(F.array_contains(codes, k), F.lit(False)))
+    needed = F.col("meas_type").isin(*wanted) | F.col("findings").isNotNull()
+    return rows.filter(needed).withColumn("counters", listed)
+
+
+def cell_column(technology: str) -> str:
+    """The identity column that is null where an object names no cell."""
+    return "local_moid" if technology == "UMTS" else "cell_id_2"
 
 
 def has_cell(technology: str) -> Column:
-    return F.col("local_moid" if technology == "UMTS" else "cell_id_2").isNotNull()
+    return F.col(cell_column(technology)).isNotNull()
 
 
 def lte_detail(rows: DataFrame, table: str, entries: list[Counter], settings: Settings, run_id: str) -> DataFrame:
@@ -129,7 +165,7 @@ def umts_detail(rows: DataFrame, table: str, entries: list[Counter], settings: S
     """Detail report of one UMTS type; identity columns are part of the table's layout."""
     carried = ["base_id", "local_moid", "cell_id_1", "cell_id_2", "tr_class", "tr_subclass", "ch_type", "counters"]
     shaped = rows.filter(F.col("meas_type") == table).select(*common_columns_nokia(settings), *carried)
-    return with_run_id(project_configured(shaped, entries, COMMON_HEADER, absent=""), run_id)
+    return with_run_id(project_configured(shaped, canonical_entries(entries), COMMON_HEADER, absent=""), run_id)
 
 
 def umts_class_summary(
@@ -160,55 +196,68 @@ def sum_labels(catalog: dict[str, list[Counter]], table: str) -> list[str] | Non
     return [e.column for e in layout if e.column not in SUM_IDENTITY.values()] if layout else None
 
 
-def issues(staged: DataFrame, catalog: dict[str, list[Counter]], settings: Settings, technology: str) -> DataFrame:
-    """All findings of a staged table of objects (``keep_empty=True``)."""
-    real = staged.filter(F.col("object_pos").isNotNull())
-    found = (
-        quality.missing_counters_nokia(real, catalog)
-        .unionByName(quality.elements_not_used(real, catalog))
-        .unionByName(quality.quarantine_bad_files(
-            staged.select("file_path", F.when(F.col("corrupt"), F.lit("")).alias("corrupt"))
-        ))
-        .unionByName(quality.unreadable_names(real))
-        .unionByName(quality.nameless_objects(real, F.when(has_cell(technology), F.lit(1))))
-    )
-    return found.unionByName(quality.unused_elements(real, catalog)) if settings.list_unused else found
+def issues(staged: DataFrame) -> DataFrame:
+    """All findings of a staged table of objects, exploded from one scan."""
+    return quality.issues_of(staged)
 
 
-def stage_objects(spark: SparkSession, files: DataFrame, technology: str) -> DataFrame:
-    """Named objects and document findings, written once to the shared folder and read from there.
+def stage_objects(
+    spark: SparkSession, files: DataFrame, technology: str, catalog: dict[str, list[Counter]], settings: Settings | None = None,
+    folder: str | None = None,
+) -> DataFrame:
+    """Named objects and document findings, written once to ``folder``, by default a shared one, and read from there.
 
     The table is partitioned and rebalanced by type: adaptive execution splits a type that holds
-    most rows and joins small ones, so folders get well-sized files however types are spread.
+    most rows and joins small ones, so folders get well-sized files however types are spread. Only
+    configured values take part.
     """
-    folder = shared_folder(spark, "objects")
-    parsed = objects(files, technology, keep_empty=True)
+    folder = folder or shared_folder(spark, "objects")
+    parsed = objects(files, technology, True, catalog, settings)
     parsed.hint("rebalance", "meas_type").write.partitionBy("meas_type").parquet(folder)
     return spark.read.schema(parsed.schema).parquet(folder)
 
 
+def _labelled(body: DataFrame, settings: Settings) -> DataFrame:
+    """``body`` with the labels that the definition file gives the first columns; those beyond the period are a cell type's own."""
+    front = [RUN_ID, *COMMON_HEADER]
+    if not settings.header:
+        return body
+    if len(settings.header) < len(front):
+        raise ValueError(f"the header of the definition file has {len(settings.header)} columns, reports have {len(front)} in front of the cell")
+    return body.withColumnsRenamed(dict(zip(front, settings.header, strict=False)))
+
+
+def reports(
+    rows: DataFrame, table: str, catalog: dict[str, list[Counter]], settings: Settings, technology: str, run_id: str
+) -> dict[str, DataFrame]:
+    """The detail report of a type under ``detail`` and, for types that have one, its sums under ``summary``."""
+    entries = catalog[table]
+    if technology == "UMTS":
+        made = {"detail": umts_detail(rows, table, entries, settings, run_id)}
+        if table in (sums.RLC_TYPE, sums.OLPC_TYPE):
+            made["summary"] = umts_class_summary(rows, table, sum_labels(catalog, table), settings, run_id)
+    else:
+        made = {"detail": lte_detail(rows, table, entries, settings, run_id)}
+        if table in NEIGHBOUR_TYPES:
+            made["summary"] = lte_neighbour_summary(rows, table, entries, settings, run_id)
+    return {kind: _labelled(frame, settings) for kind, frame in made.items()}
+
+
 def run(
     spark: SparkSession, files: DataFrame, catalog: dict[str, list[Counter]], settings: Settings,
     technology: str, out: str, run_id: str,
 ) -> None:
-    """Write ``out/<table>``, ``out/<table>_sum`` and ``out/issues``."""
-    staged = stage_objects(spark, files, technology)
-    rows = staged.filter(has_cell(technology) & F.col("period_start").isNotNull())
-    found = {
-        r.meas_type
-        for r in rows.filter(F.col("meas_type").isin(*catalog)).select("meas_type").distinct().collect()
-    }
-    for table in sorted(found):
-        entries = catalog[table]
-        if technology == "UMTS":
-            write_pm_report(umts_detail(rows, table, entries, settings, run_id), f"{out}/{table}", NOKIA_SEP)
-            if table in (sums.RLC_TYPE, sums.OLPC_TYPE):
-                summary = umts_class_summary(rows, table, sum_labels(catalog, table), settings, run_id)
-                write_pm_summary(summary, f"{out}/{table}")
-        else:
-            write_pm_report(lte_detail(rows, table, entries, settings, run_id), f"{out}/{table}", NOKIA_SEP)
-            if table in NEIGHBOUR_TYPES:
-                write_pm_summary(
-                    lte_neighbour_summary(rows, table, entries, settings, run_id), f"{out}/{table}"
-                )
-    write_pm_issues(issues(staged, catalog, settings, technology), f"{out}/issues")
+    """Write ``out/<table>``, ``out/<table>_sum`` and ``out/issues``, published when all of it is there."""
+    with publication(spark, out, run_id) as folder:
+        staged = stage_objects(spark, files, technology, catalog, settings, f"{folder}/_work/objects")
+        rows = staged.filter(has_cell(technology) & F.col("period_start").isNotNull())
+        found = {
+            r.meas_type
+            for r in rows.filter(F.col("meas_type").isin(*catalog)).select("meas_type").distinct().collect()
+        }
+        for table in sorted(found):
+            made = reports(rows, table, catalog, settings, technology, run_id)
+            write_pm_report(made["detail"], f"{folder}/{table}", NOKIA_SEP)
+            if "summary" in made:
+                write_pm_summary(made["summary"], f"{folder}/{table}")
+        write_pm_issues(issues(staged).unionByName(quality.settings_issues(spark, settings)), f"{folder}/issues")

@@ -1,5 +1,5 @@
 """Landing directories as streams."""
 
-from pmweave.streaming.landing import land_batches, stream_pm_files
+from pmweave.streaming.landing import land_batches, read_quarantine, stream_pm_files
 
-__all__ = ["land_batches", "stream_pm_files"]
+__all__ = ["land_batches", "read_quarantine", "stream_pm_files"]

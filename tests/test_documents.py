@@ -1,6 +1,7 @@
 """Whole documents through shredders and jobs; expected rows written by hand."""
 
 import gzip
+import random
 import zlib
 
 import pytest
@@ -9,11 +10,12 @@ from pyspark.sql import functions as F
 from pmweave.__main__ import main
 from pmweave.functions.identity import eric_cell_id_lte
 from pmweave.operators.merge import merge_documents, merge_last, widen
-from pmweave.operators.quality import array_length_issues
+from pmweave.operators.quality import array_length_issues, issues_of, missing_counters_eric
 from pmweave.operators.shred import (
     detect_eric_dialect, explode_counters, lower_counter_codes, parse_eric, shred_3gpp, shred_eric, shred_mdc,
 )
 from pmweave.plans import ericsson, nokia
+from pmweave.sinks import published
 from pmweave.sources import load_catalog, load_settings, read_counter_catalog, read_pm_files, read_pm_sequence
 from pmweave.sources.catalog import Counter, Settings
 from pmweave.sources.files import text_of
@@ -73,7 +75,7 @@ def test_catalog(spark, tmp_path):
     catalog, settings = catalog_of(spark, tmp_path, LTE_ERIC_INI, "ericsson")
     assert [(e.code, e.kind, e.dim) for e in catalog["tab1"]] == [
         ("pmComp", "COMP", 10), ("pmA", "Single", 1), ("pmB", "Single", 1), ("pmHist", "PDF", 4)]
-    assert settings == Settings("East", "M1", "HM", "LTE", False)
+    assert settings == Settings("East", "M1", "HM", "LTE")
     with pytest.raises(ValueError, match="pmX"):
         catalog_of(spark, tmp_path, "[Table]\nt=pmX:FOO\n", "ericsson")
 
@@ -132,7 +134,7 @@ def test_merge_in_document_equals_tall_merge(spark):
     wide = widen(merge_last(tall, keys), keys, codes)
     expected = {(r.file_path, r.cell_id): r.counters for r in wide.collect()}
     got = {
-        (r.file_path, r.cell_id): {codes[at - 1]: v for at, v in r["values"].items()}
+        (r.file_path, r.cell_id): {c: v for c, v in zip(codes, r["values"], strict=False) if v is not None}
         for r in merge_documents(parse_eric(files, codes=codes), ericsson.lte_identity).collect()
     }
     assert got == expected
@@ -173,20 +175,111 @@ def test_no_shuffle_between_scan_and_report(spark, tmp_path):
     assert "Exchange" not in plan and plan.count("from_xml") == 2
 
 
+def lines_of(folder):
+    return sorted({x for p in folder.glob("part-*") for x in p.read_text().splitlines()})
+
+
 def test_umts_ericsson_job_and_relations(spark, tmp_path):
-    catalog, settings = catalog_of(spark, tmp_path, UMTS_ERIC_INI, "ericsson")
-    text = MDC.replace("EUtranCellFDD", "UtranCell")
-    files = pm_files(spark, (ERIC_NAME % "R1", text))
-    entries = ericsson.report_entries(catalog, "UMTS")
-    report = ericsson.report(ericsson.cells(files, entries, "UMTS"), entries, settings, "UMTS", "r")
-    assert report.columns[0] == "MGR_RUNID" and report.columns[-2:] == ["UtranCell", "pmA"]
-    assert {(r.UtranCell, r.pmA) for r in report.collect()} == {("C1", "3"), ("C2", "5")}
-    relations = ericsson.relation_reports(spark, files, catalog, settings)
-    assert list(relations) == ["ltecell"]
-    row = relations["ltecell"].first()
-    assert tuple(row)[-6:] == ("C1", "5", "9", "4", "0", "0")
-    assert relations["ltecell"].columns[-6:] == [
-        "cell_id", "EUtranFreqRelation", "EUtranCellRelation", "pmA", "pmB_0", "pmB_1"]
+    """Cells, relations, their sums and issues out of one parse, headers out of the definition file."""
+    ini = UMTS_ERIC_INI.replace("[Table]", "CommonHeader=RUN,A,B,C,D,E,F,G,H,I,J,THE_CELL\nLTECellHeader=FREQ,NEXT\n[Table]\n")
+    catalog, settings = catalog_of(spark, tmp_path, ini, "ericsson")
+    relation = "ManagedElement=1,UtranCell=C1,EUtranFreqRelation=%d,EUtranCellRelation=9"
+    text = MDC.replace("EUtranCellFDD", "UtranCell").replace("</mdc>", f"""<md><mi><mt>pmB</mt><mt>pmA</mt>
+      <mv><moid>{relation % 6}</moid><r>7,8</r><r>10</r></mv></mi></md></mdc>""")
+    ericsson.run(spark, pm_files(spark, (ERIC_NAME % "R1", text), ("odd.xml", text)), catalog, settings, "UMTS", str(tmp_path / "out"), "r")
+    front = "r,2017-08-07 12:00,,1,,,Manhattan,2017-08-07 12:00,15,R1,OSS1,"
+    head = "RUN,A,B,C,D,E,F,G,H,I,J,THE_CELL,"
+    assert lines_of(tmp_path / "out/report") == sorted([head + "pmA", front + "C1,3", front + "C2,5"])
+    assert lines_of(tmp_path / "out/ltecell") == sorted([
+        head + "FREQ,NEXT,pmA,pmB_0,pmB_1", front + "C1,5,9,4,0,0", front + "C1,6,9,10,7,8"])
+    assert lines_of(tmp_path / "out/ltecell_sum") == sorted([head + "pmA,pmB_0,pmB_1", front + "C1,14,7,8"])
+    found = {(r.file_path, r.kind, r.item) for r in spark.read.option("header", True).csv(str(tmp_path / "out/issues")).collect()}
+    # cells lack nothing that the site table asks for; relations are no cells
+    assert found == {
+        (ERIC_NAME % "R1", "no_name", "1"), ("odd.xml", "no_name", "1"), ("odd.xml", "bad_name", "odd.xml"),
+        ("settings", "settings", "Region"), ("settings", "settings", "Market")}
+    assert published(spark, str(tmp_path / "out")) == ["issue_messages", "issues", "ltecell", "ltecell_sum", "report"]
+    with pytest.raises(ValueError, match="3 columns"):
+        ericsson.report(None or ericsson.cells(pm_files(spark), [Counter("t", 0, "a", "a")], "UMTS"), [Counter("t", 0, "a", "a")],
+                        Settings(header=("a", "b", "c")), "UMTS", "r")
+
+
+def test_sections_of_a_definition_file(spark, tmp_path):
+    text = """[General]\nRegion=East ; the first\nOther=a:b,c:d\nTechnology: UMTS\nElementsNotUsed=false\n[Other]\nt9=a:b\n
+[Table]\n t1 = M1:A , M2:B\nT1=M1:A,M3:C\n# t2=M1:A\n[General]\nHL_MARKET=late\n"""
+    catalog, settings = catalog_of(spark, tmp_path, text, "nokia")
+    assert {t: [(e.code, e.column) for e in entries] for t, entries in catalog.items()} == {"t1": [("M1", "A"), ("M3", "C")]}
+    assert settings == Settings("East", "", "late", "UMTS", list_not_used=False, absent=("Market",), technology_named=True)
+
+
+@pytest.mark.parametrize(("text", "message"), [
+    ("[Table]\nt1=foo\n", "entry 'foo' of table 't1' is no pair"), ("[Table]\nt1=\n", "table 't1' is no pair"),
+    ("[Table]\nno list\n", "line 'no list' belongs to no table"), ("t1=a:b\n[Table]\nt2=a:b\n", "line 't1=a:b' belongs to no table")])
+def test_lines_that_are_no_tables_are_refused(spark, tmp_path, text, message):
+    with pytest.raises(ValueError, match=message):
+        catalog_of(spark, tmp_path, text, "nokia")
+
+
+def test_values_by_place_equal_the_tall_way(spark):
+    """Repeated names, short rows, values out of order, undeclared references and blank values, over many shapes of documents."""
+    draw = random.Random(4)
+    codes = ["a", "b", "c", "d", "e"]
+    names = [*codes, "x", "y"]
+
+    def mdc():
+        blocks = ""
+        for _ in range(draw.randint(0, 3)):
+            mt = draw.choices(names, k=draw.randint(0, 7))
+            mvs = "".join(
+                f"<mv><moid>{CELL}C{draw.randint(1, 3)}</moid>" + "".join(
+                    draw.choice(["<r/>", f"<r>{draw.randint(0, 99)}</r>"]) for _ in range(draw.randint(0, 8))) + "</mv>" for _ in range(draw.randint(0, 4)))
+            blocks += "<md><mi>" + "".join(f"<mt>{n}</mt>" for n in mt) + mvs + "</mi></md>"
+        return f"<mdc><mfh/>{blocks}</mdc>"
+
+    def collec():
+        infos = ""
+        for _ in range(draw.randint(0, 3)):
+            ps = draw.choice([list("12345"), list("1123"), list("31")])
+            types = "".join(f'<measType p="{p}">{draw.choice(names)}</measType>' for p in ps)
+            values = ""
+            for _ in range(draw.randint(0, 4)):
+                order = draw.choice([ps, ps, ps[::-1], [*ps, "9"], ps[:1]])
+                values += f'<measValue measObjLdn="X=1,EUtranCellFDD=C{draw.randint(1, 3)}">' + "".join(
+                    draw.choice([f'<r p="{p}"/>', f'<r p="{p}">{draw.randint(0, 99)}</r>']) for p in order) + "</measValue>"
+            infos += f"<measInfo>{types}{values}</measInfo>"
+        return f"<measCollecFile><measData>{infos}</measData></measCollecFile>"
+
+    files = pm_files(spark, *[(f"f{i}", (mdc if i % 2 else collec)()) for i in range(120)])
+    tall = explode_counters(shred_eric(files)).withColumn("cell_id", eric_cell_id_lte(F.col("moid"))).filter("cell_id is not null")
+    keys = ["file_path", "cell_id"]
+    expected = {(r.file_path, r.cell_id): r.counters for r in widen(merge_last(tall, keys), keys, codes).collect() if r.counters}
+    merged = merge_documents(parse_eric(files, codes=codes), ericsson.lte_identity).collect()
+    got = {(r.file_path, r.cell_id): {c: v for c, v in zip(codes, r["values"], strict=False) if v is not None} for r in merged}
+    assert {k: v for k, v in got.items() if v} == expected and len(expected) > 100
+    assert {len(r["values"]) for r in merged} == {0, 5}
+
+
+def test_findings_equal_a_plain_look(spark):
+    """Bits per file against sets, over more counters than one word of bits holds."""
+    draw = random.Random(8)
+    entries = [Counter("t", i, f"c{i}", f"c{i}") for i in range(150)]
+    held = [(f"f{i % 7}", {e.code: "1" for e in entries if draw.random() > 0.02}) for i in range(40)]
+    want = {(f, e.code) for f, counters in held for e in entries if e.code not in counters}
+    maps = spark.createDataFrame(held, "file_path string, counters map<string,string>")
+    places = spark.createDataFrame([(f, [c.get(e.code) for e in entries]) for f, c in held], "file_path string, values array<string>")
+    for frame in (maps, places):
+        rows = missing_counters_eric(frame, entries)
+        assert {(r.file_path, r["item"]) for r in rows.collect()} == want and rows.count() == len(want)
+        assert "bit_or" in rows._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(("raw", "text"), [
+    ("2,0,5,3,6", None), ("2,0,5,4,6", "more"), ("2,0,5,-1,6", "more"), ("1,0,5,3,6", "more"), ("3,0,5", "less"), ("2,0,5,x,6", "more"),
+    ("0", None), ("0,1", "more"), ("", "less"), (None, None), ("x", "less")])
+def test_sparse_lists_that_do_not_fit(spark, raw, text):
+    rows = spark.createDataFrame([("f", "pmS", raw)], "file_path string, counter string, raw string")
+    found = array_length_issues(rows, [Counter("t", 0, "pmS", "pmS", "COMP", 4)]).collect()
+    assert [r.message for r in found] == ([f"IE:pmS has {text} elemments than configured"] if text else [])
 
 
 LTE_NOKIA_INI = """[General]
@@ -253,12 +346,60 @@ def test_lte_nokia_job(spark, tmp_path):
     assert [x.rsplit("|", 1)[1] for x in lines("lte_cell_throughput") if x.startswith("r|")] == ["", "2", ""]
     found = {(r.kind, r.item) for r in spark.read.option("header", True).csv(str(tmp_path / "out/issues")).collect()}
     assert found == {
-        ("missing", "M8020C4"), ("missing", "M8017C9"), ("not_used", "M8020C9"), ("nothing_used", "A1,B1"),
+        ("missing", "M8020C3,M8020C4"), ("missing", "M8017C9"), ("not_used", "M8020C9"), ("nothing_used", "A1,B1"),
         ("no_cell", "1"), ("bad_file", "OSS9_e.xml"),
-        # the last throughput object has three managed objects, so its counters do not count
+        # two throughput objects have one or three managed objects, so their counters do not count
         ("missing", "M8012C22")}
 
 
+def test_findings_of_all_objects(spark, tmp_path):
+    """Object 12 and objects that are not the last count; the scan depths of old are parameters."""
+    catalog, settings = catalog_of(spark, tmp_path, LTE_NOKIA_INI, "nokia")
+    objects = [lte_object("other", f"<E{i}>1</E{i}>") for i in range(13)]
+    objects += [lte_object("lte_cell_avail", "<M8020C4>1</M8020C4><X>1</X>"), lte_object("lte_cell_avail", "<M8020C3>1</M8020C3><M8020C4>1</M8020C4>")]
+    files = pm_files(spark, ("in/OSS9_a.xml", setup(*objects)), ("OSS9_b.xml", setup()))
+
+    def found(**limits):
+        rows = nokia.objects(files, "LTE", True, catalog, settings, **limits)
+        return {(r.file_path, r.meas_type, r.kind, r["item"]) for r in issues_of(rows).collect()}
+
+    a = "in/OSS9_a.xml"
+    every = ",".join(sorted(f"E{i}" for i in range(13)))
+    assert found() == {(a, "other", "nothing_used", every), (a, "lte_cell_avail", "missing", "M8020C3"), (a, "lte_cell_avail", "not_used", "X")}
+    few = ",".join(sorted(f"E{i}" for i in range(11)))
+    assert found(last_only=True, first_objects=11) == {(a, "other", "nothing_used", few), (a, "lte_cell_avail", "not_used", "X")}
+
+
+def test_switches_of_the_listings(spark, tmp_path):
+    ini = LTE_NOKIA_INI.replace("DebugNothingUseInElement=true", "ElementsNotUsed=0")
+    catalog, settings = catalog_of(spark, tmp_path, ini, "nokia")
+    files = pm_files(spark, ("a", setup(lte_object("other", "<E>1</E>"), lte_object("lte_cell_avail", "<X>1</X>"))))
+    kinds = {r.kind for r in issues_of(nokia.objects(files, "LTE", True, catalog, settings)).collect()}
+    assert kinds == {"missing"}
+
+
+def test_only_configured_values_are_shuffled(spark, tmp_path):
+    catalog, settings = catalog_of(spark, tmp_path, LTE_NOKIA_INI, "nokia")
+    files = pm_files(
+        spark, ("a", setup(*[lte_object("other", f"<E{i}>1</E{i}>") for i in range(50)])),
+        ("b", setup(*[lte_object("lte_cell_avail", f"<M8020C3>{i}</M8020C3>" + "".join(f"<X{k}>1</X{k}>" for k in range(9))) for i in range(5)])))
+    rows = nokia.objects(files, "LTE", True, catalog, settings)
+    assert sorted((r.file_path, r.object_pos, str(r.counters)) for r in rows.collect()) == [
+        ("a", 0, "{}"), *[("b", i, str({"M8020C3": str(i)})) for i in range(5)]]
+    staged = nokia.stage_objects(spark, files, "LTE", catalog, settings)
+    plan = nokia.issues(staged)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Exchange" not in plan and "findings" in plan and "counters" not in plan
+
+
+def test_header_of_a_nokia_definition_file(spark, tmp_path):
+    ini = LTE_NOKIA_INI.replace("[Table]", "CommonHeader=RUN,REG,MKT,O,START,LEN,MO_DN,MO_DN2\n[Table]")
+    catalog, settings = catalog_of(spark, tmp_path, ini, "nokia")
+    nokia.run(spark, pm_files(spark, ("OSS9_a", setup(lte_object("lte_cell_avail", "<M8020C3>1</M8020C3>")))), catalog, settings, "LTE", str(tmp_path / "out"), "r")
+    assert lines_of(tmp_path / "out/lte_cell_avail")[0] == "RUN|REG|MKT|O|START|LEN|MO_DN|MO_DN2|SAMPLES_CELL_AVAIL|SAMPLES_CELL_PLAN_UNAVAIL"
+    with pytest.raises(ValueError, match="2 columns"):
+        nokia._labelled(spark.range(1), Settings(header=("a", "b")))
+
+
 UMTS_NOKIA_INI = """[General]
 Region=East
 Market=M1

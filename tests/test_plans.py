@@ -10,7 +10,7 @@ def plan_of(frame):
 
 
 def test_sums_combine_before_one_exchange(spark):
-    for name in ("neighbour_sum", "rlc_class_sum", "olpc_class_sum", "relation_sum", "umts_nokia_summary"):
+    for name in ("neighbour_sum", "rlc_class_sum", "olpc_class_sum", "relation_sum"):
         plan = plan_of(queries()[name](spark, SF))
         assert plan.count("Exchange") == 1 and "partial_sum" in plan, name
         assert "HashAggregate" in plan and "SortAggregate" not in plan, name
@@ -32,6 +32,21 @@ def test_types_prune_to_their_partition(spark):
     assert "from_xml" not in plan
 
 
+def test_findings_of_documents_need_no_exchange(spark):
+    for name in ("umts_ericsson_wide_missing", "umts_ericsson_wide", "missing_counters_nokia", "elements_not_used", "unused_elements"):
+        assert "Exchange" not in plan_of(queries()[name](spark, SF)), name
+
+
+def test_what_a_file_lacks_is_united_before_the_exchange(spark):
+    plan = plan_of(queries()["missing_counters_eric"](spark, SF))
+    assert "partial_bit_or" in plan
+
+
+def test_wide_reports_read_values_by_index(spark):
+    plan = plan_of(queries()["umts_ericsson_wide"](spark, SF))
+    assert "try_element_at" not in plan and "element_at(values" not in plan and "values" in plan
+
+
 def test_no_cross_joins_and_no_python(spark):
     for name in ("lte_ericsson_report", "umts_ericsson_report", "missing_counters_eric", "array_length_issues",
                  "missing_counters_nokia", "unused_elements", "elements_not_used", "umts_nokia_report"):

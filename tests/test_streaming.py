@@ -1,9 +1,16 @@
 """A landing directory as a stream: equal to the batch, each file once."""
 
+import gzip
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
 from pmweave.plans import ericsson
 from pmweave.sources import read_pm_files
 from pmweave.sources.catalog import Counter, Settings
-from pmweave.streaming import land_batches, stream_pm_files
+from pmweave.streaming import land_batches, read_quarantine, stream_pm_files
+from pmweave.streaming.landing import read_paths
 
 ENTRIES = [Counter("t", 0, "pmA", "pmA")]
 NAME = "OSS1_-0400_A20170807.1200-0400-1215-0400_SubNetwork=R,SubNetwork=A,MeContext=%s_statsfile.xml"
@@ -60,3 +67,44 @@ def test_archive_moves_files_of_earlier_batches(spark, tmp_path):
     assert seen == [1, 1, 1]
     archived = [p for p in archive.rglob("OSS*.xml")]
     assert archived and len(archived) + len(list(landing.iterdir())) == 3
+
+
+def poisoned_job(out, tried):
+    def job(files, batch):
+        tried.append(batch)
+        checked = files.withColumn("content", F.when(F.contains("content", F.lit("BOOM")), F.raise_error(F.lit("cannot do"))).otherwise(F.col("content")))
+        report(checked).write.mode("overwrite").parquet(f"{out}/{batch}")
+
+    return job
+
+
+def test_poisoned_files_are_put_aside_and_the_batch_goes_on(spark, tmp_path):
+    """One text that makes the job raise and one gzip file cut short, among names with odd characters."""
+    landing, out, quarantine, tried = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "quarantine"), []
+    landing.mkdir()
+    for n in range(6):
+        (landing / (NAME % f"N{n}+[x] {{y}}")).write_text(DOC % (f"C{n}", n))
+    (landing / (NAME % "BAD")).write_text(DOC % ("BOOM", 1))
+    (landing / (NAME % "CUT" + ".gz")).write_bytes(gzip.compress((DOC % ("C8", 8)).encode() * 50)[:40])
+    stream = stream_pm_files(spark, str(landing), "OSS*")
+    land_batches(stream, str(tmp_path / "offsets"), poisoned_job(out, tried), quarantine).awaitTermination()
+    kept = spark.read.parquet(*[str(p) for p in (tmp_path / "out").iterdir() if (p / "_SUCCESS").exists()])
+    assert [r[1] for r in values(kept)] == [f"C{n}" for n in range(6)]
+    aside = read_quarantine(spark, quarantine).collect()
+    assert sorted(r.file_path.rsplit("=", 1)[1].split("_")[0] for r in aside) == ["BAD", "CUT"] and {r.batch for r in aside} == {"0"} or len(aside) == 2
+    assert len([b for b in tried if tried.count(b) == 2]) == 4  # each of the two was tried twice alone
+    assert read_paths(spark, [r.file_path for r in aside if "BAD" in r.file_path]).count() == 1
+    seen = len(tried)
+    land_batches(stream_pm_files(spark, str(landing), "OSS*"), str(tmp_path / "offsets"), poisoned_job(out, tried), quarantine).awaitTermination()
+    assert len(tried) == seen
+
+
+def test_a_batch_of_which_no_file_succeeds_is_not_put_aside(spark, tmp_path):
+    landing = tmp_path / "in"
+    landing.mkdir()
+    for n in range(3):
+        (landing / (NAME % f"N{n}")).write_text(DOC % ("BOOM", n))
+    query = land_batches(stream_pm_files(spark, str(landing)), str(tmp_path / "offsets"), poisoned_job(str(tmp_path / "out"), []), str(tmp_path / "q"))
+    with pytest.raises(StreamingQueryException, match="cannot do"):
+        query.awaitTermination()
+    assert not (tmp_path / "q").exists()

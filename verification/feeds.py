@@ -19,10 +19,11 @@ EVENTS_PER_DOCUMENT = 64
 _landed: dict[tuple[str, str, str], str] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame) -> DataFrame:
+def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame, at_once: int | None = None) -> DataFrame:
     """Documents as a table in the shared folder, written once per session.
 
-    Operators start from landed documents, so writing them is kept out of their plans.
+    Operators start from landed documents, so writing them is kept out of their plans. ``at_once`` bounds how many
+    documents are read, and so parsed, at the same time.
     """
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key in _landed:
@@ -32,11 +33,22 @@ def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame) ->
             pass  # the shared folder was cleared since; land again
     folder = shared_folder(spark, f"documents-{kind}")
     # a landing zone is many files, so reading it uses every core
-    documents.repartition(spark.sparkContext.defaultParallelism).write.parquet(folder)
+    files = min(spark.sparkContext.defaultParallelism, at_once or spark.sparkContext.defaultParallelism)
+    documents.repartition(files).write.parquet(folder)
     _landed[key] = folder
     return spark.read.parquet(folder)
 
 
+def once(spark: SparkSession, sf_dir: str, kind: str, write) -> str:
+    """A folder in the shared one that ``write(spark, sf_dir, folder)`` has filled, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _landed:
+        folder = shared_folder(spark, kind)
+        write(spark, sf_dir, folder)
+        _landed[key] = folder
+    return _landed[key]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -155,6 +167,47 @@ def collec_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+WIDE_COUNTERS, WIDE_CELLS = 535, 1000
+WIDE_BYTES = 400 << 20  # what parsing one such document may take at a time
+FIRST_BLOCK, SECOND_BLOCK = (0, 399), (300, WIDE_COUNTERS - 1)
+WIDE_SQL = f"""
+cell AS (SELECT c_custkey // {WIDE_CELLS} AS doc, c_custkey AS cell, abs(CAST(round(c_acctbal * 100) AS BIGINT)) AS raw FROM customer),
+place AS (SELECT unnest(range({WIDE_COUNTERS})) AS j),
+wide AS (SELECT doc, cell, j,
+  j < {SECOND_BLOCK[0]} AND cell % 3 = 0 AS absent,
+  CASE WHEN j < {SECOND_BLOCK[0]} AND cell % 3 = 0 THEN '0'
+       WHEN j < {SECOND_BLOCK[0]} THEN CAST((raw + j * 7) % 1009 AS VARCHAR) ELSE CAST((raw + j * 11) % 997 AS VARCHAR) END AS shown
+  FROM cell CROSS JOIN place)"""
+
+
+def wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """UMTS documents of a thousand customers as cells and 535 counters, in two blocks that overlap.
+
+    The first block leaves every third cell out; counters of both blocks have the value of the second.
+    """
+    raw, cell = F.col("raw"), F.col("cell")
+
+    def block(first: int, last: int, factor: int, modulus: int, cells: Column) -> Column:
+        values = F.transform(F.sequence(F.lit(first), F.lit(last)), lambda j: text("<r>", (raw + j * factor) % modulus, "</r>"))
+        return F.when(cells, text("<mv><moid>ManagedElement=1,RncFunction=1,UtranCell=U", cell, "</moid>", F.array_join(values, ""), "</mv>"))
+
+    def opened(first: int, last: int) -> str:
+        return "<md><mi>" + "".join(f"<mt>pmW{j}</mt>" for j in range(first, last + 1))
+
+    rows = table(spark, sf_dir, "customer").select(
+        F.expr(f"c_custkey div {WIDE_CELLS}").alias("doc"), F.col("c_custkey").alias("cell"), F.abs(scaled("c_acctbal")).alias("raw"))
+    both = rows.select(
+        "doc", "cell", block(*FIRST_BLOCK, 7, 1009, cell % 3 != 0).alias("one"), block(*SECOND_BLOCK, 11, 997, F.lit(True)).alias("two"))
+    gathered = both.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("cell", "one", "two"))).alias("cells"))
+    name = eric_name(F.col("doc"))
+    content = text(
+        "<mdc>", opened(*FIRST_BLOCK), F.array_join(F.col("cells")["one"], "\n"), "</mi></md>",
+        opened(*SECOND_BLOCK), F.array_join(F.col("cells")["two"], "\n"), "</mi></md></mdc>")
+    documents = gathered.select("doc", name.alias("file_path"), name.alias("file_name"), content.alias("content"))
+    memory = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    return landed(spark, sf_dir, "wide", documents.coalesce(max(1, memory // WIDE_BYTES)), max(1, memory // WIDE_BYTES))
+
+
 def nokia_name(doc: Column) -> Column:
     return text("in/OSS", doc % 5, "_PM_", doc, ".xml")
 

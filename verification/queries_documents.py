@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pmweave.operators import quality
 from pmweave.operators.merge import merge_documents
 from pmweave.operators.project import cell_grain_filter as grain_filter
-from pmweave.operators.project import with_relation
+from pmweave.operators.project import codes_of, with_relation
 from pmweave.operators.shred import LTE_TARGET, parse_eric, parse_nokia, setups_as_rows, shred_eric
 from pmweave.operators.shred import detect_eric_dialect as detect_dialect
 from pmweave.operators.shred import explode_counters as explode
@@ -19,9 +19,12 @@ from pmweave.operators.shred import shred_nokia_umts as shred_umts
 from pmweave.operators.shred import throughput_mo_filter as throughput_filter
 from pmweave.plans import ericsson, nokia
 from pmweave.session import shared_folder
+from pmweave.sinks import read_pm_issues as read_issues
 from pmweave.sinks import write_pm_issues as write_issues
 from pmweave.sinks import write_pm_report as write_report
 from pmweave.sinks import write_pm_summary as write_summary
+from pmweave.sources import load_catalog, load_settings
+from pmweave.sources import read_counter_catalog as read_catalog
 from pmweave.sources import read_pm_files as read_files
 from pmweave.sources import read_pm_sequence as read_sequence
 from pmweave.sources.catalog import Counter, Settings
@@ -30,7 +33,7 @@ from pmweave.streaming import stream_pm_files as stream_files
 
 from verification import feeds
 from verification.registry import check
-from verification.sql import DOC_TIME, ERIC_FRONT, EVENTS, LTE_OBJECTS, UMTS_OBJECTS, olpc_sums
+from verification.sql import DOC_TIME, ERIC_FRONT, EVENTS, LTE_OBJECTS, UMTS_OBJECTS, olpc_sums, rlc_sums
 
 SETTINGS = Settings(region="East", market="M1", hl_market="HM")
 TYPES = ["click", "error", "purchase", "signup", "view"]
@@ -244,23 +247,112 @@ FROM (SELECT doc, rel_type, cell_id, freq_rel, cell_rel, {ERIC_FRONT}, coalesce(
       FROM timed WHERE rel_type IS NOT NULL)""")
 def relation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reports of the three relation tables, put under each other to be compared at once."""
-    files = feeds.mdc_documents(spark, sf_dir, "UMTS")
-    catalog = {
-        t: [Counter(t, i, f"pm_{c}", f"pm_{c}") for i, c in enumerate(("view", "click"))]
-        for t in ("ltecell", "umtscell", "gsmcell")
-    }
+    tables = {t: [Counter(t, i, f"pm_{c}", f"pm_{c}") for i, c in enumerate(("view", "click"))] for t in ericsson.RELATION_HEADER}
+    every = [e for t in tables.values() for e in t]
+    staged = ericsson.stage_cells(spark, feeds.mdc_documents(spark, sf_dir, "UMTS"), every, "UMTS")
     rows = None
-    for rel_type, report in ericsson.relation_reports(spark, files, catalog, SETTINGS).items():
-        freq, cell = ericsson.RELATION_HEADER[rel_type]
+    for rel_type, report in ericsson.relation_reports(staged, tables, codes_of(every), SETTINGS, "r").items():
         one = report.select(
-            F.substring("OSSName", 4, 9).cast("bigint").alias("oss"), F.lit(rel_type).alias("rel_type"), "cell_id",
-            F.col(freq).alias("freq_rel"), F.col(cell).alias("cell_rel"), "PERIOD_START_TIME", "pm_view", "pm_click",
-            F.col("MeContext").alias("node"),
+            F.substring("OSSName", 4, 9).cast("bigint").alias("oss"), F.lit(rel_type).alias("rel_type"), F.col("UtranCell").alias("cell_id"),
+            *[F.col(label).alias(c) for label, c in zip(ericsson.RELATION_HEADER[rel_type], ericsson.RELATION_PARTS, strict=True)],
+            "PERIOD_START_TIME", "pm_view", "pm_click", F.col("MeContext").alias("node"),
         )
         rows = one if rows is None else rows.unionByName(one)
     return rows
 
 
+UMTS_DEFINITIONS = """[General]
+Technology=UMTS
+Region=East
+Market=M1
+HL_MARKET=HM
+CommonHeader=MGR_RUNID,HL_DATE,HL_MARKET,Cntr,Region,Market,SubNetwork_2,PERIOD_START_TIME,PERIOD_DURATION,MeContext,OSSName,UtranCell
+LTECellHeader=FREQ,NEXT
+UMTSCellHeader=FREQ,NEXT
+[Table]
+Site=pm_view:Single,pmHist:PDF[3],pm_click:Single
+LTECell=pm_view:Single,pm_error:Single
+UMTSCell=pm_view:Single,pmHist:PDF[2]
+GSMCell=pm_click:Single
+"""
+
+
+def _umts_run(spark: SparkSession, sf_dir: str) -> str:
+    """The whole UMTS job out of a written definition file, once per session; the folder it published to."""
+    return feeds.once(spark, sf_dir, "umts-run", _run_umts)
+
+
+def _run_umts(spark: SparkSession, sf_dir: str, out: str) -> None:
+    file = f"{out}-definitions"
+    spark.createDataFrame([(UMTS_DEFINITIONS,)], "value string").coalesce(1).write.text(file)
+    catalog, settings = load_catalog(read_catalog(spark, file, "ericsson")), load_settings(spark, file)
+    ericsson.run(spark, feeds.mdc_documents(spark, sf_dir, "UMTS"), catalog, settings, settings.technology, out, "run-1")
+
+
+@check(f"""{UMTS_CELLS_SQL},
+ rel AS (SELECT doc, rel_type AS grain, cell_id, freq_rel, cell_rel, CASE rel_type
+           WHEN 'ltecell' THEN coalesce(view, '0') || ',' || coalesce(error, '0')
+           WHEN 'umtscell' THEN coalesce(view, '0') || ',' || coalesce(split_part(hist, ',', 1), '0') || ','
+             || CASE WHEN contains(hist, ',') THEN split_part(hist, ',', 2) ELSE '0' END
+           ELSE coalesce(click, '0') END AS shown FROM cells WHERE rel_type IS NOT NULL),
+ parts AS (SELECT doc, grain, cell_id, row_number() OVER () AS r, unnest(string_split(shown, ',')) AS v, generate_subscripts(string_split(shown, ','), 1) AS i FROM rel),
+ added AS (SELECT doc, grain, cell_id, i, CAST(sum(CAST(v AS BIGINT)) AS BIGINT) AS v FROM parts GROUP BY ALL),
+ summed AS (SELECT doc, grain || '_sum' AS grain, cell_id, string_agg(v, ',' ORDER BY i) AS shown FROM added GROUP BY doc, grain, cell_id)
+SELECT 'N' || doc AS node, 'report' AS grain, cell_id, '' AS freq_rel, '' AS cell_rel,
+  coalesce(view, '0') || ',' || coalesce(split_part(hist, ',', 1), '0') || ',' || CASE WHEN contains(hist, ',') THEN split_part(hist, ',', 2) ELSE '0' END
+  || ',0,' || coalesce(click, '0') AS shown FROM cells WHERE rel_type IS NULL
+UNION ALL SELECT 'N' || doc, grain, cell_id, freq_rel, cell_rel, shown FROM rel
+UNION ALL SELECT 'N' || doc, grain, cell_id, '', '', shown FROM summed""")
+def umts_ericsson_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Everything that the UMTS job publishes at cell and relation grain, read back and put under each other."""
+    out, rows = _umts_run(spark, sf_dir), None
+    for grain in ("report", *[t + s for t in ericsson.RELATION_HEADER for s in ("", "_sum")]):
+        table = _read_back(spark, f"{out}/{grain}", ",")
+        at = 12 if grain == "report" or grain.endswith("_sum") else 14
+        parts = [F.lit(""), F.lit("")] if at == 12 else [F.col(c) for c in table.columns[12:14]]
+        one = table.select(
+            F.col("MeContext").alias("node"), F.lit(grain).alias("grain"), F.col("UtranCell").alias("cell_id"),
+            parts[0].alias("freq_rel"), parts[1].alias("cell_rel"), F.concat_ws(",", *table.columns[at:]).alias("shown"))
+        rows = one if rows is None else rows.unionByName(one)
+    return rows
+
+
+@check(f"""{UMTS_CELLS_SQL}
+SELECT 'N' || doc AS node, 'missing' AS kind, item, 'IE:' || item || ' not found from xml input; set 0 instead' AS message
+FROM (SELECT DISTINCT doc, unnest([CASE WHEN view IS NULL THEN 'pm_view' END, CASE WHEN hist IS NULL THEN 'pmHist' END,
+        CASE WHEN click IS NULL THEN 'pm_click' END]) AS item FROM cells WHERE rel_type IS NULL) WHERE item IS NOT NULL
+UNION ALL SELECT DISTINCT 'N' || doc, 'length', 'pmHist', 'IE:pmHist has less elemments than configured' FROM cells WHERE rel_type IS NULL AND hist IS NOT NULL""")
+def umts_ericsson_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The issues that the UMTS job publishes, relations being in the feed: they lack nothing."""
+    found = read_issues(spark, f"{_umts_run(spark, sf_dir)}/issues")
+    return found.select(F.regexp_extract("file_path", "MeContext=(N[0-9]+)_", 1).alias("node"), "kind", "item", "message")
+
+
+WIDE_CODES = [f"pmW{j}" for j in range(feeds.WIDE_COUNTERS)]
+WIDE_ENTRIES = [Counter("site", j, c, c) for j, c in enumerate(WIDE_CODES)]
+
+
+@check(f"""WITH {feeds.WIDE_SQL}
+SELECT doc, 'U' || cell AS cell_id, md5(string_agg(shown, ',' ORDER BY j)) AS row_md5
+FROM wide GROUP BY doc, cell""")
+def umts_ericsson_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report of 535 counters over documents of a thousand cells; a digest of each row."""
+    merged = ericsson.cells(feeds.wide_documents(spark, sf_dir), WIDE_ENTRIES, "UMTS")
+    report = ericsson.report(merged, WIDE_ENTRIES, SETTINGS, "UMTS", "run-1")
+    return report.select(
+        F.substring("MeContext", 2, 20).cast("bigint").alias("doc"), F.col("UtranCell").alias("cell_id"),
+        F.md5(F.concat_ws(",", *WIDE_CODES)).alias("row_md5"))
+
+
+@check(f"""WITH {feeds.WIDE_SQL}
+SELECT DISTINCT doc, 'pmW' || j AS item FROM wide WHERE absent""")
+def umts_ericsson_wide_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What cells of the wide documents lack, found in the documents: no exchange."""
+    merged = ericsson.cells(feeds.wide_documents(spark, sf_dir), WIDE_ENTRIES, "UMTS", keep_empty=True)
+    node = F.regexp_extract("file_path", "MeContext=N([0-9]+)_", 1).cast("bigint")
+    return quality.issues_of(merged, "missing").select(node.alias("doc"), "item")
+
+
 @check(f"WITH {EVENTS} SELECT doc, cell_id, md, mv FROM umts WHERE cell_id IS NOT NULL AND rel_type IS NULL")
 def cell_grain_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     objects = with_relation(shred_md(feeds.mdc_documents(spark, sf_dir, "UMTS")))
@@ -283,7 +375,7 @@ SELECT {NOKIA_FRONT}, meas_type, cell AS "MO_DN", cell_2 AS "MO_DN2", CASE WHEN
 FROM nok2 n WHERE meas_type <> 'lte_unlisted'""")
 def lte_nokia_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The detail reports of all LTE types of this vendor, put under each other to be compared at once."""
-    staged = nokia.stage_objects(spark, feeds.lte_nokia_documents(spark, sf_dir), "LTE")
+    staged = nokia.stage_objects(spark, feeds.lte_nokia_documents(spark, sf_dir), "LTE", LTE_CATALOG)
     rows = staged.filter(nokia.has_cell("LTE"))
     order = ["SAMPLES_CELL_AVAIL", "DENOM_CELL_AVAIL", "PDCP_DATA_RATE_MAX_UL", "ISYS_HO_UTRAN_ATT_NB",
              "ISYS_HO_UTRAN_FAIL_NB", "RRC_PAGING_REQUESTS"]
@@ -313,29 +405,42 @@ def neighbour_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @check(f"""WITH {UMTS_OBJECTS}
-SELECT {NOKIA_FRONT.replace("period_start", "file_time")}, base_id AS "BASEID", local_moid AS "LOCALMOID",
+SELECT {NOKIA_FRONT.replace("period_start", "file_time")}, meas_type, base_id AS "BASEID", local_moid AS "LOCALMOID",
   cell_id_1 AS "CELL_ID_1", cell_id_2 AS "CELL_ID_2", tr_class AS "TR_CLASS", tr_subclass AS "TR_SUBCLASS",
-  ch_type AS "CHTYPE", CAST(raw AS VARCHAR) AS rlc_am_dl_meas_time_w,
-  CASE WHEN event_id % 8 = 0 THEN '' ELSE CAST(raw % 77 AS VARCHAR) END AS rlc_am_ul_meas_time_w
-FROM nok WHERE meas_type = 'rcpm_rlc_wcel'""")
+  ch_type AS "CHTYPE", CASE WHEN meas_type = 'rcpm_rlc_wcel'
+    THEN raw || '|' || CASE WHEN event_id % 8 = 0 THEN '' ELSE CAST(raw % 77 AS VARCHAR) END ELSE CAST(raw AS VARCHAR) END AS shown
+FROM nok""")
 def umts_nokia_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The detail report of one UMTS type of this vendor."""
+    """The detail reports of all UMTS types of this vendor, put under each other to be compared at once."""
     rows = nokia.objects(feeds.umts_nokia_documents(spark, sf_dir), "UMTS").filter(nokia.has_cell("UMTS"))
-    t = "rcpm_rlc_wcel"
-    return nokia.umts_detail(rows, t, UMTS_CATALOG[t], SETTINGS, "r")
+    result = None
+    for meas_type, entries in UMTS_CATALOG.items():
+        report = nokia.umts_detail(rows, meas_type, entries, SETTINGS, "r")
+        own = [e.column for e in entries[len(IDENTITY):]]
+        kept = [c for c in report.columns if c not in own]
+        one = report.select(*kept, F.lit(meas_type).alias("meas_type"), F.concat_ws("|", *own).alias("shown"))
+        result = one if result is None else result.unionByName(one)
+    return result
 
 
 UMTS_SUM_KEYS = """base_id AS "BASEID", local_moid AS "LOCALMOID", cell_id_1 AS "CELL_ID_1", cell_id_2 AS "CELL_ID_2" """
 
 
-@check(f"""WITH {UMTS_OBJECTS}
-SELECT {NOKIA_FRONT.replace("period_start", "file_time")}, {UMTS_SUM_KEYS},
-  {olpc_sums("raw", "event_id % 100", "(raw % 8 + 0.5)", "event_id % 9")}
-FROM nok WHERE meas_type = 'rcpm_olpc_wcel' GROUP BY doc, file_time, base_id, local_moid, cell_id_1, cell_id_2""")
+UMTS_SUM_GROUPS = "doc, file_time, base_id, local_moid, cell_id_1, cell_id_2"
+
+
+@check(f"""WITH {UMTS_OBJECTS},
+ olpc AS (SELECT {UMTS_SUM_GROUPS}, {olpc_sums("raw", "event_id % 100", "(raw % 8 + 0.5)", "event_id % 9")}
+          FROM nok WHERE meas_type = 'rcpm_olpc_wcel' GROUP BY {UMTS_SUM_GROUPS}),
+ rlc AS (SELECT {UMTS_SUM_GROUPS}, {rlc_sums("raw", "event_id % 100", "raw % 1000", "CASE WHEN event_id % 8 <> 0 THEN raw % 77 END")}
+         FROM nok WHERE meas_type = 'rcpm_rlc_wcel' GROUP BY {UMTS_SUM_GROUPS}),
+ both_types AS (SELECT * FROM olpc UNION ALL BY NAME SELECT * FROM rlc)
+SELECT {NOKIA_FRONT.replace("period_start", "file_time")}, {UMTS_SUM_KEYS}, * EXCLUDE ({UMTS_SUM_GROUPS}) FROM both_types""")
 def umts_nokia_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Traffic-class sums per document and cell, from documents."""
+    """Traffic-class sums of both summed types per document and cell, from documents, under each other."""
     rows = nokia.objects(feeds.umts_nokia_documents(spark, sf_dir), "UMTS")
-    return nokia.umts_class_summary(rows, "rcpm_olpc_wcel", None, SETTINGS, "r")
+    olpc, rlc = (nokia.umts_class_summary(rows, t, None, SETTINGS, "r") for t in ("rcpm_olpc_wcel", "rcpm_rlc_wcel"))
+    return olpc.unionByName(rlc, allowMissingColumns=True)
 
 
 @check(f"""WITH {LTE_OBJECTS}
@@ -361,53 +466,69 @@ def _read_back(spark: SparkSession, folder: str, sep: str) -> DataFrame:
 
 
 @check(f"""WITH {LTE_OBJECTS}
-SELECT {NOKIA_FRONT.replace("15 AS", "'15' AS")}, cell AS "MO_DN", cell_2 AS "MO_DN2", CAST(raw AS VARCHAR) AS "SAMPLES_CELL_AVAIL",
-  CAST(event_id % 100 AS VARCHAR) AS "DENOM_CELL_AVAIL"
-FROM nok2 WHERE meas_type = 'lte_cell_avail'""")
+SELECT {NOKIA_FRONT.replace("15 AS", "'15' AS")}, meas_type, cell AS "MO_DN", cell_2 AS "MO_DN2",
+  CASE WHEN event_type = 'view' THEN neighbour ELSE '' END AS target,
+  CASE meas_type WHEN 'lte_cell_avail' THEN {_val('M8020C3')} || '|' || {_val('M8020C6')} WHEN 'lte_cell_throughput' THEN {_val('M8012C22')}
+    WHEN 'lte_isys_ho_utran_nb' THEN {_val('M8017C7')} || '|' || {_val('M8017C9')} ELSE {_val('M8008C1')} END AS shown
+FROM nok2 n WHERE meas_type <> 'lte_unlisted'""")
 def write_pm_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A pipe report written and read back."""
-    rows = nokia.objects(feeds.lte_nokia_documents(spark, sf_dir), "LTE")
-    t = "lte_cell_avail"
-    folder = shared_folder(spark, t)
-    write_report(nokia.lte_detail(rows, t, LTE_CATALOG[t], SETTINGS, "r"), folder, "|")
-    return _read_back(spark, folder, "|")
+    """The pipe reports of all types, written, read back and put under each other."""
+    staged = nokia.stage_objects(spark, feeds.lte_nokia_documents(spark, sf_dir), "LTE", LTE_CATALOG)
+    rows, result = staged.filter(nokia.has_cell("LTE")), None
+    for t, entries in LTE_CATALOG.items():
+        folder = shared_folder(spark, t)
+        write_report(nokia.lte_detail(rows, t, entries, SETTINGS, "r"), folder, "|")
+        back = _read_back(spark, folder, "|")
+        neighbour = "MO_DN_Source" in back.columns
+        one = back.select(
+            "MGR_RUN_ID", *nokia.COMMON_HEADER, F.lit(t).alias("meas_type"), F.col("MO_DN_Source" if neighbour else "MO_DN").alias("MO_DN"), "MO_DN2",
+            (F.col("MO_DN_Target") if neighbour else F.lit("")).alias("target"), F.concat_ws("|", *[F.coalesce(e.column, F.lit("")) for e in entries]).alias("shown"))
+        result = one if result is None else result.unionByName(one)
+    return result
 
 
-@check(f"""WITH {EVENTS}
-SELECT l.doc, c.counter AS item, 'missing' AS kind,
-       'IE:' || c.counter || ' not found from xml input; set 0 instead' AS message
-FROM (SELECT DISTINCT doc, cell_id FROM lte WHERE cell_id IS NOT NULL) l
-CROSS JOIN (VALUES ('pm_view'), ('pm_click'), ('pmHist')) c(counter)
-LEFT JOIN merged m ON m.doc = l.doc AND m.cell_id = l.cell_id AND m.counter = c.counter
-WHERE m.raw IS NULL GROUP BY l.doc, c.counter""")
+WANTED_SQL = """wanted AS (SELECT * FROM (VALUES ('lte_cell_avail', 0, 'M8020C3'), ('lte_cell_avail', 1, 'M8020C6'),
+   ('lte_cell_throughput', 0, 'M8012C22'), ('lte_isys_ho_utran_nb', 0, 'M8017C7'),
+   ('lte_isys_ho_utran_nb', 1, 'M8017C9'), ('lte_rrc', 0, 'M8008C1'), ('lte_rrc', 1, 'M8008C4')) w(meas_type, ordinal, code)),
+ lacking AS (SELECT DISTINCT n.doc, n.meas_type, w.ordinal, w.code FROM nok2 n JOIN wanted w ON w.meas_type = n.meas_type
+             LEFT JOIN elements e ON e.doc = n.doc AND e.object_pos = n.object_pos AND e.code = w.code WHERE e.code IS NULL),
+ missing AS (SELECT doc, meas_type, string_agg(code, ',' ORDER BY ordinal) AS item FROM lacking GROUP BY doc, meas_type),
+ beyond AS (SELECT DISTINCT doc, meas_type, code AS item FROM elements
+            WHERE meas_type <> 'lte_unlisted' AND (meas_type, code) NOT IN (SELECT (meas_type, code) FROM wanted)),
+ unlisted AS (SELECT doc, meas_type, string_agg(code, ',' ORDER BY code) AS item
+              FROM (SELECT DISTINCT doc, meas_type, code FROM elements WHERE meas_type = 'lte_unlisted') GROUP BY doc, meas_type)"""
+NOKIA_FILE = "'OSS' || (doc % 5) || '_PM_' || doc || '.xml'"
+RRC_CATALOG = {**LTE_CATALOG, "lte_rrc": [*LTE_CATALOG["lte_rrc"], Counter("lte_rrc", 1, "M8008C4", "X")]}
+
+
+def _lte_findings(spark: SparkSession, documents: DataFrame) -> DataFrame:
+    """All findings of LTE documents, unconfigured types listed."""
+    return nokia.objects(documents, "LTE", True, RRC_CATALOG, Settings(list_unused=True))
+
+
+@check(f"""WITH {LTE_OBJECTS}, {WANTED_SQL}, found AS (
+  SELECT doc, meas_type, 'missing' AS kind, item, {NOKIA_FILE} || ': ElementsNotInXML=' || item AS message FROM missing
+  UNION ALL SELECT doc, meas_type, 'not_used', item, item FROM beyond
+  UNION ALL SELECT doc, meas_type, 'nothing_used', item, {NOKIA_FILE} || '=' || meas_type || ': ElementsNothingUse=' || item FROM unlisted
+  UNION ALL SELECT doc, NULL, 'no_cell', CAST(count(*) AS VARCHAR), 'objects without a readable cell name' FROM nok2 WHERE cell_2 IS NULL GROUP BY doc)
+SELECT * FROM found WHERE doc % 10 <> 7
+UNION ALL SELECT DISTINCT doc, NULL, 'bad_file', {NOKIA_FILE}, 'document is not well-formed XML' FROM obj WHERE doc % 10 = 7
+UNION ALL SELECT -1, NULL, 'settings', 'Market', 'Ini file Market option error.'""")
 def write_pm_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Missing counters of documents, written by kind and read back."""
-    entries = [Counter("t", i, c, c) for i, c in enumerate(("pm_view", "pm_click", "pmHist"))]
-    merged = merge_documents(
-        parse_eric(feeds.mdc_documents(spark, sf_dir), codes=[e.code for e in entries]), ericsson.lte_identity
-    )
+    """Issues of every kind, every tenth document being cut short, written by kind and read back."""
+    documents = feeds.cut_short(feeds.lte_nokia_documents(spark, sf_dir))
+    found = quality.issues_of(_lte_findings(spark, documents)).unionByName(quality.settings_issues(spark, Settings(absent=("Market",))))
     folder = shared_folder(spark, "issues")
-    write_issues(quality.missing_counters_eric(merged, entries), folder)
-    back = spark.read.option("header", True).csv(folder)
-    node = F.regexp_extract("file_path", "MeContext=N([0-9]+)_", 1).cast("bigint")
-    return back.select(node.alias("doc"), "item", "kind", "message")
+    write_issues(found, folder)
+    doc = F.coalesce(F.regexp_extract("file_path", "_PM_([0-9]+)", 1).try_cast("bigint"), F.lit(-1).cast("bigint"))
+    return read_issues(spark, folder).select(doc.alias("doc"), "meas_type", "kind", "item", "message")
 
 
-@check(f"""WITH {LTE_OBJECTS},
- last AS (SELECT doc, max(object_pos) AS object_pos FROM nok2 GROUP BY doc),
- wanted AS (SELECT * FROM (VALUES ('lte_cell_avail', 0, 'M8020C3'), ('lte_cell_avail', 1, 'M8020C6'),
-   ('lte_cell_throughput', 0, 'M8012C22'), ('lte_isys_ho_utran_nb', 0, 'M8017C7'),
-   ('lte_isys_ho_utran_nb', 1, 'M8017C9'), ('lte_rrc', 0, 'M8008C1'), ('lte_rrc', 1, 'M8008C4')) w(meas_type, ordinal, code))
-SELECT n.doc, n.meas_type, string_agg(w.code, ',' ORDER BY w.ordinal) AS item,
-  'OSS' || (n.doc % 5) || '_PM_' || n.doc || '.xml: ElementsNotInXML=' || string_agg(w.code, ',' ORDER BY w.ordinal) AS message
-FROM nok2 n JOIN last USING (doc, object_pos) JOIN wanted w ON w.meas_type = n.meas_type
-LEFT JOIN elements e ON e.doc = n.doc AND e.object_pos = n.object_pos AND e.code = w.code
-WHERE e.code IS NULL GROUP BY n.doc, n.meas_type""")
+@check(f"""WITH {LTE_OBJECTS}, {WANTED_SQL}
+SELECT doc, meas_type, item, {NOKIA_FILE} || ': ElementsNotInXML=' || item AS message FROM missing""")
 def missing_counters_nokia(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog = {**LTE_CATALOG, "lte_rrc": [*LTE_CATALOG["lte_rrc"], Counter("lte_rrc", 1, "M8008C4", "X")]}
-    found = quality.missing_counters_nokia(
-        nokia.objects(feeds.lte_nokia_documents(spark, sf_dir), "LTE"), catalog
-    )
+    """Over all objects of a document."""
+    found = quality.issues_of(_lte_findings(spark, feeds.lte_nokia_documents(spark, sf_dir)), "missing")
     return found.select(_nokia_doc(), "meas_type", "item", "message")
 
 
@@ -415,19 +536,15 @@ def _nokia_doc() -> Column:
     return F.regexp_extract("file_path", "_PM_([0-9]+)", 1).cast("bigint").alias("doc")
 
 
-@check(f"""WITH {LTE_OBJECTS}
-SELECT DISTINCT doc, meas_type, code AS item FROM elements WHERE code IN ('M8020C77', 'M8017C9')""")
+@check(f"WITH {LTE_OBJECTS}, {WANTED_SQL} SELECT doc, meas_type, item FROM beyond")
 def elements_not_used(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog = {**LTE_CATALOG, "lte_isys_ho_utran_nb": LTE_CATALOG["lte_isys_ho_utran_nb"][:1]}
-    found = quality.elements_not_used(nokia.objects(feeds.lte_nokia_documents(spark, sf_dir), "LTE"), catalog)
+    found = quality.issues_of(_lte_findings(spark, feeds.lte_nokia_documents(spark, sf_dir)), "not_used")
     return found.select(_nokia_doc(), "meas_type", "item")
 
 
-@check(f"""WITH {LTE_OBJECTS}, seen AS (
-  SELECT DISTINCT doc, meas_type, code FROM elements WHERE meas_type = 'lte_unlisted' AND object_pos < 11)
-SELECT doc, meas_type, string_agg(code, ',' ORDER BY code) AS item,
-  'OSS' || (doc % 5) || '_PM_' || doc || '.xml=lte_unlisted: ElementsNothingUse=' || string_agg(code, ',' ORDER BY code) AS message
-FROM seen GROUP BY doc, meas_type""")
+@check(f"""WITH {LTE_OBJECTS}, {WANTED_SQL}
+SELECT doc, meas_type, item, {NOKIA_FILE} || '=lte_unlisted: ElementsNothingUse=' || item AS message FROM unlisted""")
 def unused_elements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = quality.unused_elements(nokia.objects(feeds.lte_nokia_documents(spark, sf_dir), "LTE"), LTE_CATALOG)
+    """Over all objects of a document."""
+    found = quality.issues_of(_lte_findings(spark, feeds.lte_nokia_documents(spark, sf_dir)), "nothing_used")
     return found.select(_nokia_doc(), "meas_type", "item", "message")

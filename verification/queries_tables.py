@@ -10,7 +10,7 @@ from pmweave.operators import quality, sums
 from pmweave.operators.merge import merge_last as merge
 from pmweave.operators.merge import widen
 from pmweave.operators.project import project_configured as project
-from pmweave.operators.project import report_columns as columns_of
+from pmweave.operators.project import report_column_rows
 from pmweave.plans import ericsson, nokia
 from pmweave.session import shared_folder
 from pmweave.sources import read_counter_catalog as read_catalog
@@ -318,14 +318,14 @@ def counter_kind(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _catalog_folder(spark: SparkSession, sf_dir: str) -> str:
-    """A folder of catalog files written out of orders: a table line per 20 order keys."""
+    """A folder of catalog files written out of orders: a table line per 20 order keys. A list below another section is no table."""
     key = F.col("o_orderkey")
     entries = feeds.table(spark, sf_dir, "orders").select(
         F.expr("o_orderkey div 20").alias("bucket"), key.alias("at"), text("pmC", key, ":", _spec("Single")).alias("entry"))
     lines = entries.groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("at", "entry"))).alias("e"))
     folder = shared_folder(spark, "catalog")
     lines.select(F.explode(F.array(
-        F.lit("; a comment = x:Single"), F.lit("Region=East"),
+        F.lit("[General]"), F.lit("; a comment = x:Single"), F.lit("Region=East"), F.lit("Other=a:Single,b:Single"), F.lit("[Table]"),
         text("TAB", F.col("bucket"), "=", F.array_join(F.col("e")["entry"], ",")),
     )).alias("value")).write.text(folder)
     return folder
@@ -405,7 +405,10 @@ LENGTH_ENTRIES = [
   UNION ALL SELECT o_custkey, 'pmScalar', 'IE:pmScalar has more elemments than configured' FROM orders
   WHERE o_orderkey % 3 = 1 AND o_custkey % 6 + 1 > 1
   UNION ALL SELECT o_custkey, 'pmSparse', 'IE:pmSparse has less elemments than configured' FROM orders
-  WHERE o_orderkey % 3 = 2 AND 2 * (o_orderkey) + 1 > o_custkey % 6 + 1)""")
+  WHERE o_orderkey % 3 = 2 AND 2 * (o_orderkey) + 1 > o_custkey % 6 + 1
+  UNION ALL SELECT o_custkey, 'pmSparse', 'IE:pmSparse has more elemments than configured' FROM orders
+  WHERE o_orderkey % 3 = 2 AND 2 * o_orderkey + 1 <= o_custkey % 6 + 1
+    AND (2 * o_orderkey + 1 < o_custkey % 6 + 1 OR 3 * o_orderkey - 1 > 3))""")
 def array_length_issues(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("o_orderkey")
     raw = F.array_join(F.transform(
@@ -447,21 +450,15 @@ def project_configured(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project(_wide(spark, sf_dir), SHOWN, KEYS, absent="0")
 
 
-@check("""WITH w AS (SELECT o_custkey, o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN 1 ELSE o_custkey % 5 + 1 END AS dim,
-    'pmC' || o_orderkey AS code FROM orders)
-SELECT o_orderkey, CASE WHEN dim = 1 THEN code ELSE code || '_' || i END AS column_name
-FROM w, range(0, 6) r(i) WHERE i < dim""")
+@check(f"""WITH c AS (SELECT o_orderkey, 'tab' || (o_orderkey // 20) AS table_name,
+    CAST(row_number() OVER (PARTITION BY o_orderkey // 20 ORDER BY o_orderkey) - 1 AS INTEGER) AS ordinal,
+    CAST(coalesce({DIM_SQL}, 1) AS INTEGER) AS dim FROM orders),
+  e AS (SELECT *, unnest(range(0, dim)) AS element FROM c)
+SELECT table_name, ordinal, CAST(element AS INTEGER) AS element,
+  'pmC' || o_orderkey || CASE WHEN dim = 1 THEN '' ELSE '_' || element END AS column_name FROM e""")
 def report_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column names per catalog entry as rows; the list form of the same rule names the reports' columns."""
-    key = F.col("o_orderkey")
-    dim = F.when(key % 2 == 0, 1).otherwise(F.col("o_custkey") % 5 + 1)
-    code = text("pmC", key)
-    # the names of one entry of each size, as the reports spell them
-    spelled = F.array(*[
-        F.array(*[F.lit(n) for n in columns_of([Counter("t", 0, "#", "#", "PDF", d)])]) for d in range(1, 6)
-    ])
-    names_of = F.transform(F.get(spelled, (dim - 1).cast("int")), lambda n: F.replace(n, F.lit("#"), code))
-    return feeds.table(spark, sf_dir, "orders").select("o_orderkey", F.explode(names_of).alias("column_name"))
+    """The columns of every table of a written catalog, as rows; the list form of the same rule names the reports' columns."""
+    return report_column_rows(read_catalog(spark, _catalog_folder(spark, sf_dir), "ericsson"))
 
 
 @check(f"""WITH {TALL_SQL}, cells AS (SELECT DISTINCT file_path, cell_id FROM merged)
