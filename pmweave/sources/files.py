@@ -5,8 +5,10 @@
 
 from __future__ import annotations
 
+import codecs
 import re
 import zlib
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ from pmweave.functions.names import base_name
 XML_GLOB = "*.xml*"
 # First bytes of gzip and zlib data, and an XML declaration.
 COMPRESSED = (b"\x1f\x8b", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
+UTF, LATIN = "UTF-8", "ISO8859-1"
 DECLARED_ENCODING = re.compile(rb"""\s*<\?xml[^>]*encoding=["']([A-Za-z0-9._-]+)["']""")
 
 
@@ -51,11 +54,48 @@ def read_pm_files(spark: SparkSession, path: str, glob: str = XML_GLOB, partitio
 def read_pm_sequence(spark: SparkSession, path: str) -> DataFrame:
     """SequenceFiles of (file name, XML as text, bytes or compressed bytes); one split per file block.
 
-    The container for large backlogs: many documents per file, splittable, nothing to list.
+    The container for large backlogs: many documents per file, splittable, nothing to list. Python only inflates what is
+    compressed and hands bytes over as they are; the JVM makes text of them.
     """
-    pairs = spark.sparkContext.sequenceFile(path).map(lambda kv: (str(kv[0]), text_of(kv[1])))
-    frame = spark.createDataFrame(pairs, "file_path STRING, content STRING", verifySchema=False)
-    return frame.select("file_path", base_name(F.col("file_path")).alias("file_name"), "content")
+    raw = spark.sparkContext.sequenceFile(path).mapPartitions(handed_over)
+    frame = spark.createDataFrame(raw, "file_path STRING, content STRING, body BINARY, latin BOOLEAN", verifySchema=False)
+    decoded = F.when(F.col("latin"), F.decode("body", "ISO-8859-1")).otherwise(F.make_valid_utf8(F.col("body").cast("string")))
+    return frame.select(
+        "file_path", base_name(F.col("file_path")).alias("file_name"), F.coalesce("content", decoded).alias("content"))
+
+
+def handed_over(pairs: Iterator[tuple]) -> Iterator[tuple[str, str | None, bytes | None, bool | None]]:
+    """Documents of one split as (name, text, bytes, whether they are Latin-1): text only where it has no other way."""
+    for name, body in pairs:
+        if isinstance(body, str):
+            yield str(name), body, None, None
+            continue
+        data = plain_bytes(body)
+        charset = declared_charset(data)
+        if charset in (UTF, LATIN):
+            yield str(name), None, data, charset == LATIN
+        else:
+            yield str(name), text_of(data), None, None
+
+
+def plain_bytes(body: bytes | bytearray) -> bytes:
+    """Inflated when compressed; what is cut short stays as it is."""
+    data = bytes(body)
+    if data[:2] in COMPRESSED:
+        try:
+            return inflated(data)
+        except zlib.error:
+            return data
+    return data
+
+
+def declared_charset(data: bytes) -> str:
+    """What the XML declaration says, under one name; UTF-8 where it says nothing that is known."""
+    declared = DECLARED_ENCODING.match(data)
+    try:
+        return codecs.lookup(declared.group(1).decode()).name.upper() if declared else UTF
+    except LookupError:
+        return UTF
 
 
 def inflated(data: bytes) -> bytes:
@@ -78,14 +118,5 @@ def text_of(body: str | bytes | bytearray) -> str:
     """
     if isinstance(body, str):
         return body
-    data = bytes(body)
-    if data[:2] in COMPRESSED:
-        try:
-            data = inflated(data)
-        except zlib.error:
-            return data.decode("utf-8", "replace")
-    declared = DECLARED_ENCODING.match(data)
-    try:
-        return data.decode(declared.group(1).decode() if declared else "utf-8", "replace")
-    except LookupError:
-        return data.decode("utf-8", "replace")
+    data = plain_bytes(body)
+    return data.decode(declared_charset(data), "replace")

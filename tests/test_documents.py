@@ -500,6 +500,18 @@ def test_text_of_bytes():
     assert text_of(gzip.compress(plain)[:20]).startswith("\x1f")
 
 
+def test_bytes_of_a_sequence_file_are_decoded_like_texts(spark, tmp_path):
+    bodies = {
+        "utf": "<mdc>\u00e9\u4e2d</mdc>".encode(), "bad": b"<mdc>\xff\xc3(</mdc>", "zipped": gzip.compress(b"<a/>") + gzip.compress(b"<b/>"),
+        "latin": '<?xml version="1.0" encoding="iso-8859-1"?><mdc>\u00e9</mdc>'.encode("latin-1"),
+        "windows": '<?xml version="1.0" encoding="windows-1252"?><mdc>\u20ac</mdc>'.encode("cp1252"),
+        "unknown": b'<?xml version="1.0" encoding="x-none"?><mdc/>', "empty": b"", "cut": gzip.compress(b"<mdc/>" * 99)[:30]}
+    pairs = spark.sparkContext.parallelize([(k, bytearray(v)) for k, v in bodies.items()])
+    pairs.saveAsSequenceFile(str(tmp_path / "seq"))
+    got = {r.file_path: r.content for r in read_pm_sequence(spark, str(tmp_path / "seq")).collect()}
+    assert {k: v for k, v in got.items() if k != "cut"} == {k: text_of(v) for k, v in bodies.items() if k != "cut"} and got["cut"].startswith("\x1f")
+
+
 def test_command_line(spark, tmp_path):
     (tmp_path / "counters.ini").write_text(LTE_ERIC_INI)
     pairs = spark.sparkContext.parallelize([(ERIC_NAME % "N1", bytearray(gzip.compress(MDC.encode())))])
