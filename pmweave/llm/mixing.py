@@ -19,6 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 TOLERANCE = 1e-9
 MAX_STEPS = 100
 BINS = 1 << 16
+MADE = ["size", "source_size", "target", "rate", "copies", "taken"]
 
 
 def targets(sources: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = CAP) -> DataFrame:
@@ -80,8 +81,8 @@ def balance(sizes: DataFrame, goals: DataFrame, cap: float = CAP) -> DataFrame:
         state = stepped
         worst = state.agg(F.max("miss")).first()[0]
         if worst is None or worst <= TOLERANCE:
-            break
-    return state.select("source", "unit", "lam")
+            return state.select("source", "unit", "lam")
+    raise RuntimeError(f"a source is {worst:.3g} off its target after {MAX_STEPS} steps")
 
 
 def measured(docs: DataFrame) -> DataFrame:
@@ -123,9 +124,10 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: int
     A null or wordless text has size 0 and no copies. Rows that repeat get the same hash and so the
     same copies; a null source is one source. Reruns agree: nothing depends on the order of rows.
     If all texts are empty every target is 0; an empty table stays empty. Other columns of ``docs``
-    stay as they are, but must not have one of the names above.
+    stay as they are, whatever their names; those with one of the names above are replaced.
     """
-    documents = measured(docs)
+    kept = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in MADE])
+    documents = measured(docs.select("doc_id", "text", "source", kept.alias("document")))
     light = stage(documents.select("source", "size", "toss"), "sizes")
     sizes = stage(light.groupBy("source", "size").agg(F.count("*").alias("n")), "counts")
     per_source = sizes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
@@ -137,4 +139,4 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: int
     found = rated(documents, rates, float(cap))
     copies = F.col("whole") + F.coalesce((F.col("bin") <= F.col("shift")).cast("long"), F.lit(0))
     added = {"copies": copies, "taken": copies * F.col("size")}
-    return found.withColumns(added).select(*docs.columns, "size", "source_size", "target", "rate", "copies", "taken")
+    return found.withColumns(added).select("document.*", *MADE)

@@ -104,8 +104,9 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
     found = docs.alias("d").join(changed, same, "left").where(F.coalesce("r.kept", F.lit(True)))
     lines = F.filter(F.split("d.text", "\n", -1), lambda line: ~F.array_contains("r.removed", _line_hash(line)))
     text = F.when(F.col("r.removed").isNull(), F.col("d.text")).otherwise(F.array_join(lines, "\n"))
-    found = found.select(*[(text if c == "text" else F.col(f"d.{c}")).alias(c) for c in docs.columns], F.col("r.removed").isNotNull().alias("_shorter"))
+    shorter = "_" * (1 + max(map(len, docs.columns)))  # longer than any name, so it clashes with none
+    found = found.select(*[(text if c == "text" else F.col(f"d.`{c}`")).alias(c) for c in docs.columns], F.col("r.removed").isNotNull().alias(shorter))
     if "n_chars" in docs.columns:
-        n_chars = F.when(F.col("_shorter"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+        n_chars = F.when(F.col(shorter), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", n_chars)
     return found.select(*docs.columns)

@@ -119,8 +119,7 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
 
     Links are pairs found with at least ``cosine`` (recall is measured in the tests), none below it.
     Equal vectors are one class, linked with each other. Vectors that are null, zero, or hold null or
-    non-finite components link with nothing, and neither do vectors of another length than the most
-    common one, but for equal ones. A null id keeps its row; its component is null if nothing
+    non-finite components link with nothing. Vectors of different lengths have no cosine; each length has an index of its own. A null id keeps its row; its component is null if nothing
     it reaches has an id, and it is never kept. Repeated rows are vectors of their own. No rows give no rows.
     """
     values = F.transform(F.col(vector_col), lambda x: x.cast("double"))
@@ -131,13 +130,12 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
     read = stage(rows.select(F.col(id_col).cast("long").alias("id"), F.when(sound, scaled).alias("vector")), "vectors")
     classes = read.where("vector is not null").groupBy("vector").agg(F.min("id").alias("least"), F.count("*").alias("size"))
     classes = stage(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
-    lengths = classes.groupBy(F.size("vector").alias("dims")).agg(F.sum("size").alias("n")).orderBy(F.desc("n"), "dims").first()
-    usual = classes.where(F.size("vector") == (lengths["dims"] if lengths else 0))
-    points = choose_pivots(usual, pivots, sample)
-    if len(points):
-        found = stage(near_links(usual, points, cosine, nearest, shared, limit), "near")
-    else:
-        found = classes.sparkSession.createDataFrame([], "a long, b long, links_a long")
+    lengths = [r.dims for r in classes.groupBy(F.size("vector").alias("dims")).count().where("count > 1").orderBy("dims").collect()]  # as many as there are lengths
+    found = classes.sparkSession.createDataFrame([], "a long, b long, links_a long")
+    for dims in lengths:
+        mine = classes.where(F.size("vector") == dims)
+        found = found.union(near_links(mine, choose_pivots(mine, pivots, sample), cosine, nearest, shared, limit))
+    found = stage(found, "near")
     outside = found.where("b is null").groupBy(F.col("a").alias("class")).agg(F.sum("links_a").alias("outside"))
     roots = connected(found.where("b is not null"), "a", "b").withColumnRenamed("node", "class")
     joined = classes.join(outside, "class", "left").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))

@@ -301,3 +301,41 @@ def test_united_automata_add_up(spark):
         for k, v in counts(transducers.united(some)).items():
             assert total.setdefault(k, v) == v  # a frequent first word lies in several ranges, with its whole weight in each
     assert total == want
+
+
+# ---- mended earlier operators
+
+def test_vectors_of_every_length_are_linked(spark):
+    from pmweave.llm import vectors
+
+    rows = [(i, [1.0, 0.1 + 0.001 * i, 0.2, 0.3]) for i in range(6)] + [(10, [1.0, 0.1]), (11, [1.0, 0.11]), (12, [0.0, 1.0]), (13, [1.0]), (14, [2.0]), (15, [5.0, 1.0, 0.0])]
+    got = {r.id: (r.n_links, r.component) for r in vectors.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert got == {**{i: (5, 0) for i in range(6)}, 10: (1, 10), 11: (1, 10), 12: (0, 12), 13: (1, 13), 14: (1, 13), 15: (0, 15)}
+
+
+def test_mixing_keeps_columns_whatever_their_names(spark):
+    from pmweave.llm import mixing
+
+    rows = [(i, " ".join(["w"] * (i + 1)), f"s{i % 3}", "mine", "b", "c", 7) for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string, bin string, lam string, document int")
+    mixed = mixing.mix(docs)
+    assert mixed.columns == ["doc_id", "text", "source", "bin", "lam", "document", *mixing.MADE]
+    assert all((r.bin, r.lam, r.document, r["size"]) == ("b", "c", 7, r.doc_id + 1) for r in mixed.collect())
+
+
+def test_mixing_says_so_when_targets_are_not_met(spark, monkeypatch):
+    from pmweave.llm import mixing
+
+    monkeypatch.setattr(mixing, "MAX_STEPS", 1)
+    docs = spark.createDataFrame([(i, "w " * (i + 1), f"s{i % 3}") for i in range(30)], "doc_id long, text string, source string")
+    with pytest.raises(RuntimeError, match="off its target after 1 steps"):
+        mixing.mix(docs)
+
+
+def test_cleaned_documents_keep_columns_whatever_their_names(spark):
+    from pmweave.llm import quality
+
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(i, f"shared line of all\n{words} {i}", "s", "x", "y") for i in range(30)], "doc_id long, text string, source string, _shorter string, removed string")
+    rows = quality.keep_good(docs, max_share=0.0).collect()
+    assert {(r._shorter, r.removed) for r in rows} == {("x", "y")} and sum("shared" in r.text for r in rows) == 1 and len(rows) == 30
