@@ -16,6 +16,11 @@ from pmweave.session import stage
 NEAR_WORDS, NEAR_SIMILARITY = 5, 0.8
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """What operators read, and beside it each row as it is, so that no column of theirs meets one of the table."""
+    return docs.select("doc_id", "text", "source", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("document"))
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share go, and documents that fail the rules or lose most of their words to such lines."""
     return quality.keep_good(docs, max_share=0.0)  # the number of documents alone: a share would spare most lines of a large source
@@ -24,7 +29,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return classifier.classify(docs, labels).where("predicted = 1").select(*docs.columns)
+    return classifier.classify(whole(docs), labels).where("predicted = 1").select("document.*")
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +40,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document is repeated as often as the mix takes it; those it takes no copy of go."""
-    mixed = mixing.mix(docs).where("copies > 0")
-    return mixed.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    mixed = mixing.mix(whole(docs)).where("copies > 0")
+    return mixed.select("document", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("document.*")
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
