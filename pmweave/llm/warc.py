@@ -167,13 +167,12 @@ def _fields(header: bytes, version: bytes) -> dict[str, str]:
 
 
 def records(source, keep_payload: bool = False) -> Iterator[dict]:
-    """The records of a seekable binary file in order. Damage gives a row with ``error``; reading goes on at the next gzip member."""
-    at = 0
-    while True:
-        source.seek(at)
-        raw = source.read(PIECE)
-        if not raw:
-            return
+    """The records of a seekable binary file in order. Damage gives a row with ``error``; reading goes on at the next gzip member.
+
+    What a member leaves of a piece begins the next, so every byte is read once; only damage seeks back. An empty file has no records.
+    """
+    at, held = 0, b""
+    while raw := held or source.read(PIECE):
         inflate, record, taken = zlib.decompressobj(31), _Record(keep_payload), 0
         try:
             while True:
@@ -187,10 +186,12 @@ def records(source, keep_payload: bool = False) -> Iterator[dict]:
                 if not raw:
                     record.feed(inflate.flush())
                     raise WarcError("member cut short")
-            following = at + taken - len(inflate.unused_data)
+            held = inflate.unused_data
+            following = at + taken - len(held)
             found = record.finish()
         except (zlib.error, WarcError, UnicodeDecodeError) as bad:
-            found, following = {"error": f"{type(bad).__name__}: {bad}"}, _next_member(source, at + 1)
+            found, following, held = {"error": f"{type(bad).__name__}: {bad}"}, _next_member(source, at + 1), b""
+            source.seek(following)
         yield {"offset": at, **found}
         at = following
 
@@ -208,7 +209,10 @@ def _next_member(source, at: int) -> int:
 
 
 def read_archives(archives: DataFrame, keep_payload: bool = False, rows_at_once: int = 256) -> DataFrame:
-    """The records of the files named in ``archive``, schema ``RECORD``; one file is read by one task, front to back."""
+    """The records of the files named in ``archive``, schema ``RECORD``; one file is read by one task, front to back.
+
+    Other columns are not looked at, a null path names no file, a path listed twice is read twice, no paths give no records.
+    """
     importable(archives.sparkSession)
     names = [f.split()[0] for f in RECORD.split(", ")]
     kinds = {"offset": pa.int64(), "payload_bytes": pa.int64(), "payload": pa.binary()}
@@ -229,7 +233,7 @@ def read_archives(archives: DataFrame, keep_payload: bool = False, rows_at_once:
                     yield pa.RecordBatch.from_pylist(rows, schema)
 
     n = max(1, archives.count())
-    return archives.select("archive").repartition(n, "archive").mapInArrow(read, RECORD)
+    return archives.select("archive").where("archive is not null").repartition(n, "archive").mapInArrow(read, RECORD)
 
 
 # ---- pages

@@ -71,6 +71,27 @@ def test_warc_reader_goes_on_after_damage():
     assert got[0]["payload"] == b"A" * 5000
 
 
+class Counted(io.BytesIO):
+    taken = 0
+
+    def read(self, size=-1):
+        got = super().read(size)
+        self.taken += len(got)
+        return got
+
+
+def test_warc_reader_reads_every_byte_once():
+    draw = random.Random(14)
+    bodies = [draw.randbytes(draw.choice([0, 1, 300, 5000, 70_000, 200_000])) for _ in range(200)] + [b"\0" * 3_000_000]
+    members = [warc.record_bytes(f"urn:page:{i}", "u", body, None) for i, body in enumerate(bodies)]
+    source = Counted(b"".join(members))
+    got = list(warc.records(source, keep_payload=True))
+    assert [r["payload"] for r in got] == bodies and not [r for r in got if r["error"]]
+    assert [r["offset"] for r in got] == [sum(map(len, members[:i])) for i in range(len(members))]
+    assert source.taken == len(source.getvalue())
+    assert list(warc.records(io.BytesIO(b""))) == []
+
+
 def test_simhash_equals_all_pairs(spark):
     draw = random.Random(5)
     base = [draw.getrandbits(64) for _ in range(30)]
