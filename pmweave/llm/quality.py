@@ -19,8 +19,7 @@ SYMBOLS = r"[^#*$%&|<>]+"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LOST_SHARE = 0.5
-MIN_DOCUMENTS = 20
-MAX_SHARE = 0.01
+MAX_DOCUMENTS = 20
 
 
 def _covered(hashes: Column) -> Column:
@@ -59,31 +58,29 @@ def _line_hash(line: Column) -> Column:
     return F.xxhash64(F.lower(F.trim(F.regexp_replace(line, BLANKS, " "))))
 
 
-def judge(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE, max_lost: float = MAX_LOST_SHARE) -> DataFrame:
+def judge(docs: DataFrame, min_documents: int = MAX_DOCUMENTS, max_lost: float = MAX_LOST_SHARE) -> DataFrame:
     """One row per document: ``doc_id``, ``text_hash``, the base figures, ``n_removed_words`` and ``kept``.
 
     A line is normalised to lower case with single blanks. It is over the limit of its host if more
-    than ``min_documents`` and more than ``max_share`` of the host's documents hold it. Documents with the
+    than ``min_documents`` of the host's documents hold it, however large the host. Documents with the
     same text count as one, and the document of the least id that holds a line keeps it, so a
     group of copies never vanishes as a whole. A document is kept if its base figures pass and lines
     over the limit hold at most ``max_lost`` of its words. Null and empty texts have no words and fail;
     a null source is a host of its own, a null id never keeps a line; rows that repeat are judged alike.
     """
-    return _judged(docs, min_documents, max_share, max_lost).drop("removed")
+    return _judged(docs, min_documents, max_lost).drop("removed")
 
 
-def _judged(docs: DataFrame, min_documents: int = MIN_DOCUMENTS, max_share: float = MAX_SHARE, max_lost: float = MAX_LOST_SHARE) -> DataFrame:
+def _judged(docs: DataFrame, min_documents: int = MAX_DOCUMENTS, max_lost: float = MAX_LOST_SHARE) -> DataFrame:
     """``judge`` with ``removed``, the hashes of the lines that a document loses; null where it loses none."""
     hashed = F.transform("lines", lambda line: F.struct(_line_hash(line).alias("hash"), F.regexp_count(line, F.lit(WORD)).alias("words")))
     figures = text_figures(docs.select("doc_id", "source", "text"))
     columns = ["doc_id", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     rows = stage(figures.select(F.monotonically_increasing_id().alias("row"), F.xxhash64("text").alias("text_hash"), hashed.alias("lines"), *columns), "figures")
     texts = rows.groupBy("source", "text_hash").agg(F.min("doc_id").alias("doc_id"), F.first("lines").alias("lines"))
-    hosts = texts.groupBy("source").agg(F.count("*").alias("documents"))
     held = texts.select("source", "doc_id", F.explode(F.array_distinct(F.transform("lines", lambda x: x["hash"]))).alias("hash"))
     counted = held.groupBy("source", "hash").agg(F.count("*").alias("holders"), F.min("doc_id").alias("keeper")).where(F.col("holders") > min_documents)
-    over = counted.alias("c").join(hosts.alias("h"), F.expr("c.source <=> h.source")).where(F.col("holders") > max_share * F.col("documents"))
-    over = stage(over.select("c.source", "hash", "keeper"), "frequent")
+    over = stage(counted.select("source", "hash", "keeper"), "frequent")
     lines = rows.select("row", "source", "doc_id", F.explode("lines").alias("line")).select("row", "source", "doc_id", "line.hash", "line.words")
     lost = lines.alias("l").join(over.alias("o"), F.expr("l.source <=> o.source and l.hash = o.hash and not (l.doc_id <=> o.keeper)"))
     lost = lost.groupBy("row").agg(F.sum("words").cast("long").alias("n_removed_words"), F.collect_set("l.hash").alias("removed"))

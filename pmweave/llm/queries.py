@@ -106,10 +106,8 @@ WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '')
      lw AS (SELECT *, lower(trim(regexp_replace(line, '[\\x20\\x09-\\x0D]+', ' ', 'g'), ' ')) AS norm,
                    len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words FROM ln WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
      dup AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM lw GROUP BY r),
-     host AS (SELECT source, count(DISTINCT coalesce(id, '')) AS documents FROM d GROUP BY source),
      freq AS (SELECT source, norm, count(DISTINCT coalesce(id, '')) AS holders, min(doc_id) AS keeper FROM lw GROUP BY source, norm),
-     over AS (SELECT f.* FROM freq f JOIN host h ON f.source IS NOT DISTINCT FROM h.source
-              WHERE holders > {quality.MIN_DOCUMENTS} AND holders > {quality.MAX_SHARE} * documents),
+     over AS (SELECT * FROM freq WHERE holders > {quality.MAX_DOCUMENTS}),
      lost AS (SELECT r, sum(words) AS gone FROM lw JOIN over o ON lw.source IS NOT DISTINCT FROM o.source AND lw.norm = o.norm
               AND lw.doc_id IS DISTINCT FROM o.keeper GROUP BY r),
      base AS (SELECT d.r, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(t, '[\\x20\\x09-\\x0D]+', '', 'g'))::BIGINT AS word_chars,

@@ -337,5 +337,5 @@ def test_cleaned_documents_keep_columns_whatever_their_names(spark):
 
     words = " ".join(f"w{i}" for i in range(60))
     docs = spark.createDataFrame([(i, f"shared line of all\n{words} {i}", "s", "x", "y") for i in range(30)], "doc_id long, text string, source string, _shorter string, removed string")
-    rows = quality.keep_good(docs, max_share=0.0).collect()
+    rows = quality.keep_good(docs).collect()
     assert {(r._shorter, r.removed) for r in rows} == {("x", "y")} and sum("shared" in r.text for r in rows) == 1 and len(rows) == 30

@@ -313,6 +313,16 @@ def test_quality_removes_the_lines_over_the_limit(spark):
     assert all(r.n_chars == (len(r.text) if r.doc_id is None or 1 < r.doc_id < 50 else {50: 5, 51: 5}.get(r.doc_id, 0)) for r in got)
 
 
+def test_quality_rejects_by_the_shipped_limits_in_a_hot_source(spark):
+    own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
+    licence = " ".join(f"l{k}" for k in range(70))
+    rows = [(i, own(i) + (f"\n{licence}" if i < 25 else ""), "hot") for i in range(4000)]  # 0.6 % of the source hold the line
+    rows += [(5000 + i, f"{own(5000 + i)}\n{licence}", "small") for i in range(20)]  # the limit itself is not over it
+    got = {r.doc_id: r for r in quality.judge(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert sorted(i for i, r in got.items() if not r.kept) == list(range(1, 25))
+
+
 def test_pipeline_removes_rare_lines_of_a_hot_source(spark):
     own = lambda i: " ".join(f"w{i}x{k}" for k in range(60))
     rows = [(i, own(i) + ("\nnavigation line" if i < 25 else "") + ("\nrare line" if i % 200 == 0 else ""), "hot") for i in range(4000)]
