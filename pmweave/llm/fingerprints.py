@@ -10,6 +10,7 @@ import xxhash
 
 SHINGLE_WORDS = 4
 SEED = 42
+WIDE = ["fp", "more", "most"]  # columns of a wide fingerprint, 64 bits each
 HASHES_AT_ONCE = 1 << 16  # bounds the memory of one very long text
 
 
@@ -73,14 +74,16 @@ def set_name(shingles: np.ndarray) -> bytes:
 
 
 def add_wide_fingerprints(batches: Iterator[pa.RecordBatch], words_each: int) -> Iterator[pa.RecordBatch]:
-    """Rows of (id, text) to rows of (id, same, fp, more): the name of the set of distinct shingles, and its 128 bits in two signed longs."""
+    """Rows of (id, text) to rows of (id, same, *WIDE): the name of the set of distinct shingles, and its 192 bits in three signed longs."""
     for batch in batches:
-        same, halves = [], np.zeros((2, batch.num_rows), np.uint64)
+        same, thirds = [], np.zeros((len(WIDE), batch.num_rows), np.uint64)
         for i, text in enumerate(batch.column(1)):
             shingles = shingle_set(text.as_py(), words_each)
             same.append(set_name(shingles))
-            halves[:, i] = majority(shingles), majority(mixed(shingles))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), *(pa.array(h.view(np.int64)) for h in halves)], names=["id", "same", "fp", "more"])
+            for third in thirds:
+                third[i] = majority(shingles)
+                shingles = mixed(shingles)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(same, pa.binary()), *(pa.array(t.view(np.int64)) for t in thirds)], names=["id", "same", *WIDE])
 
 
 def shingle_set(text: str | None, words_each: int) -> np.ndarray:

@@ -161,6 +161,28 @@ def test_near_copies_equal_all_pairs(spark):
     assert simhash.near_copies(rows.limit(0)).count() == 0 and simhash.keep_one(rows.limit(0)).count() == 0
 
 
+def test_near_copies_by_the_cosine_of_their_sets(spark):
+    draw, words = random.Random(31), [f"word{i}" for i in range(5000)]
+    texts = []
+    for _ in range(60):
+        base = draw.choices(words, k=draw.randint(80, 400))
+        texts.append(" ".join(base))
+        changed = list(base)
+        for at in range(draw.randrange(25), len(base), draw.choice([20, 30, 35, 60])):  # an edit every few dozen words
+            changed[at] = draw.choice(words)
+        texts.append(" ".join(changed))
+        texts.append(" ".join(base[: len(base) // 2] + draw.choices(words, k=len(base) // 2)))  # half of it is no copy
+    own = [set(fingerprints.shingle_set(t, 5).tolist()) for t in texts]
+    links = [(i, j) for i in range(len(own)) for j in range(i) if len(own[i] & own[j]) >= 0.8 * (len(own[i]) * len(own[j])) ** 0.5]
+    want = plain_components(len(texts), links)
+    for limit in (2048, 4):
+        got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), measure="cosine", limit=limit).collect()}
+        assert all(want[got[i]] == want[i] for i in got)
+        assert sum(got[i] != want[i] for i in got) <= 0.1 * sum(want[i] != i for i in got) and len(links) > 30
+    with pytest.raises(ValueError, match="no measure"):
+        simhash.near_copies(spark.createDataFrame([], "doc_id long, text string"), measure="overlap")
+
+
 def test_near_copies_inside_a_large_family(spark):
     """1,500 texts share a passage (0.6 to 0.79 alike); 40 of them have a true copy that is not their nearest in bits."""
     draw, passage = random.Random(21), [f"shared{i}" for i in range(254)]
