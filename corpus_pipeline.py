@@ -34,8 +34,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays. SimHash finds the pairs; they are near
-    duplicates if their sets of five-word shingles have a Jaccard similarity of 0.8 or more."""
-    return simhash.keep_one(docs, words=NEAR_WORDS, similarity=NEAR_SIMILARITY)
+    duplicates if the cosine of their sets of five-word shingles, what SimHash estimates, is 0.8 or more."""
+    return simhash.keep_one(docs, words=NEAR_WORDS, similarity=NEAR_SIMILARITY, measure="cosine")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
