@@ -286,6 +286,30 @@ def test_token_counts_and_ids_of_odd_texts(spark):
     assert bpe.encode(docs.limit(0), RANKS, public_tokenizers.PATTERN, decoded=True).count() == 0
 
 
+@pytest.mark.parametrize("chunk,overlap", [(40, 40), (100, 50), (257, 33)])
+def test_chunks_as_rows_are_stitched_exactly(spark, chunk, overlap):
+    draw = random.Random(chunk)
+    bits = ["a", "b", " ", "  ", "\n", "\n\n", "é", "1", "23", "'s", "!", "...", "<|endoftext|>", "\x1c", "\x85", "\u3000", "中文", "😀", "\t", "word", " the", " longer words"]
+    texts = ["".join(draw.choices(bits, k=draw.choice([3, 40, 300, 900]))) + ("a" * 500 + " b" * 90 if n % 7 == 0 else "") + (" " * 300 + "c" if n % 5 == 0 else "") for n in range(80)]
+    texts += ["x" * (chunk + overlap + d) for d in (-1, 0, 1)] + [" y" * chunk, LONG, None, "", texts[0]]
+    docs = spark.createDataFrame([(i, t, {"k": i}, "n") for i, t in enumerate(texts)], "doc_id long, text string, row map<string,int>, document string")
+    library = bpe.encoding(RANKS, public_tokenizers.PATTERN)
+    got = bpe.encode(docs.repartition(3), RANKS, public_tokenizers.PATTERN, chunk=chunk, overlap=overlap, decoded=True).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+    for r in got:
+        text = texts[r.doc_id] or ""
+        assert np.frombuffer(r.ids, "<u4").tolist() == library.encode_ordinary(text) and bytes(r.decoded).decode() == text
+        assert r.n_tokens == len(r.ids) // 4 and r.row == {"k": r.doc_id} and r.document == "n"
+    with pytest.raises(ValueError, match="overlap"):
+        bpe.encode(docs, RANKS, public_tokenizers.PATTERN, chunk=30, overlap=31)
+
+
+def test_common_border_is_the_last_that_proves_something():
+    earlier, later = np.array([0, 90, 100, 105, 118, 140, 150]), np.array([0, 5, 18, 40, 60])
+    assert bpe.common_border(earlier, later, 100, 150) == (4, 2)  # 140 lies among the last 32 characters
+    assert bpe.common_border(np.array([0, 101, 150]), later, 100, 150) is None
+
+
 def plain_figures(text):
     words = (text or "").encode().split()
     windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
