@@ -1,121 +1,170 @@
 """Quality classifier: random-indexing word vectors, pooled per document, under a two-layer network.
 
-Tokens fall into a fixed number of hash buckets. A bucket has a sparse random index vector, and its
-context vector is the sum of the index vectors of the tokens around it over the whole corpus: tasks
-sum integers over their rows, one grouped sum adds the tasks up, and the table has a fixed size
-whatever the corpus. A document is the mean of its tokens' vectors and a few shares. The network is
-trained in numpy on a bounded sample of labelled documents and its logits are divided by a temperature
-fitted on the part of them that was not trained on.
+A word has a sparse random index vector, drawn from its own hash, and a context vector, the sum of the
+index vectors of the words around it over the whole corpus: tasks sum integers over their rows, one
+grouped sum per word adds the tasks up. Context vectors are used of words that make up at least a given share of all
+words, so their table is bounded by that share whatever the corpus; a rarer word has its index vector alone. A document is the
+mean and the spread of its words' vectors. The network is trained in numpy on a bounded sample of labelled
+documents and its logits are divided by a temperature fitted on the part of them that was not trained on.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pmweave.llm.workers import importable
+from pmweave.session import stage
 
-BUCKETS = 1 << 13
-DIMS = 32
+DIMS = 64
 NONZERO = 8
 REACH = 2
+LEAST_SHARE = 1 / (1 << 16)  # of all words; at most 65,536 words can have it
 MAX_LABELLED = 20_000
-TOKENS_AT_ONCE = 1 << 16
+WORDS_AT_ONCE = 1 << 16
+WORDS_KEPT = 1 << 17  # distinct words a task holds before it hands their sums on
 TOKEN = re.compile(r"\w+|[^\w\s]+")
-PAD = BUCKETS  # a bucket without a vector, between documents
-
-
-def index_vectors() -> np.ndarray:
-    """Ternary vectors with ``NONZERO`` entries per bucket, the same everywhere; zeros for ``PAD``."""
-    draw = np.random.default_rng(7)
-    table = np.zeros((BUCKETS + 1, DIMS), np.int32)
-    for row in table[:BUCKETS]:
-        row[draw.choice(DIMS, NONZERO, replace=False)] = draw.choice((-1, 1), NONZERO)
-    return table
-
-
-class Buckets(dict):
-    """Token to bucket, remembered up to a bound. Case is part of a token: capitals have their own buckets."""
-
-    def __missing__(self, token: str) -> int:
-        if len(self) >= 1 << 17:
-            self.clear()
-        self[token] = found = zlib.crc32(token.encode("utf-8", "surrogatepass")) % BUCKETS
+INPUTS = 4 * DIMS
+
+
+def index_vectors(words: np.ndarray) -> np.ndarray:
+    """Ternary vectors of word hashes: ``NONZERO`` times seven bits of the hash name a place and a sign; draws of one place add up."""
+    vectors, rows = np.zeros((len(words), DIMS), np.int32), np.arange(len(words))
+    for draw in range(NONZERO):
+        bits = (words >> np.uint64(7 * draw)).astype(np.int64)
+        vectors[rows, bits & 63] += 1 - 2 * (bits >> 6 & 1)
+    return vectors
+
+
+class Words(dict):
+    """Words to numbers from 1 on in the order they came, with hashes and index vectors by number; 0 is no word. Case is part of a word."""
+
+    def __init__(self):
+        self.hashes, self.index, self.fresh = np.zeros(1024, np.uint64), np.zeros((1024, DIMS), np.int32), []
+
+    def __missing__(self, word: str) -> int:
+        self[word] = n = len(self) + 1
+        self.fresh.append(xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")))
+        return n
+
+    def numbers(self, text: str | None) -> np.ndarray:
+        """Of the words of a text, those that are new entered into the tables."""
+        found = np.fromiter(map(self.__getitem__, TOKEN.findall(text or "")), np.int32)
+        if self.fresh:
+            first, end = len(self) + 1 - len(self.fresh), len(self) + 1
+            if end > len(self.hashes):
+                more = max(end, 2 * len(self.hashes)) - len(self.hashes)
+                self.hashes = np.concatenate((self.hashes, np.zeros(more, np.uint64)))
+                self.index = np.concatenate((self.index, np.zeros((more, DIMS), np.int32)))
+            self.hashes[first:end] = self.fresh
+            self.index[first:end] = index_vectors(self.hashes[first:end])
+            self.fresh.clear()
         return found
 
 
-def buckets_of(text: str | None, known: Buckets) -> np.ndarray:
-    return np.fromiter(map(known.__getitem__, TOKEN.findall(text or "")), np.uint16)
-
-
 def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(bucket, d0, d1, ...)``: per bucket the sum of the index vectors within ``REACH`` tokens of its tokens, over all texts."""
-    names = [f"d{i}" for i in range(DIMS)]
+    """``(word, n, d0, d1, ...)``: per word (a hash) its occurrences and the sum of the index vectors within ``REACH`` words of them, over all texts."""
+    names = ["n", *(f"d{i}" for i in range(DIMS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, known, total = index_vectors(), Buckets(), np.zeros((BUCKETS, DIMS), np.int64)
-        pad = np.full(REACH, PAD, np.uint16)
+        known, pad = Words(), np.zeros(REACH, np.int32)
+        total = np.zeros((2, DIMS + 1), np.int64)
 
         def add(ids: np.ndarray) -> None:
+            nonlocal total
+            if len(total) <= len(known):
+                total = np.concatenate((total, np.zeros((max(len(total), len(known)), DIMS + 1), np.int64)))
             n = len(ids) - 2 * REACH
-            around = index[ids[:n]]
+            around = known.index[ids[:n]]
             for s in range(1, 2 * REACH + 1):
                 if s != REACH:
-                    around += index[ids[s:s + n]]
+                    around += known.index[ids[s:s + n]]
             middle = ids[REACH:REACH + n]
-            order = np.argsort(middle, kind="stable")  # 16 bits: a radix sort
+            order = np.argsort(middle, kind="stable")
             ordered = middle[order]
             heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-            sums, at = np.add.reduceat(around[order], heads, axis=0), ordered[heads]
-            total[at[at < BUCKETS]] += sums[at < BUCKETS]
+            total[ordered[heads], 1:] += np.add.reduceat(around[order], heads, axis=0)
+            total[ordered[heads], 0] += np.diff(np.append(heads, n))
+
+        def sums() -> pa.RecordBatch:
+            used = 1 + np.flatnonzero(total[1:len(known) + 1, 0])
+            hashes = known.hashes[used].view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(hashes), *(pa.array(total[used, i]) for i in range(DIMS + 1))], names=["word", *names])
 
         held, size = [pad], 0
         for batch in batches:
             for value in batch.column(0):
-                ids = np.concatenate((buckets_of(value.as_py(), known), pad))
-                for at in range(0, len(ids), TOKENS_AT_ONCE):
-                    held.append(ids[at:at + TOKENS_AT_ONCE])
+                ids = np.concatenate((known.numbers(value.as_py()), pad))
+                for at in range(0, len(ids), WORDS_AT_ONCE):
+                    held.append(ids[at:at + WORDS_AT_ONCE])
                     size += len(held[-1])
-                    if size >= TOKENS_AT_ONCE:
+                    if size >= WORDS_AT_ONCE:
                         joined = np.concatenate(held)
                         add(joined)
                         held, size = [joined[-2 * REACH:]], 0  # the neighbourhood goes on there
+                if len(known) >= WORDS_KEPT:  # between two texts
+                    if size:
+                        add(np.concatenate(held))
+                    yield sums()
+                    known, total, held, size = Words(), np.zeros((2, DIMS + 1), np.int64), [pad], 0
         if size:
             add(np.concatenate(held))
-        used = np.flatnonzero(total.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), *(pa.array(total[used, i]) for i in range(DIMS))], names=["bucket", *names])
+        yield sums()
+
+    parts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, ", ".join(f"{n} long" for n in ["word", *names]))
+    return parts.groupBy("word").agg(*[F.sum(n).alias(n) for n in names])
 
-    parts = docs.select(F.col(text_col).alias("text")).mapInArrow(run, ", ".join(f"{n} long" for n in ["bucket", *names]))
-    return parts.groupBy("bucket").agg(*[F.sum(n).alias(n) for n in names])
+
+@dataclass
+class Vectors:
+    """Context vectors of unit length by word hash, hashes in order."""
+
+    hashes: np.ndarray
+    context: np.ndarray
+
+    def of(self, words: Words, numbers: np.ndarray) -> np.ndarray:
+        """Index and context vectors of numbered words; zeros for the context of words without one."""
+        found = np.zeros((len(numbers), 2 * DIMS), np.float32)
+        found[:, :DIMS] = words.index[numbers] / np.sqrt(NONZERO)
+        if len(self.hashes):
+            at = np.minimum(np.searchsorted(self.hashes, words.hashes[numbers]), len(self.hashes) - 1)
+            known = self.hashes[at] == words.hashes[numbers]
+            found[known, DIMS:] = self.context[at[known]]
+        return found
 
 
-def word_vectors(docs: DataFrame, text_col: str = "text") -> np.ndarray:
-    """Index and unit-length context vector of every bucket: a table of fixed size, so it may come to the driver."""
-    context = np.zeros((BUCKETS, DIMS), np.float64)
-    for row in context_sums(docs, text_col).collect():  # at most BUCKETS rows of DIMS numbers
-        context[row[0]] = row[1:]
+def word_vectors(docs: DataFrame, text_col: str = "text", least_share: float = LEAST_SHARE) -> Vectors:
+    """The vectors of words that are at least ``least_share`` of all; there are at most ``1 / least_share``, so they may come to the driver."""
+    sums = stage(context_sums(docs, text_col), "contexts")
+    n = sums.agg(F.sum("n")).first()[0] or 0
+    table = sums.where(F.col("n") >= least_share * n).drop("n").toArrow().sort_by("word")
+    hashes = table.column("word").to_numpy().view(np.uint64)
+    context = np.stack([table.column(f"d{i}").to_numpy() for i in range(DIMS)], axis=1).astype(np.float64)
     context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1.0)
-    return np.hstack((index_vectors()[:BUCKETS] / np.sqrt(NONZERO), context)).astype(np.float32)
+    order = np.argsort(hashes)
+    return Vectors(hashes[order], context[order].astype(np.float32))
 
 
-def features(text: str | None, vectors: np.ndarray, known: Buckets) -> np.ndarray:
-    """Pooled word vectors, and the shares of distinct tokens, distinct pairs and capitals with the length on a log scale."""
-    ids = buckets_of(text, known)
-    n = len(ids)
-    if not n:
-        return np.zeros(vectors.shape[1] + 4, np.float32)
-    pooled = sum(vectors[ids[at:at + TOKENS_AT_ONCE]].sum(axis=0, dtype=np.float64) for at in range(0, n, TOKENS_AT_ONCE)) / n
-    pairs = ids[:-1].astype(np.uint32) * BUCKETS + ids[1:]
-    letters = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-    upper = np.count_nonzero((letters >= 65) & (letters <= 90)) / max(1, np.count_nonzero(((letters | 32) >= 97) & ((letters | 32) <= 122)))
-    return np.append(pooled, (len(np.unique(ids)) / n, len(np.unique(pairs)) / max(1, n - 1), upper, np.log1p(n) / 10)).astype(np.float32)
+def features(text: str | None, vectors: Vectors, words: Words) -> np.ndarray:
+    """Mean and standard deviation of the vectors of a text's words; zeros without words."""
+    if len(words) >= WORDS_KEPT:
+        words.clear()
+    numbers, counts = np.unique(words.numbers(text), return_counts=True)
+    if not len(numbers):
+        return np.zeros(INPUTS, np.float32)
+    total = square = 0.0
+    for at in range(0, len(numbers), WORDS_AT_ONCE):
+        part, n = vectors.of(words, numbers[at:at + WORDS_AT_ONCE]).astype(np.float64), counts[at:at + WORDS_AT_ONCE]
+        total, square = total + n @ part, square + n @ (part * part)
+    mean = total / counts.sum()
+    return np.concatenate((mean, np.sqrt(np.maximum(square / counts.sum() - mean * mean, 0)))).astype(np.float32)
 
 
 @dataclass
@@ -177,14 +226,15 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def score_column(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text") -> Column:
+def score_column(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, id_col: str = "doc_id", text_col: str = "text",
+                 least_share: float = LEAST_SHARE) -> Column:
     """The score of a text as a column over ``docs``, trained on ``labels`` (``doc_id``, ``quality``).
 
     Only texts enter a score. At most ``max_labelled`` labelled documents are learned from, those of the
-    least hash of the id; documents with contrary labels count as label 0. Word vectors cover all of ``docs``.
+    least hash of the id; documents with contrary labels count as label 0. Context sums cover all of ``docs``.
     """
     importable(docs.sparkSession)
-    vectors = word_vectors(docs, text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(word_vectors(docs, text_col, least_share))  # bounded by least_share
 
     known_labels = labels.where(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1) & ~held_out(F.col("doc_id")))
     one_each = known_labels.groupBy("doc_id").agg(F.min("quality").cast("long").alias("quality"))
@@ -192,22 +242,22 @@ def score_column(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")  # bounded by max_labelled
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Buckets()
+        known = Words()
         for batch in batches:
-            rows = [features(v.as_py(), vectors, known).tobytes() for v in batch.column(1)]
+            rows = [features(v.as_py(), shared.value, known).tobytes() for v in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())], names=["doc_id", "quality", "x"])
 
     texts = chosen.select("doc_id", "text", "quality").mapInArrow(measure, "doc_id long, quality long, x binary")
     one_row = texts.groupBy("doc_id").agg(F.min(F.struct("x", "quality")).alias("r")).select("doc_id", "r.x", "r.quality")  # repeated rows count once
     learned = sorted(one_row.collect())  # at most max_labelled rows of fixed size
-    x = np.array([np.frombuffer(r[1], np.float32) for r in learned], np.float64).reshape(len(learned), vectors.shape[1] + 4)
+    x = np.array([np.frombuffer(r[1], np.float32) for r in learned], np.float64).reshape(len(learned), INPUTS)
     net = train(x, np.array([r[2] for r in learned], np.float64))
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = Buckets()
+        known = Words()
         for texts in batches:
-            x = np.array([features(t.as_py(), vectors, known) for t in texts], np.float64).reshape(len(texts), vectors.shape[1] + 4)
+            x = np.array([features(t.as_py(), shared.value, known) for t in texts], np.float64).reshape(len(texts), INPUTS)
             yield pa.array(net.scores(x), pa.float64())
 
     return score(F.col(text_col))

@@ -9,6 +9,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 
 import corpus_pipeline
 from pmweave.llm import bpe, chat, classifier, components, fingerprints, meetings, mixing, quality, simhash, splicing, tokens, urls, vectors, warc
@@ -394,6 +395,41 @@ def test_classifier_learns_without_the_held_out_fold(spark):
     assert {r.score for r in classifier.classify(docs, labels.limit(0)).collect()} == {0.5} and classifier.classify(docs.limit(0), labels).count() == 0
 
 
+def test_context_sums_and_pooling_equal_a_plain_version(spark):
+    draw = random.Random(17)
+    texts = [" ".join(draw.choice(["alpha", "Beta", "c!", "d", "e,f", "日本", "x1"]) + draw.choice(["", "", str(draw.randrange(400))]) for _ in range(draw.randint(0, 90))) for _ in range(120)]
+    texts += [None, "", " ", "one", texts[0]]
+    tokens_of = [classifier.TOKEN.findall(t or "") for t in texts]
+    name = lambda w: xxhash.xxh64_intdigest(w.encode())
+
+    def index(w):
+        vector = np.zeros(classifier.DIMS, np.int64)
+        for k in range(8):
+            vector[name(w) // 128 ** k % 64] += -1 if name(w) // 128 ** k // 64 % 2 else 1
+        return vector
+
+    sums, n = {}, {}
+    for words in tokens_of:
+        for i, w in enumerate(words):
+            near = [index(words[j]) for j in range(max(0, i - 2), min(len(words), i + 3)) if j != i]
+            sums[name(w)] = sums.get(name(w), 0) + sum(near, np.zeros(classifier.DIMS, np.int64))
+            n[name(w)] = n.get(name(w), 0) + 1
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = {r.word % (1 << 64): (r.n, list(r)[2:]) for r in classifier.context_sums(docs).collect()}
+    assert got == {w: (n[w], sums[w].tolist()) for w in n}
+
+    least = 5 / sum(n.values())
+    vectors = classifier.word_vectors(docs, least_share=least)
+    assert vectors.hashes.tolist() == sorted(w for w in n if n[w] >= 5) and len(vectors.hashes) < len(n)
+    unit = {w: sums[w] / max(1.0, np.linalg.norm(sums[w])) if n[w] >= 5 else np.zeros(classifier.DIMS) for w in n}
+    known = classifier.Words()
+    for text, words in zip(texts, tokens_of, strict=True):
+        rows = np.array([np.concatenate((index(w) / 8 ** 0.5, unit[name(w)])) for w in words]).reshape(-1, 2 * classifier.DIMS)
+        want = np.concatenate((rows.mean(axis=0), rows.std(axis=0))) if len(rows) else np.zeros(classifier.INPUTS)
+        assert np.allclose(classifier.features(text, vectors, known), want, atol=1e-4)
+    assert len(classifier.word_vectors(docs.limit(0)).hashes) == 0
+
+
 def test_vectors_reach_most_pairs_and_no_wrong_one(spark):
     draw = np.random.default_rng(4)
     centres = draw.normal(size=(40, 24))
