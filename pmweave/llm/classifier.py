@@ -2,8 +2,8 @@
 
 A word has a sparse random index vector, drawn from its own hash, and a context vector, the sum of the
 index vectors of the words around it over the whole corpus: tasks sum integers over their rows, one
-grouped sum per word adds the tasks up. Context vectors are used of words that make up at least a given share of all
-words, so their table is bounded by that share whatever the corpus; a rarer word has its index vector alone. A document is the
+grouped sum per word adds the tasks up. Words that make up at least a given share of all words, counted before, have
+context vectors, so their table is bounded by that share whatever the corpus; a rarer word has its index vector alone. A document is the
 mean and the spread of its words' vectors. The network is trained in numpy on a bounded sample of labelled
 documents and its logits are divided by a temperature fitted on the part of them that was not trained on.
 """
@@ -11,7 +11,8 @@ documents and its logits are divided by a temperature fitted on the part of them
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,74 +30,120 @@ REACH = 2
 LEAST_SHARE = 1 / (1 << 16)  # of all words; at most 65,536 words can have it
 MAX_LABELLED = 20_000
 WORDS_AT_ONCE = 1 << 16
-WORDS_KEPT = 1 << 17  # distinct words a task holds before it hands their sums on
+WORDS_KEPT = 1 << 17  # distinct words a task holds before it hands on what it has of them
+FRESH_AT_ONCE, TEXTS_AT_ONCE = 1 << 12, 256
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 INPUTS = 4 * DIMS
 
 
 def index_vectors(words: np.ndarray) -> np.ndarray:
     """Ternary vectors of word hashes: ``NONZERO`` times seven bits of the hash name a place and a sign; draws of one place add up."""
-    vectors, rows = np.zeros((len(words), DIMS), np.int32), np.arange(len(words))
+    vectors, rows = np.zeros((len(words), DIMS), np.int8), np.arange(len(words))
     for draw in range(NONZERO):
         bits = (words >> np.uint64(7 * draw)).astype(np.int64)
-        vectors[rows, bits & 63] += 1 - 2 * (bits >> 6 & 1)
+        vectors[rows, bits & 63] += (1 - 2 * (bits >> 6 & 1)).astype(np.int8)
     return vectors
 
 
 class Words(dict):
-    """Words to numbers from 1 on in the order they came, with hashes and index vectors by number; 0 is no word. Case is part of a word."""
+    """Words to numbers from 1 on in the order they came, with hashes, index vectors and places by number; 0 is no word. Case is part of a word.
 
-    def __init__(self):
-        self.hashes, self.index, self.fresh = np.zeros(1024, np.uint64), np.zeros((1024, DIMS), np.int32), []
+    The place of a word is its number, or if ``only`` some hashes (in order) matter, from 1 on among those and 0 for the rest.
+    """
+
+    def __init__(self, only: np.ndarray | None = None):
+        self.only, self.fresh = only, []
+        self.hashes, self.places, self.index = np.zeros(1024, np.uint64), np.zeros(1024, np.int32), np.zeros((1024, DIMS), np.int8)
 
     def __missing__(self, word: str) -> int:
         self[word] = n = len(self) + 1
-        self.fresh.append(xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")))
+        self.fresh.append(word)
         return n
 
     def numbers(self, text: str | None) -> np.ndarray:
-        """Of the words of a text, those that are new entered into the tables."""
-        found = np.fromiter(map(self.__getitem__, TOKEN.findall(text or "")), np.int32)
-        if self.fresh:
-            first, end = len(self) + 1 - len(self.fresh), len(self) + 1
-            if end > len(self.hashes):
-                more = max(end, 2 * len(self.hashes)) - len(self.hashes)
-                self.hashes = np.concatenate((self.hashes, np.zeros(more, np.uint64)))
-                self.index = np.concatenate((self.index, np.zeros((more, DIMS), np.int32)))
-            self.hashes[first:end] = self.fresh
-            self.index[first:end] = index_vectors(self.hashes[first:end])
-            self.fresh.clear()
-        return found
+        """Of the words of a text; ``settle`` enters those that are new into the tables."""
+        return np.fromiter(map(self.__getitem__, TOKEN.findall(text or "")), np.int32)
+
+    def settle(self) -> None:
+        if not self.fresh:
+            return
+        first, end = len(self) + 1 - len(self.fresh), len(self) + 1
+        if end > len(self.hashes):
+            more = max(end, 2 * len(self.hashes)) - len(self.hashes)
+            self.hashes = np.concatenate((self.hashes, np.zeros(more, np.uint64)))
+            self.places = np.concatenate((self.places, np.zeros(more, np.int32)))
+            self.index = np.concatenate((self.index, np.zeros((more, DIMS), np.int8)))
+        self.hashes[first:end] = found = word_hashes(self.fresh)
+        self.places[first:end] = np.arange(first, end) if self.only is None else 1 + positions(self.only, found)
+        self.index[first:end] = index_vectors(found)
+        self.fresh.clear()
+
+
+def word_hashes(words: Iterable[str]) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) for word in words], np.uint64)
+
+
+def positions(hashes: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Of ``wanted`` hashes among ``hashes``, which are in order; -1 for those that are not there."""
+    if not len(hashes):
+        return np.full(len(wanted), -1)
+    at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
+    return np.where(hashes[at] == wanted, at, -1)
+
+
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(word, n)``: how often each word (a hash) occurs in all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter[str] = Counter()
+        for batch in batches:
+            for value in batch.column(0):
+                seen.update(TOKEN.findall(value.as_py() or ""))
+                if len(seen) >= WORDS_KEPT:
+                    yield counted(seen)
+                    seen.clear()
+        yield counted(seen)
+
+    def counted(seen: Counter[str]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(word_hashes(seen).view(np.int64)), pa.array(seen.values(), pa.int64())], names=["word", "n"])
+
+    parts = docs.select(F.col(text_col).cast("string").alias("text")).mapInArrow(run, "word long, n long")
+    return parts.groupBy("word").agg(F.sum("n").alias("n"))
+
 
+def context_sums(docs: DataFrame, text_col: str = "text", only: np.ndarray | None = None) -> DataFrame:
+    """``(word, n, d0, d1, ...)``: per word (a hash) its occurrences and the sum of the index vectors within ``REACH`` words of them, over all texts.
 
-def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(word, n, d0, d1, ...)``: per word (a hash) its occurrences and the sum of the index vectors within ``REACH`` words of them, over all texts."""
+    With ``only`` the words of these hashes (in order) have rows; all words count as neighbours.
+    """
     names = ["n", *(f"d{i}" for i in range(DIMS))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, pad = Words(), np.zeros(REACH, np.int32)
-        total = np.zeros((2, DIMS + 1), np.int64)
+        known, pad = Words(only), np.zeros(REACH, np.int32)
+        total = np.zeros((2 if only is None else len(only) + 1, DIMS + 1), np.int64)
 
         def add(ids: np.ndarray) -> None:
             nonlocal total
-            if len(total) <= len(known):
+            known.settle()
+            if only is None and len(total) <= len(known):
                 total = np.concatenate((total, np.zeros((max(len(total), len(known)), DIMS + 1), np.int64)))
             n = len(ids) - 2 * REACH
-            around = known.index[ids[:n]]
-            for s in range(1, 2 * REACH + 1):
-                if s != REACH:
-                    around += known.index[ids[s:s + n]]
-            middle = ids[REACH:REACH + n]
-            order = np.argsort(middle, kind="stable")
-            ordered = middle[order]
+            place = known.places[ids[REACH:REACH + n]]
+            used = np.flatnonzero(place)
+            if not len(used):
+                return
+            order = used[np.argsort(place[used], kind="stable")]
+            vectors = known.index[ids]
+            around = sum(vectors[s:s + n] for s in range(2 * REACH + 1) if s != REACH)  # at most 2 * REACH * NONZERO, so 8 bits hold it
+            ordered = place[order]
             heads = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-            total[ordered[heads], 1:] += np.add.reduceat(around[order], heads, axis=0)
-            total[ordered[heads], 0] += np.diff(np.append(heads, n))
+            total[ordered[heads], 1:] += np.add.reduceat(around[order].astype(np.int32), heads, axis=0)
+            total[ordered[heads], 0] += np.diff(np.append(heads, len(order)))
 
         def sums() -> pa.RecordBatch:
-            used = 1 + np.flatnonzero(total[1:len(known) + 1, 0])
-            hashes = known.hashes[used].view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(hashes), *(pa.array(total[used, i]) for i in range(DIMS + 1))], names=["word", *names])
+            used = np.flatnonzero(total[:, 0])
+            hashes = known.hashes[used] if only is None else only[used - 1]
+            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), *(pa.array(total[used, i]) for i in range(DIMS + 1))], names=["word", *names])
 
         held, size = [pad], 0
         for batch in batches:
@@ -112,8 +159,10 @@ def context_sums(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 if len(known) >= WORDS_KEPT:  # between two texts
                     if size:
                         add(np.concatenate(held))
-                    yield sums()
-                    known, total, held, size = Words(), np.zeros((2, DIMS + 1), np.int64), [pad], 0
+                    if only is None:
+                        yield sums()
+                        total = np.zeros((2, DIMS + 1), np.int64)
+                    known, held, size = Words(only), [pad], 0
         if size:
             add(np.concatenate(held))
         yield sums()
@@ -132,19 +181,21 @@ class Vectors:
     def of(self, words: Words, numbers: np.ndarray) -> np.ndarray:
         """Index and context vectors of numbered words; zeros for the context of words without one."""
         found = np.zeros((len(numbers), 2 * DIMS), np.float32)
-        found[:, :DIMS] = words.index[numbers] / np.sqrt(NONZERO)
-        if len(self.hashes):
-            at = np.minimum(np.searchsorted(self.hashes, words.hashes[numbers]), len(self.hashes) - 1)
-            known = self.hashes[at] == words.hashes[numbers]
-            found[known, DIMS:] = self.context[at[known]]
+        found[:, :DIMS] = words.index[numbers] / np.float32(np.sqrt(NONZERO))
+        at = positions(self.hashes, words.hashes[numbers])
+        found[at >= 0, DIMS:] = self.context[at[at >= 0]]
         return found
 
 
 def word_vectors(docs: DataFrame, text_col: str = "text", least_share: float = LEAST_SHARE) -> Vectors:
-    """The vectors of words that are at least ``least_share`` of all; there are at most ``1 / least_share``, so they may come to the driver."""
-    sums = stage(context_sums(docs, text_col), "contexts")
-    n = sums.agg(F.sum("n")).first()[0] or 0
-    table = sums.where(F.col("n") >= least_share * n).drop("n").toArrow().sort_by("word")
+    """The vectors of words that are at least ``least_share`` of all; there are at most ``1 / least_share``, so they may come to the driver.
+
+    Words are counted first, so that tasks sum up and shuffle the contexts of these words alone.
+    """
+    counts = stage(word_counts(docs, text_col), "words")
+    n = counts.agg(F.sum("n")).first()[0] or 0
+    only = np.sort(counts.where(F.col("n") >= least_share * n).select("word").toArrow().column("word").to_numpy().view(np.uint64))
+    table = context_sums(docs, text_col, only).drop("n").toArrow()
     hashes = table.column("word").to_numpy().view(np.uint64)
     context = np.stack([table.column(f"d{i}").to_numpy() for i in range(DIMS)], axis=1).astype(np.float64)
     context /= np.maximum(np.linalg.norm(context, axis=1, keepdims=True), 1.0)
@@ -154,9 +205,30 @@ def word_vectors(docs: DataFrame, text_col: str = "text", least_share: float = L
 
 def features(text: str | None, vectors: Vectors, words: Words) -> np.ndarray:
     """Mean and standard deviation of the vectors of a text's words; zeros without words."""
-    if len(words) >= WORDS_KEPT:
-        words.clear()
-    numbers, counts = np.unique(words.numbers(text), return_counts=True)
+    return all_features([text], vectors, words)[0]
+
+
+def all_features(texts: Iterable[str | None], vectors: Vectors, words: Words) -> np.ndarray:
+    """A row of ``features`` per text; new words are entered for some texts at once."""
+    rows, held = [], []
+
+    def pool() -> None:
+        words.settle()
+        rows.extend(pooled(numbers, vectors, words) for numbers in held)
+        held.clear()
+        if len(words) >= WORDS_KEPT:
+            words.clear()
+
+    for text in texts:
+        held.append(words.numbers(text))
+        if len(words.fresh) >= FRESH_AT_ONCE or len(words) >= WORDS_KEPT or len(held) == TEXTS_AT_ONCE:
+            pool()
+    pool()
+    return np.array(rows, np.float32).reshape(len(rows), INPUTS)
+
+
+def pooled(numbers: np.ndarray, vectors: Vectors, words: Words) -> np.ndarray:
+    numbers, counts = np.unique(numbers, return_counts=True)
     if not len(numbers):
         return np.zeros(INPUTS, np.float32)
     total = square = 0.0
@@ -244,7 +316,7 @@ def score_column(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Words()
         for batch in batches:
-            rows = [features(v.as_py(), shared.value, known).tobytes() for v in batch.column(1)]
+            rows = [x.tobytes() for x in all_features((v.as_py() for v in batch.column(1)), shared.value, known)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())], names=["doc_id", "quality", "x"])
 
     texts = chosen.select("doc_id", "text", "quality").mapInArrow(measure, "doc_id long, quality long, x binary")
@@ -257,8 +329,8 @@ def score_column(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = Words()
         for texts in batches:
-            x = np.array([features(t.as_py(), shared.value, known) for t in texts], np.float64).reshape(len(texts), INPUTS)
-            yield pa.array(net.scores(x), pa.float64())
+            x = all_features((t.as_py() for t in texts), shared.value, known)
+            yield pa.array(net.scores(x.astype(np.float64)), pa.float64())
 
     return score(F.col(text_col))
 

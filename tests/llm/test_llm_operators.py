@@ -430,6 +430,25 @@ def test_context_sums_and_pooling_equal_a_plain_version(spark):
     assert len(classifier.word_vectors(docs.limit(0)).hashes) == 0
 
 
+def test_counted_words_bound_the_context_sums(spark, monkeypatch):
+    draw = random.Random(23)
+    texts = [" ".join(draw.choice(["the", "Of", "x,y", "日本"]) + draw.choice(["", str(draw.randrange(60))]) for _ in range(draw.randint(0, 70))) for _ in range(90)] + [None, "", "the"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string")
+    everything = {r.word: tuple(r) for r in classifier.context_sums(docs).collect()}
+    counts = {r.word: r.n for r in classifier.word_counts(docs).collect()}
+    assert counts == {w: r[1] for w, r in everything.items()}
+    only = np.sort(np.array([w for w, n in counts.items() if n >= 8] + [12345], np.int64).view(np.uint64))
+    got = {r.word: tuple(r) for r in classifier.context_sums(docs, only=only).collect()}
+    assert got == {w: r for w, r in everything.items() if counts[w] >= 8} and 3 < len(got) < len(counts)
+    assert classifier.context_sums(docs, only=only[:0]).count() == 0 and classifier.word_counts(docs.limit(0)).count() == 0
+    vectors = classifier.word_vectors(docs, least_share=8 / sum(counts.values()))
+    alone = [classifier.features(t, vectors, classifier.Words()) for t in texts]
+    for fresh, kept in ((1, 1 << 17), (1 << 12, 40)):  # tables filled text by text, and emptied again and again
+        monkeypatch.setattr(classifier, "FRESH_AT_ONCE", fresh)
+        monkeypatch.setattr(classifier, "WORDS_KEPT", kept)
+        assert np.array_equal(classifier.all_features(texts, vectors, classifier.Words()), alone)
+
+
 def test_vectors_reach_most_pairs_and_no_wrong_one(spark):
     draw = np.random.default_rng(4)
     centres = draw.normal(size=(40, 24))
