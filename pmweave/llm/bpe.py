@@ -41,6 +41,15 @@ def encoding(path: str, pattern: str):
     return _encodings[path, pattern]
 
 
+def packed(data: bytes) -> bytes:
+    """Zstandard with the size in front; what is shuffled twice is packed once."""
+    return len(data).to_bytes(4, "little") + pa.Codec("zstd").compress(data, asbytes=True)
+
+
+def unpacked(data: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(data[4:], int.from_bytes(data[:4], "little"), asbytes=True)
+
+
 @lru_cache(maxsize=8)
 def splitter(pattern: str):
     # \s of the rank files' library is the Unicode property; here it would take four control characters more
@@ -79,7 +88,7 @@ def encode_long(path: str, pattern: str, text: str, chunk: int = splicing.CHUNK,
 def chunks(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """``(row, document, text)`` rows as ``(row, k, document, text)``: chunk ``k`` begins at ``k * chunk`` and reaches ``overlap`` into the next.
 
-    The last ends the text. Only the first brings the ``document`` along.
+    The last ends the text. Only the first brings the ``document`` along. Texts of chunks are packed UTF-8.
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -90,20 +99,20 @@ def chunks(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
                 for k in range(max(1, -((overlap - len(text)) // chunk))):
                     at.append(i)
                     ks.append(k)
-                    parts.append(text[k * chunk:(k + 1) * chunk + overlap])
+                    parts.append(packed(text[k * chunk:(k + 1) * chunk + overlap].encode()))
                     if len(parts) == ROWS_AT_ONCE:
                         yield rows(batch, at, ks, parts)
                         at, ks, parts = [], [], []
             if parts:
                 yield rows(batch, at, ks, parts)
 
-    def rows(batch: pa.RecordBatch, at: list[int], ks: list[int], parts: list[str]) -> pa.RecordBatch:
+    def rows(batch: pa.RecordBatch, at: list[int], ks: list[int], parts: list[bytes]) -> pa.RecordBatch:
         first = pa.array([None if k else i for i, k in zip(at, ks, strict=True)], pa.int64())
         return pa.RecordBatch.from_arrays([
-            batch.column("row").take(pa.array(at, pa.int64())), pa.array(ks, pa.int32()), batch.column("document").take(first), pa.array(parts, pa.string()),
+            batch.column("row").take(pa.array(at, pa.int64())), pa.array(ks, pa.int32()), batch.column("document").take(first), pa.array(parts, pa.binary()),
         ], names=["row", "k", "document", "text"])
 
-    return long.select("row", "document", "text").mapInArrow(cut, _schema(long, "row long, k int", "text string"))
+    return long.select("row", "document", "text").mapInArrow(cut, _schema(long, "row long, k int", "text binary"))
 
 
 def _schema(rows: DataFrame, before: str, after: str) -> StructType:
@@ -172,7 +181,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", chu
     def pretokenise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter(pattern).findall
         for batch in batches:
-            widths = [np.fromiter(map(len, split(t.as_py())), "<u2").tobytes() for t in batch.column("text")]
+            widths = [packed(np.fromiter(map(len, split(unpacked(t.as_py()).decode())), "<u2").tobytes()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(widths, pa.binary())], names=["row", "k", "document", "text", "widths"])
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,8 +193,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", chu
                         documents.append(head)
                         ids.append(stitched(parts, borders, chunk, path, pattern, known))
                     now, head, parts, borders = row, batch.column("document").slice(i, 1), [], []
-                parts.append(text.as_py())
-                borders.append(np.concatenate(([0], np.cumsum(np.frombuffer(widths.as_py(), "<u2"), dtype=np.int64))))
+                parts.append(unpacked(text.as_py()).decode())
+                borders.append(np.concatenate(([0], np.cumsum(np.frombuffer(unpacked(widths.as_py()), "<u2"), dtype=np.int64))))
             if documents:
                 yield finished(pa.concat_arrays(documents), ids)
                 documents, ids = [], []
@@ -194,7 +203,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text_col: str = "text", chu
 
     short = rows.where(F.length("text") <= chunk).mapInArrow(whole, schema)
     dealt = chunks(rows.where(F.length("text") > chunk), chunk, overlap).repartition("row", "k")
-    split_up = dealt.mapInArrow(pretokenise, _schema(rows, "row long, k int", "text string, widths binary"))
+    split_up = dealt.mapInArrow(pretokenise, _schema(rows, "row long, k int", "text binary, widths binary"))
     long = split_up.repartition("row").sortWithinPartitions("row", "k").mapInArrow(join, schema)
     return short.unionAll(long).select(*[F.col(f"document.c{i}").alias(c) for i, c in enumerate(kept)], *added)
 
