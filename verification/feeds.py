@@ -19,11 +19,12 @@ EVENTS_PER_DOCUMENT = 64
 _landed: dict[tuple[str, str, str], str] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame, at_once: int | None = None) -> DataFrame:
+def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame, row_group: int | None = None) -> DataFrame:
     """Documents as a table in the shared folder, written once per session.
 
-    Operators start from landed documents, so writing them is kept out of their plans. ``at_once`` bounds how many
-    documents are read, and so parsed, at the same time.
+    Operators start from landed documents, so writing them is kept out of their plans. ``row_group`` is for documents
+    of megabytes, which come in partitions of their own making: they are written as they come, and the writer looks after
+    every one of them, not after a hundred, whether so many bytes are full. A reader holds a row group's texts at a time.
     """
     key = (spark.sparkContext.applicationId, sf_dir, kind)
     if key in _landed:
@@ -32,9 +33,12 @@ def landed(spark: SparkSession, sf_dir: str, kind: str, documents: DataFrame, at
         except AnalysisException:
             pass  # the shared folder was cleared since; land again
     folder = shared_folder(spark, f"documents-{kind}")
-    # a landing zone is many files, so reading it uses every core
-    files = min(spark.sparkContext.defaultParallelism, at_once or spark.sparkContext.defaultParallelism)
-    documents.repartition(files).write.parquet(folder)
+    if row_group:
+        every_row = {f"parquet.{what}.size.row.check.{end}": 1 for what in ("page", "block") for end in ("min", "max")}
+        documents.write.options(**{"parquet.block.size": row_group, **every_row}).parquet(folder)
+    else:
+        # a landing zone is many files, so reading it uses every core
+        documents.repartition(spark.sparkContext.defaultParallelism).write.parquet(folder)
     _landed[key] = folder
     return spark.read.parquet(folder)
 
@@ -169,6 +173,8 @@ def collec_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 WIDE_COUNTERS, WIDE_CELLS = 535, 1000
 WIDE_BYTES = 400 << 20  # what parsing one such document may take at a time
+WIDE_AT_ONCE = 4  # documents that one task writes
+WIDE_ROW_GROUP = 1 << 20  # compressed; one or two such documents
 FIRST_BLOCK, SECOND_BLOCK = (0, 399), (300, WIDE_COUNTERS - 1)
 WIDE_SQL = f"""
 cell AS (SELECT c_custkey // {WIDE_CELLS} AS doc, c_custkey AS cell, abs(CAST(round(c_acctbal * 100) AS BIGINT)) AS raw FROM customer),
@@ -185,27 +191,40 @@ def wide_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The first block leaves every third cell out; counters of both blocks have the value of the second.
     """
-    raw, cell = F.col("raw"), F.col("cell")
+    def block(c: Column, first: int, last: int, factor: int, modulus: int, cells: Column) -> Column:
+        values = F.transform(F.sequence(F.lit(first), F.lit(last)), lambda j: text("<r>", (c["raw"] + j * factor) % modulus, "</r>"))
+        return F.when(cells, text("<mv><moid>ManagedElement=1,RncFunction=1,UtranCell=U", c["cell"], "</moid>", F.array_join(values, ""), "</mv>"))
 
-    def block(first: int, last: int, factor: int, modulus: int, cells: Column) -> Column:
-        values = F.transform(F.sequence(F.lit(first), F.lit(last)), lambda j: text("<r>", (raw + j * factor) % modulus, "</r>"))
-        return F.when(cells, text("<mv><moid>ManagedElement=1,RncFunction=1,UtranCell=U", cell, "</moid>", F.array_join(values, ""), "</mv>"))
+    def blocks(c: Column) -> Column:
+        return F.struct(
+            c["cell"].alias("cell"), block(c, *FIRST_BLOCK, 7, 1009, c["cell"] % 3 != 0).alias("one"),
+            block(c, *SECOND_BLOCK, 11, 997, F.lit(True)).alias("two"))
 
     def opened(first: int, last: int) -> str:
         return "<md><mi>" + "".join(f"<mt>pmW{j}</mt>" for j in range(first, last + 1))
 
     rows = table(spark, sf_dir, "customer").select(
         F.expr(f"c_custkey div {WIDE_CELLS}").alias("doc"), F.col("c_custkey").alias("cell"), F.abs(scaled("c_acctbal")).alias("raw"))
-    both = rows.select(
-        "doc", "cell", block(*FIRST_BLOCK, 7, 1009, cell % 3 != 0).alias("one"), block(*SECOND_BLOCK, 11, 997, F.lit(True)).alias("two"))
-    gathered = both.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("cell", "one", "two"))).alias("cells"))
+    # numbers are gathered, not texts; a task then writes the texts of its few documents one after another
+    gathered = rows.repartition(_wide_files(spark, rows), "doc").groupBy("doc").agg(F.collect_list(F.struct("cell", "raw")).alias("cells"))
+    written = gathered.select("doc", F.array_sort(F.transform("cells", blocks)).alias("cells"))
     name = eric_name(F.col("doc"))
     content = text(
         "<mdc>", opened(*FIRST_BLOCK), F.array_join(F.col("cells")["one"], "\n"), "</mi></md>",
         opened(*SECOND_BLOCK), F.array_join(F.col("cells")["two"], "\n"), "</mi></md></mdc>")
-    documents = gathered.select("doc", name.alias("file_path"), name.alias("file_name"), content.alias("content"))
-    memory = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
-    return landed(spark, sf_dir, "wide", documents.coalesce(max(1, memory // WIDE_BYTES)), max(1, memory // WIDE_BYTES))
+    documents = written.select("doc", name.alias("file_path"), name.alias("file_name"), content.alias("content"))
+    return landed(spark, sf_dir, "wide", documents, WIDE_ROW_GROUP)
+
+
+def _wide_files(spark: SparkSession, rows: DataFrame) -> int:
+    """Files that wide documents land in: as many as it takes to have few documents in each.
+
+    In a local session all of them are parsed in this process, so there are no more than its memory can have parsed at once.
+    """
+    context = spark.sparkContext
+    if context.master == "local" or context.master.startswith("local["):
+        return max(1, min(context.defaultParallelism, spark._jvm.java.lang.Runtime.getRuntime().maxMemory() // WIDE_BYTES))
+    return max(context.defaultParallelism, -(-rows.count() // (WIDE_CELLS * WIDE_AT_ONCE)))
 
 
 def nokia_name(doc: Column) -> Column:
