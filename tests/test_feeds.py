@@ -18,3 +18,12 @@ def test_wide_documents_land_a_few_to_a_row_group(spark, tmp_path):
     files = {f.removeprefix("file://") for f in landed.inputFiles()}
     groups = [m.row_group(i).num_rows for m in map(pq.read_metadata, files) for i in range(m.num_row_groups)]
     assert sum(groups) == 12 and max(groups) <= 2
+
+
+def test_wide_documents_spread_over_files_by_their_number(spark):
+    class Cluster:
+        class sparkContext:
+            master, defaultParallelism = "spark://somewhere:7077", 12
+
+    assert feeds._wide_files(Cluster, spark.range(900_000)) == 225
+    assert feeds._wide_files(Cluster, spark.range(1_500)) == 12
