@@ -3,7 +3,7 @@
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
-from verification import feeds
+from verification import feeds, queries_documents
 
 
 def customers(spark, folder, documents):
@@ -27,3 +27,13 @@ def test_wide_documents_spread_over_files_by_their_number(spark):
 
     assert feeds._wide_files(Cluster, spark.range(900_000)) == 225
     assert feeds._wide_files(Cluster, spark.range(1_500)) == 12
+
+
+def test_counters_beyond_the_catalog_are_told_of_every_type(spark, tmp_path):
+    kinds = F.array(*[F.lit(t) for t in queries_documents.TYPES])
+    spark.range(128).select(
+        F.col("id").alias("event_id"), (F.col("id") % 7).alias("user_id"), F.get(kinds, (F.col("id") % 5).cast("int")).alias("event_type"),
+        (F.col("id") / 4).alias("value")).write.parquet(f"{tmp_path}/events.parquet")
+    found = queries_documents.elements_not_used(spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in found} == {
+        (doc, *of) for doc in (0, 1) for of in (("lte_cell_avail", "M8020C77"), ("lte_isys_ho_utran_nb", "M8017C9"))}
