@@ -3,6 +3,7 @@
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
+from pmweave.sources import read_pm_files
 from verification import feeds, queries_documents
 
 
@@ -37,3 +38,13 @@ def test_counters_beyond_the_catalog_are_told_of_every_type(spark, tmp_path):
     found = queries_documents.elements_not_used(spark, str(tmp_path)).collect()
     assert {tuple(r) for r in found} == {
         (doc, *of) for doc in (0, 1) for of in (("lte_cell_avail", "M8020C77"), ("lte_isys_ho_utran_nb", "M8017C9"))}
+
+
+def test_written_documents_share_folders_and_keep_their_numbers(spark):
+    number = F.when(F.col("id") < 1500, F.col("id") - 1)
+    documents = spark.range(1501).select(number.alias("doc"), F.concat(F.lit("<mdc>"), F.col("id").cast("string")).alias("content"))
+    folder = feeds.written_documents(spark, documents)
+    files = read_pm_files(spark, folder, "*.txt.gz", partitioned=True)
+    rows = {r.content: r.doc for r in files.select(F.trim(F.translate("content", "\n", "")).alias("content"), feeds.doc_of_path()).collect()}
+    assert rows == {f"<mdc>{i}": str(i - 1) if i < 1500 else None for i in range(1501)}
+    assert files.select("block").distinct().count() == 3

@@ -7,13 +7,19 @@ with the data or with a hot user. Every event becomes one measured object.
 
 from __future__ import annotations
 
+import gzip
+import os
+import uuid
+from collections.abc import Iterator
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pmweave.session import shared_folder
 
 EVENTS_PER_DOCUMENT = 64
+DOCUMENTS_PER_FOLDER = 1024
 
 # Folders of documents already written, by session, table folder and kind.
 _landed: dict[tuple[str, str, str], str] = {}
@@ -336,12 +342,39 @@ def cut_short(documents: DataFrame) -> DataFrame:
 
 
 def written_documents(spark: SparkSession, documents: DataFrame) -> str:
-    """Documents as gzip files, one each, in the shared folder: ``doc=<n>/part-....txt.gz``."""
-    folder = shared_folder(spark, "landing")
-    documents.select("doc", "content").write.partitionBy("doc").option("compression", "gzip").text(folder)
+    """Documents as gzip files, one each, in the shared folder: ``block=<n>/doc=<n>.txt.gz``.
+
+    Every file that Hadoop's local file system makes costs a process for its permissions, every folder another and a
+    listing. So where the shared folder is a mounted one, tasks write the files themselves, a thousand to a folder;
+    elsewhere Spark writes ``doc=<n>/part-....txt.gz``. ``doc_of_path`` reads both.
+    """
+    folder, rows = shared_folder(spark, "landing"), documents.select("doc", "content")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.getScheme() != "file":
+        rows.write.partitionBy("doc").option("compression", "gzip").text(folder)
+        return folder
+    root = path.toUri().getPath()
+    os.makedirs(root)
+
+    def write(some: Iterator[Row]) -> None:
+        for doc, content in some:
+            block = f"{root}/block={-1 if doc is None else doc // DOCUMENTS_PER_FOLDER}"
+            os.makedirs(block, exist_ok=True)
+            unfinished = f"{block}/.{uuid.uuid4().hex}"  # hidden; a task that is tried again writes the same files
+            with open(unfinished, "wb") as file:
+                file.write(gzip.compress(f"{content or ''}\n".encode()))
+            os.replace(unfinished, f"{block}/doc={'none' if doc is None else doc}.txt.gz")
+
+    rows.foreachPartition(write)
     return folder
 
 
+def doc_of_path() -> Column:
+    """The number of a written document, null where it has none."""
+    return F.nullif(F.regexp_extract("file_path", "/doc=(-?[0-9]+)[./]", 1), F.lit("")).alias("doc")
+
+
 def tall_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``pm_long`` straight from ``events``: file = day, cell = user, counter = event type, order = id."""
     events = table(spark, sf_dir, "events")

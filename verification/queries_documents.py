@@ -85,7 +85,7 @@ def read_pm_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
 def read_pm_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents through a folder of gzip files."""
     folder = feeds.written_documents(spark, feeds.mdc_documents(spark, sf_dir))
-    return _tall(shred_md(read_files(spark, folder, "*.txt.gz", partitioned=True)))
+    return _tall(shred_md(read_files(spark, folder, "*.txt.gz", partitioned=True).withColumn("doc", feeds.doc_of_path())))
 
 
 @check(TALL_SQL)
@@ -95,8 +95,7 @@ def stream_pm_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, checkpoint = shared_folder(spark, "landed"), shared_folder(spark, "offsets")
 
     def job(files: DataFrame, batch: str) -> None:
-        doc = F.regexp_extract("file_path", "doc=([0-9]+)/", 1)
-        _tall(shred_md(files.withColumn("doc", doc))).write.mode("overwrite").parquet(f"{out}/{batch}")
+        _tall(shred_md(files.withColumn("doc", feeds.doc_of_path()))).write.mode("overwrite").parquet(f"{out}/{batch}")
 
     for _ in range(2):
         land_batches(stream_files(spark, folder, "*.txt.gz"), checkpoint, job).awaitTermination()
