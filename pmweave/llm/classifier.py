@@ -178,12 +178,18 @@ class Vectors:
     hashes: np.ndarray
     context: np.ndarray
 
-    def of(self, words: Words, numbers: np.ndarray) -> np.ndarray:
-        """Index and context vectors of numbered words; zeros for the context of words without one."""
-        found = np.zeros((len(numbers), 2 * DIMS), np.float32)
-        found[:, :DIMS] = words.index[numbers] / np.float32(np.sqrt(NONZERO))
-        at = positions(self.hashes, words.hashes[numbers])
-        found[at >= 0, DIMS:] = self.context[at[at >= 0]]
+    def of(self, words: Words, numbers: np.ndarray, dtype: type = np.float32) -> np.ndarray:
+        """Index and context vectors of numbered words; zeros for the context of words without one.
+
+        ``words`` that have their places among these hashes need not be looked up again.
+        """
+        found = np.empty((len(numbers), 2 * DIMS), dtype)
+        np.divide(words.index[numbers], np.float32(np.sqrt(NONZERO)), out=found[:, :DIMS], dtype=np.float32)
+        at = words.places[numbers] - 1 if words.only is self.hashes else positions(self.hashes, words.hashes[numbers])
+        none = at < 0
+        if len(self.hashes):
+            found[:, DIMS:] = self.context[at]  # the last one stands in for none
+        found[none, DIMS:] = 0
         return found
 
 
@@ -233,7 +239,7 @@ def pooled(numbers: np.ndarray, vectors: Vectors, words: Words) -> np.ndarray:
         return np.zeros(INPUTS, np.float32)
     total = square = 0.0
     for at in range(0, len(numbers), WORDS_AT_ONCE):
-        part, n = vectors.of(words, numbers[at:at + WORDS_AT_ONCE]).astype(np.float64), counts[at:at + WORDS_AT_ONCE]
+        part, n = vectors.of(words, numbers[at:at + WORDS_AT_ONCE], np.float64), counts[at:at + WORDS_AT_ONCE]
         total, square = total + n @ part, square + n @ (part * part)
     mean = total / counts.sum()
     return np.concatenate((mean, np.sqrt(np.maximum(square / counts.sum() - mean * mean, 0)))).astype(np.float32)
@@ -314,7 +320,7 @@ def score_column(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
     chosen = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")  # bounded by max_labelled
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
+        known = Words(shared.value.hashes)
         for batch in batches:
             rows = [x.tobytes() for x in all_features((v.as_py() for v in batch.column(1)), shared.value, known)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(rows, pa.binary())], names=["doc_id", "quality", "x"])
@@ -327,7 +333,7 @@ def score_column(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LAB
 
     @F.arrow_udf("double")
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = Words()
+        known = Words(shared.value.hashes)
         for texts in batches:
             x = all_features((t.as_py() for t in texts), shared.value, known)
             yield pa.array(net.scores(x.astype(np.float64)), pa.float64())

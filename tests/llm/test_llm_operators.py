@@ -449,6 +449,18 @@ def test_counted_words_bound_the_context_sums(spark, monkeypatch):
         assert np.array_equal(classifier.all_features(texts, vectors, classifier.Words()), alone)
 
 
+def test_vectors_are_not_looked_up_again_for_words_with_places(monkeypatch):
+    hashes = np.sort(classifier.word_hashes(["one", "two", "three"]))
+    vectors = classifier.Vectors(hashes, np.arange(3 * classifier.DIMS, dtype=np.float32).reshape(3, -1))
+    looked_up, placed = classifier.Words(), classifier.Words(vectors.hashes)
+    numbers = [words.numbers("one more two of three") for words in (looked_up, placed)]
+    looked_up.settle(), placed.settle()
+    want = vectors.of(looked_up, numbers[0])
+    assert np.count_nonzero(want[:, classifier.DIMS:].any(axis=1)) == 3
+    monkeypatch.setattr(classifier, "positions", None)
+    assert np.array_equal(vectors.of(placed, numbers[1]), want)
+
+
 def test_vectors_reach_most_pairs_and_no_wrong_one(spark):
     draw = np.random.default_rng(4)
     centres = draw.normal(size=(40, 24))
