@@ -46,8 +46,11 @@ def _or_zero(value: Column) -> Column:
 
 
 def bind(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once, also where the body uses it inside a lambda."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    """``body(value)`` with ``value`` evaluated once, also where the body uses it inside a lambda.
+
+    The finish of a reduction over nothing: unlike ``transform`` it hands on what it is given and makes no deep copy.
+    """
+    return F.reduce(F.array().cast("array<int>"), value, lambda same, _: same, body)
 
 
 def _fixed(values: Column, n: int) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pmweave.functions.arrays import bind
+from pmweave.operators.shred import held
 
 
 def merge_last(pm_long: DataFrame, keys: list[str]) -> DataFrame:
@@ -27,9 +28,8 @@ def widen(merged: DataFrame, keys: list[str], codes: list[str]) -> DataFrame:
     return merged.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("counters"))
 
 
-def _starts_of_runs(ordered: str, key) -> Column:
-    """Indexes at which ``key`` of a sorted array column changes."""
-    rows = F.col(ordered)
+def _starts_of_runs(rows: Column, key) -> Column:
+    """Indexes at which ``key`` of a sorted array changes."""
     last = F.size(rows) - 1
     indexes = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     return F.filter(
@@ -37,16 +37,16 @@ def _starts_of_runs(ordered: str, key) -> Column:
     )
 
 
-def _later_wins(values: Column) -> Column:
+def _later_wins(objects: Column) -> Column:
     """Of several objects' values, by place among the codes, the last that is there; empty where no object has any."""
 
     def over(earlier: Column, later: Column) -> Column:
-        return (
-            F.when(F.size(later) == 0, earlier).when(F.size(earlier) == 0, later)
-            .otherwise(F.zip_with(earlier, later, lambda a, b: F.coalesce(b, a)))
-        )
+        return bind(held(later["raws"], later["places"]), lambda values: (
+            F.when(F.size(values) == 0, earlier).when(F.size(earlier) == 0, values)
+            .otherwise(F.zip_with(earlier, values, lambda a, b: F.coalesce(b, a)))
+        ))
 
-    return F.reduce(values, F.array().cast("array<string>"), over)
+    return F.reduce(objects, F.array().cast("array<string>"), over)
 
 
 def merge_documents(parsed: DataFrame, identity, keep_empty: bool = False, findings=None) -> DataFrame:
@@ -57,7 +57,9 @@ def merge_documents(parsed: DataFrame, identity, keep_empty: bool = False, findi
     fields and ``values ARRAY<STRING>``, one entry per code, null where the cell lacks it; empty where it lacks all.
 
     Objects are sorted by identity and document order and cut into runs, one per cell. That
-    keeps the work near-linear for controllers with thousands of cells in one document.
+    keeps the work near-linear for controllers with thousands of cells in one document. All of it is one expression over
+    objects whose values are still the parser's compact arrays: a column for each step, or a string for each value of an
+    object, would be copies of the whole document that a task holds next to each other.
 
     With ``keep_empty`` a document without cells keeps one row with a null identity, next to
     ``corrupt`` and ``nameless`` (objects that carry no name), so that one staged table serves
@@ -65,37 +67,46 @@ def merge_documents(parsed: DataFrame, identity, keep_empty: bool = False, findi
     ``ARRAY<STRUCT<who, values>>``, comes as a column of that name on the document's first row.
     """
     kept = [c for c in parsed.columns if c not in ("objects", "corrupt", "dialect")]
+
+    def ordered(objects: Column) -> Column:
+        named = F.transform(
+            objects,
+            lambda o: F.struct(
+                identity(o["moid"]).alias("who"), o["md"].alias("md"), o["mv"].alias("mv"),
+                o["raws"].alias("raws"), o["places"].alias("places"),
+            ),
+        )
+        return F.sort_array(F.filter(named, lambda o: o["who"]["cell_id"].isNotNull()))
+
+    def merged(rows: Column, starts: Column) -> Column:
+        return F.transform(
+            starts,
+            lambda s, k: F.struct(
+                F.get(rows, s)["who"].alias("who"),
+                _later_wins(F.slice(rows, s + 1, F.coalesce(F.get(starts, k + 1), F.size(rows)) - s)).alias("values"),
+            ),
+        )
+
+    def cells_of(objects: Column) -> Column:
+        return bind(ordered(objects), lambda rows: bind(
+            _starts_of_runs(rows, lambda e: e["who"]), lambda starts: merged(rows, starts)))
+
+    def with_document(objects: Column, cells: Column) -> Column:
+        nameless = F.coalesce(F.size(F.filter(objects, lambda o: o["moid"].isNull())), F.lit(0))
+        told = [nameless.alias("nameless"), F.col("corrupt").isNotNull().alias("corrupt")]
+        return F.struct(cells.alias("cells"), *told, *([findings(cells).alias("findings")] if findings else []))
+
+    found = []
     if keep_empty:
-        parsed = parsed.withColumn(
-            "nameless", F.coalesce(F.size(F.filter("objects", lambda o: o["moid"].isNull())), F.lit(0))
-        ).withColumn("corrupt", F.col("corrupt").isNotNull())
+        document = bind(F.col("objects"), lambda objects: bind(cells_of(objects), lambda cells: with_document(objects, cells)))
+        documents = parsed.select(*kept, document.alias("_document")).select(*kept, "_document.*")
         kept += ["nameless", "corrupt"]
-    named = F.transform(
-        "objects",
-        lambda o: F.struct(
-            identity(o["moid"]).alias("who"), o["md"].alias("md"), o["mv"].alias("mv"), o["values"].alias("values"),
-        ),
-    )
-    ordered = parsed.select(
-        *kept, F.sort_array(F.filter(named, lambda o: o["who"]["cell_id"].isNotNull())).alias("ordered")
-    )
-    runs = ordered.select(*kept, "ordered", _starts_of_runs("ordered", lambda e: e["who"]).alias("starts"))
-    merged = F.transform(
-        "starts",
-        lambda s, k: F.struct(
-            F.get("ordered", s)["who"].alias("who"),
-            _later_wins(
-                F.slice(F.col("ordered"), s + 1, F.coalesce(F.get("starts", k + 1), F.size("ordered")) - s)["values"]
-            ).alias("values"),
-        ),
-    )
-    documents = runs.select(*kept, merged.alias("cells"))
-    found = []
-    if findings:
-        documents = documents.select(*kept, "cells", findings(F.col("cells")).alias("findings"))
-        found = [F.when(F.coalesce("nth", F.lit(0)) == 0, F.col("findings")).alias("findings")]
+        if findings:
+            found = [F.when(F.coalesce("nth", F.lit(0)) == 0, F.col("findings")).alias("findings")]
+    else:
+        documents = parsed.select(*kept, cells_of(F.col("objects")).alias("cells"))
     # outer also where empty documents go: an inner one lets the optimizer test the array below the projection that parses it
-    cells = documents.select(*kept, *(["findings"] if findings else []), F.posexplode_outer("cells").alias("nth", "cell"))
+    cells = documents.select(*kept, *(["findings"] if found else []), F.posexplode_outer("cells").alias("nth", "cell"))
     if not keep_empty:
         cells = cells.filter(F.col("nth").isNotNull())
     return cells.select(*kept, "cell.who.*", "cell.values", *found)

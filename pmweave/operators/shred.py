@@ -103,17 +103,17 @@ def _places(names: Column, wanted: Column) -> Column:
     return bind(found, lambda at: F.when(F.exists(at, lambda i: i.isNotNull()), at).otherwise(F.array().cast("array<int>")))
 
 
-def _held(values: Column, places: Column) -> Column:
+def held(raws: Column, places: Column) -> Column:
     """The values at ``places``: one per wanted code, null where the object lacks it."""
-    return F.transform(places, lambda i: F.when(i.isNotNull(), _zero_if_blank(F.coalesce(F.get(values, i), F.lit("")))))
+    return F.transform(places, lambda i: F.when(i.isNotNull(), _zero_if_blank(F.coalesce(F.get(raws, i), F.lit("")))))
 
 
 def _mdc_configured(doc: Column, names_scope: str, wanted: Column) -> Column:
-    """As ``_mdc_objects``, with configured counters only: ``STRUCT<moid, md, mv, values>``.
+    """As ``_mdc_objects``, with the places of configured counters: ``STRUCT<moid, md, mv, raws, places>``.
 
-    ``values`` has one entry per code of ``wanted``, or none at all. Where a code's value stands is looked up once per
-    block, not per object, and unlisted values are never touched. An object with fewer values than its block has
-    names is looked up for itself.
+    ``places`` has one index among ``raws`` per code of ``wanted``, or none at all. Where a code's value stands is looked
+    up once per block, not per object, and ``raws`` are as they were parsed: ``held`` reads them when the object's turn
+    comes. An object with fewer values than its block has names is looked up for itself.
     """
     blocks = F.transform(
         _mdc_blocks(doc, names_scope),
@@ -124,11 +124,11 @@ def _mdc_configured(doc: Column, names_scope: str, wanted: Column) -> Column:
 
     def per_block(block: Column, md: Column) -> Column:
         def per_mv(mv: Column, at: Column) -> Column:
-            held = F.coalesce(F.size(mv["r"]), F.lit(0))
-            full = _held(mv["r"], block["places"])
-            short = _held(mv["r"], _places(F.slice(block["mt"], F.lit(1), held), wanted))
-            values = F.when((held >= F.size(block["mt"])) | (F.size(block["places"]) == 0), full).otherwise(short)
-            return F.struct(mv["moid"].alias("moid"), md.alias("md"), at.alias("mv"), values.alias("values"))
+            n = F.coalesce(F.size(mv["r"]), F.lit(0))
+            short = _places(F.slice(block["mt"], F.lit(1), n), wanted)
+            places = F.when((n >= F.size(block["mt"])) | (F.size(block["places"]) == 0), block["places"]).otherwise(short)
+            return F.struct(
+                mv["moid"].alias("moid"), md.alias("md"), at.alias("mv"), mv["r"].alias("raws"), places.alias("places"))
 
         return F.transform(block["mv"], per_mv)
 
@@ -198,11 +198,15 @@ def _collec_configured(doc: Column, wanted: Column) -> Column:
             lambda _, i: F.try_element_at(F.filter(held, lambda pair: pair["at"] == i + 1), F.lit(-1))["raw"],
         )))
 
+    def placed(values: Column) -> Column:
+        return F.struct(values.alias("raws"), F.transform(values, lambda v, i: F.when(v.isNotNull(), i)).alias("places"))
+
     def one(value: Column, at: Column, md: Column, block: Column) -> Column:
         in_order = block["plain"] & (value["r"]["_p"] == block["order"])
-        values = F.when(F.coalesce(in_order, F.lit(False)), _held(value["r"]["_VALUE"], block["places"])).otherwise(
-            by_reference(value, block))
-        return F.struct(value["_measObjLdn"].alias("moid"), md.alias("md"), at.alias("mv"), values.alias("values"))
+        found = F.when(F.coalesce(in_order, F.lit(False)), F.struct(
+            value["r"]["_VALUE"].alias("raws"), block["places"].alias("places"))).otherwise(bind(by_reference(value, block), placed))
+        return bind(found, lambda f: F.struct(
+            value["_measObjLdn"].alias("moid"), md.alias("md"), at.alias("mv"), f["raws"].alias("raws"), f["places"].alias("places")))
 
     blocks = F.transform(
         _collec_blocks(doc, lambda name: name),
@@ -224,9 +228,9 @@ def parse_eric(files: DataFrame, names_scope: str = "md", codes: list[str] | Non
     """One row per document with its ``objects`` array; ``corrupt`` holds an unreadable text.
 
     Both dialects in one pass over the input; a row is parsed with its own schema only. Objects
-    are ``STRUCT<moid, md, mv, names, raws>``; with ``codes`` they hold only these counters, as
-    ``STRUCT<moid, md, mv, values>`` with one value per code in this order, null where the object lacks it;
-    ``values`` is empty where it lacks all.
+    are ``STRUCT<moid, md, mv, names, raws>``; with ``codes`` they tell only of these counters, as
+    ``STRUCT<moid, md, mv, raws, places>``: ``held(raws, places)`` gives one value per code in this order, null where the
+    object lacks it, and is empty where it lacks all.
     """
     kept = [c for c in files.columns if c not in ("content", "dialect")]
     typed = files if "dialect" in files.columns else detect_eric_dialect(files)

@@ -37,6 +37,12 @@ def test_findings_of_documents_need_no_exchange(spark):
         assert "Exchange" not in plan_of(queries()[name](spark, SF)), name
 
 
+def test_a_task_holds_no_copy_of_a_document_for_every_step_of_its_merge(spark):
+    plan = plan_of(queries()["umts_ericsson_wide_missing"](spark, SF))
+    for step in ("objects", "ordered", "starts"):
+        assert f" AS {step}#" not in plan, step
+
+
 def test_what_a_file_lacks_is_united_before_the_exchange(spark):
     plan = plan_of(queries()["missing_counters_eric"](spark, SF))
     assert "partial_bit_or" in plan
